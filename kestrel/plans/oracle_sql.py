@@ -220,7 +220,8 @@ def oracle_queries() -> dict[str, str]:
     ] + results_ctes("pa", P, spread)
 
     converged_rows = " UNION ALL ".join(
-        f"SELECT CAST({i} AS INTEGER) AS iter, d.displacement, {float(eta)} AS eta, d.displacement < {float(eta)} "
+        f"SELECT CAST({i} AS INTEGER) AS iter, d.displacement, CAST({float(eta)} AS DOUBLE) AS eta, "
+        f"d.displacement < {float(eta)} "
         f"AS converged FROM d{i} d WHERE NOT (SELECT bool_or(was_done) FROM n{i})"
         for i in range(1, ORACLE_STEPS + 1))
 
