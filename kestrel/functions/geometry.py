@@ -1,7 +1,10 @@
 """2-D integer vectors: squared distance and nearest-centre assignment.
 
 Centres are a handful of driver-side ints (k rows), so they travel inside the plan
-as an array literal: assignment is a narrow projection, no join and no shuffle.
+as one array literal: assignment is a narrow projection, no join and no shuffle.
+An array literal is passed to the generated code as a reference object, so the
+compiled code is the same at every k-means step (inlining each coordinate as a
+primitive literal would recompile a large method per step).
 """
 
 from __future__ import annotations
@@ -19,26 +22,26 @@ def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return dx * dx + dy * dy
 
 
-def centres_array(centres: Sequence[tuple[int, int]]) -> Column:
-    """``array<struct<i:int, cx:int, cy:int>>`` literal; ``i`` is the centre index."""
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def centres_sql(centres: Sequence[tuple[int, int]]) -> str:
+    """SQL text of the ``array<struct<i:int, cx:int, cy:int>>`` literal; ``i`` is the centre index."""
     if len(centres) == 0:
         raise ValueError("at least one centre is needed")
-    return F.array(*[
-        F.struct(F.lit(i).cast("int").alias("i"), F.lit(int(cx)).cast("int").alias("cx"),
-                 F.lit(int(cy)).cast("int").alias("cy"))
-        for i, (cx, cy) in enumerate(centres)
-    ])
+    return "array(" + ", ".join(
+        f"named_struct('i', {i}, 'cx', {int(cx)}, 'cy', {int(cy)})" for i, (cx, cy) in enumerate(centres)) + ")"
 
 
-def nearest_centre(x: Column | str, y: Column | str, centres: Sequence[tuple[int, int]]) -> Column:
+def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, int]]) -> Column:
     """Struct ``(d: double, i: int)`` of the closest centre.
 
     ``array_min`` over ``(distance, index)`` structs gives the smallest distance and,
-    among equal distances, the lowest index.
+    among equal distances, the lowest index.  Built as one SQL expression: one
+    round trip to the JVM however many centres there are.
     """
-    x = F.col(x) if isinstance(x, str) else x
-    y = F.col(y) if isinstance(y, str) else y
-    return F.array_min(F.transform(
-        centres_array(centres),
-        lambda c: F.struct(squared_distance(x, y, c["cx"], c["cy"]).alias("d"), c["i"].alias("i")),
-    ))
+    qx, qy = _quote(x), _quote(y)
+    dist = (f"(CAST({qx} AS DOUBLE) - c.cx) * (CAST({qx} AS DOUBLE) - c.cx) + "
+            f"(CAST({qy} AS DOUBLE) - c.cy) * (CAST({qy} AS DOUBLE) - c.cy)")
+    return F.expr(f"array_min(transform({centres_sql(centres)}, c -> named_struct('d', {dist}, 'i', c.i)))")

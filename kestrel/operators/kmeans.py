@@ -6,12 +6,16 @@ division truncating toward zero; a centre without points keeps its old value; th
 loop stops when the summed squared move of all centres is < ``eta`` or after
 ``max_iter`` steps, returning the means of the last step.
 
-Execution: the vectors are written once to the shared checkpoint folder and cached
-(:func:`kestrel.session.materialize`).  Each step is one job: a narrow assignment
-(centres are an array literal, no join), a partial+final aggregate on the cluster
-index (a cluster with a third of the points is combined map-side), and a collect of
-at most k rows.  The plan is rebuilt from the same base every step, so it does not
-grow with the iteration count.
+Execution.  A point's cluster depends only on its coordinates, so the loop runs on
+the *weighted distinct points* ``(x, y, w)``: one map-side-combined aggregation of
+the vectors, written once to the shared checkpoint folder and cached
+(:func:`kestrel.session.materialize`).  Means over weighted points are exactly the
+means over all points (``sum(x*w) div sum(w)``).  Here x is a category coordinate
+and y a score, so the distinct points are bounded by categories x distinct scores
+however many vectors there are.  Each step is then one small job: a narrow
+assignment (centres are an array literal, no join), a partial+final aggregate on
+the cluster index, and a collect of at most k rows.  The plan is rebuilt from the
+same base every step, so it does not grow with the iteration count.
 """
 
 from __future__ import annotations
@@ -50,9 +54,8 @@ TRACE_SCHEMA = T.StructType([
 
 
 def assign_nearest(vectors: DataFrame, centres: Sequence[Centre], *, x: str = "x", y: str = "y") -> DataFrame:
-    """Adds ``cluster`` (nearest centre index) and ``dist`` (its squared distance)."""
-    best = nearest_centre(x, y, centres)
-    return vectors.withColumn("_best", best).select(
+    """Adds ``cluster`` (nearest centre index, ties to the lowest) and ``dist`` (its squared distance)."""
+    return vectors.withColumn("_best", nearest_centre(x, y, centres)).select(
         *vectors.columns, F.col("_best.i").alias("cluster"), F.col("_best.d").alias("dist"))
 
 
@@ -62,24 +65,35 @@ def distance_to(vectors: DataFrame, centre: Centre, *, x: str = "x", y: str = "y
     return vectors.withColumn("dist", squared_distance(F.col(x), F.col(y), F.lit(int(cx)), F.lit(int(cy))))
 
 
-def average_vectors(vectors: DataFrame, group_cols: Sequence[str], *, x: str = "x", y: str = "y") -> DataFrame:
-    """``(*group_cols, x, y, n)``: integer component-wise mean of each group."""
+def weighted_points(vectors: DataFrame, *, x: str = "x", y: str = "y") -> DataFrame:
+    """``(x, y, w)``: distinct points and their multiplicity (partial+final aggregate)."""
+    return vectors.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count(F.lit(1)).alias("w"))
+
+
+def average_vectors(vectors: DataFrame, group_cols: Sequence[str], *, x: str = "x", y: str = "y",
+                    weight: str | None = None) -> DataFrame:
+    """``(*group_cols, x, y, n)``: integer component-wise mean of each group.
+
+    With ``weight``, each row stands for ``weight`` equal points.
+    """
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     sums = vectors.groupBy(*group_cols).agg(
-        F.sum(F.col(x).cast("bigint")).alias("_sx"), F.sum(F.col(y).cast("bigint")).alias("_sy"),
-        F.count(F.lit(1)).alias("n"))
+        F.sum(F.col(x).cast("bigint") * w).alias("_sx"), F.sum(F.col(y).cast("bigint") * w).alias("_sy"),
+        F.sum(w).alias("n"))
     return sums.select(*group_cols, int_div("_sx", "n").cast("int").alias(x),
-                       int_div("_sy", "n").cast("int").alias(y), "n")
+                       int_div("_sy", "n").cast("int").alias(y), F.col("n").cast("bigint").alias("n"))
 
 
-def cluster_means(vectors: DataFrame, centres: Sequence[Centre]) -> DataFrame:
+def cluster_means(points: DataFrame, centres: Sequence[Centre], *, weight: str | None = None) -> DataFrame:
     """``(cluster, x, y, n)`` for every centre that has points."""
-    return average_vectors(assign_nearest(vectors.select("x", "y"), centres), ["cluster"])
+    cols = ["x", "y"] + ([weight] if weight else [])
+    return average_vectors(assign_nearest(points.select(*cols), centres), ["cluster"], weight=weight)
 
 
-def lloyd_step(vectors: DataFrame, centres: Sequence[Centre]) -> list[Centre]:
-    """One step on the driver's side: new centres, an empty cluster keeps its old centre."""
+def lloyd_step(points: DataFrame, centres: Sequence[Centre], *, weight: str | None = None) -> list[Centre]:
+    """One step: new centres (k rows come back); an empty cluster keeps its old centre."""
     means = {int(r["cluster"]): (int(r["x"]), int(r["y"]))
-             for r in cluster_means(vectors, centres).collect()}
+             for r in cluster_means(points, centres, weight=weight).collect()}
     return [means.get(i, c) for i, c in enumerate(centres)]
 
 
@@ -108,18 +122,22 @@ class KMeansResult:
 
 
 def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAULT_ETA,
-           max_iter: int = DEFAULT_MAX_ITER, materialize_input: bool = True) -> KMeansResult:
-    """Iterate :func:`lloyd_step` until :func:`converged` or ``max_iter`` steps."""
+           max_iter: int = DEFAULT_MAX_ITER, weighted: DataFrame | None = None) -> KMeansResult:
+    """Iterate :func:`lloyd_step` until :func:`converged` or ``max_iter`` steps.
+
+    ``weighted`` may pass an already materialised :func:`weighted_points` table.
+    """
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     centres = [(int(cx), int(cy)) for cx, cy in centres]
-    base = materialize(vectors.select("x", "y"), "kmeans-vectors") if materialize_input else vectors
+    own = weighted is None
+    base = materialize(weighted_points(vectors), "kmeans-points") if own else weighted
     trace: list[tuple] = []
     try:
         it = 0
         while True:
             it += 1
-            new = lloyd_step(base, centres)
+            new = lloyd_step(base, centres, weight="w")
             disp = center_displacement(centres, new)
             done = converged(disp, eta)
             trace.extend((it, i, o[0], o[1], n[0], n[1], point_distance(o, n), disp, done)
@@ -128,7 +146,7 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
             if done or it >= max_iter:
                 return KMeansResult(centres, it, disp, done, trace)
     finally:
-        if materialize_input:
+        if own:
             base.unpersist()
 
 

@@ -5,9 +5,9 @@ Input is a postings DataFrame ``(posting_type, id, accepted_answer, parent_id, s
 Scale notes.  One question may own a third of all answers.  :func:`join_questions_answers`
 emits every pair (its output *is* that large) and relies on AQE's skew-join split for
 such keys.  Everything downstream of the pairs -- grouping, scoring, vectors -- never
-materialises them: each side is aggregated on its key first (map-side combine, so a
-hot key is a handful of partial rows per task), and the join then meets at most one
-row per key on each side.
+materialises them: questions and answers are co-grouped by one aggregation keyed by
+question id, combined map-side, so a hot question is a handful of partial rows per
+task and the input is scanned and parsed once.
 """
 
 from __future__ import annotations
@@ -65,21 +65,28 @@ def join_questions_answers(postings: DataFrame, *, strict: bool = True) -> DataF
     return q.join(a, "question_id", "inner")
 
 
-def _question_heads(postings: DataFrame) -> DataFrame:
-    """One row per question id: its multiplicity and the smallest question record."""
-    return (filter_questions(postings)
-            .groupBy(F.col("id").alias("question_id"))
-            .agg(F.count(F.lit(1)).alias("n_questions"),
-                 F.min(F.struct("accepted_answer", "score", "tags")).alias("q")))
+def _cogrouped(postings: DataFrame, *, strict: bool) -> DataFrame:
+    """One row per question id that has both a question and an answer.
 
-
-def _answer_stats(postings: DataFrame, *, strict: bool) -> DataFrame:
-    """One row per answered question id: answer count and best raw score (map-side combined)."""
-    answers = filter_answers(postings)
-    if not strict:
-        answers = answers.where(F.col("parent_id").isNotNull())
-    return (answers.groupBy(_answer_key(strict).alias("question_id"))
-            .agg(F.count(F.lit(1)).alias("n_answers"), F.max("score").alias("max_answer_score")))
+    A single aggregation over all postings, keyed by ``id`` for questions and by
+    ``parent_id`` for answers (a co-group, not a join): one scan, one shuffle of
+    partial aggregates, no pre-filter on the type -- Catalyst would push such a
+    filter below the parser and re-run it.  Other posting types fall into a null
+    key whose group is dropped.  Columns: ``question_id, n_questions, n_answers,
+    max_answer_score, q`` (the smallest question record among equal ids).
+    """
+    is_q = F.col("posting_type") == QUESTION_TYPE
+    is_a = F.col("posting_type") == ANSWER_TYPE
+    keyed = postings.select(
+        F.when(is_q, F.col("id")).when(is_a, _answer_key(strict)).alias("question_id"),
+        is_q.alias("_is_q"),
+        (is_a & (F.col("parent_id").isNotNull() if not strict else F.lit(True))).alias("_is_a"),
+        F.when(is_a, F.col("score")).alias("_a_score"),
+        F.when(is_q, F.struct("accepted_answer", "score", "tags")).alias("_q"))
+    return (keyed.groupBy("question_id")
+            .agg(F.count_if("_is_q").alias("n_questions"), F.count_if("_is_a").alias("n_answers"),
+                 F.max("_a_score").alias("max_answer_score"), F.min("_q").alias("q"))
+            .where((F.col("n_questions") > 0) & (F.col("n_answers") > 0)))
 
 
 def grouped_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
@@ -89,9 +96,7 @@ def grouped_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
     the pairwise join would produce.  The pairs themselves are
     :func:`join_questions_answers`; they are never collected into one record.
     """
-    heads = _question_heads(postings)
-    stats = _answer_stats(postings, strict=strict)
-    return heads.join(stats, "question_id", "inner").select(
+    return _cogrouped(postings, strict=strict).select(
         "question_id", (F.col("n_questions") * F.col("n_answers")).alias("n_pairs"))
 
 
@@ -101,9 +106,7 @@ def scored_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
     ``(question_id, accepted_answer, score, tags, high_score)``.  With a repeated
     question id the smallest question record is kept.
     """
-    heads = _question_heads(postings)
-    stats = _answer_stats(postings, strict=strict)
-    return heads.join(stats, "question_id", "inner").select(
+    return _cogrouped(postings, strict=strict).select(
         "question_id",
         F.col("q.accepted_answer").alias("accepted_answer"),
         F.col("q.score").alias("score"),

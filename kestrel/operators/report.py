@@ -1,11 +1,12 @@
 """Per-cluster statistics and the text report.
 
-The points are read once: ``(cluster, x, y)`` is counted map-side into
-``(cluster, x, y, cnt)`` -- bounded by clusters x categories x distinct scores, not
-by the number of points -- and every statistic is computed from those counts.
-Spark reuses that one shuffle for both branches (``ReusedExchange``).  No cluster is
-ever gathered into one task: the median comes from a frequency-weighted exact
-``percentile``, the dominant category from per-category counts.
+Every statistic is computed from counts ``(cluster, x, y, cnt)`` -- bounded by
+clusters x categories x distinct scores, not by the number of points.  The
+report takes them from the weighted distinct points (:func:`weighted_points`,
+one map-side-combined pass over the vectors); the standalone operators count a
+membership table the same way.  No cluster is ever gathered into one task: the
+median is a frequency-weighted exact ``percentile``, the dominant category comes
+from per-category counts.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kestrel.constants import REPORT_HEADER, REPORT_ROW_FORMAT
 from kestrel.functions.categories import category_label
-from kestrel.operators.kmeans import Centre, assign_nearest
+from kestrel.operators.kmeans import Centre, assign_nearest, weighted_points
 
 
 def cluster_membership(vectors: DataFrame, centres: Sequence[Centre], *, id_col: str = "question_id") -> DataFrame:
@@ -67,9 +68,14 @@ def cluster_median(membership: DataFrame) -> DataFrame:
 
 
 def cluster_results(vectors: DataFrame, centres: Sequence[Centre], categories: Sequence[str],
-                    spread: int) -> DataFrame:
-    """Per non-empty cluster ``(cluster, label, percent, size, median_score)``, by median."""
-    counts = _point_counts(cluster_membership(vectors, centres))
+                    spread: int, *, weighted: DataFrame | None = None) -> DataFrame:
+    """Per non-empty cluster ``(cluster, label, percent, size, median_score)``, by median.
+
+    ``weighted`` may pass an already materialised :func:`weighted_points` table.
+    """
+    points = weighted if weighted is not None else weighted_points(vectors)
+    counts = assign_nearest(points.select("x", "y", "w"), centres).select(
+        "cluster", "x", "y", F.col("w").alias("cnt"))
     dom = _dominant(counts, categories, spread)
     med = _median(counts)
     # both sides have at most k rows

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from kestrel.constants import (DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SPREAD, DEFAULT_TERMS,
                                SAMPLE_SEED, STRATIFIED_MIN_SPREAD)
 from kestrel.operators.checks import expect_row_count
-from kestrel.operators.kmeans import KMeansResult, kmeans
+from kestrel.operators.kmeans import KMeansResult, kmeans, weighted_points
 from kestrel.operators.qa import scored_postings, vector_postings
 from kestrel.operators.report import cluster_report_lines, cluster_results
 from kestrel.session import materialize
@@ -20,6 +20,7 @@ from kestrel.sources.postings import parse_postings
 @dataclass
 class QAClusteringResult:
     vectors: DataFrame          # materialised (Parquet in the checkpoint folder) and cached
+    points: DataFrame           # weighted distinct points (x, y, w), materialised and cached
     kmeans: KMeansResult
     results: DataFrame          # (cluster, label, percent, size, median_score)
     report: DataFrame           # (line_no, line)
@@ -40,7 +41,8 @@ def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TE
     """The whole clustering job.
 
     The vectors are computed once and written to the shared checkpoint folder; the
-    seed sample, every k-means step and the final statistics read that copy.
+    count check, the seed sample and the weighted distinct points read that copy.
+    Every k-means step and the final statistics read the (small) weighted points.
     ``expected_vectors`` fails the job early when the vector count differs.
     """
     from kestrel.operators.sampling import initial_centres
@@ -51,6 +53,7 @@ def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TE
         expect_row_count(vectors, expected_vectors, strict=True).collect()
     seeds = initial_centres(vectors, k, categories, spread, seed=seed,
                             min_stratified_spread=STRATIFIED_MIN_SPREAD)
-    result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, materialize_input=False)
-    results = cluster_results(vectors, result.centres, categories, spread)
-    return QAClusteringResult(vectors, result, results, cluster_report_lines(results))
+    points = materialize(weighted_points(vectors), "qa-points")
+    result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
+    results = cluster_results(vectors, result.centres, categories, spread, weighted=points)
+    return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results))

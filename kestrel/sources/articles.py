@@ -24,12 +24,15 @@ def parse_article_lines(lines: DataFrame, line_col: str = "value", *, keep: list
     if on_error not in ("raise", "drop"):
         raise ValueError("on_error must be 'raise' or 'drop'")
     keep = list(keep or [])
-    line = F.col(line_col)
     sep_len = len(TITLE_TEXT_SEPARATOR)
-    pos = F.instr(line, TITLE_TEXT_SEPARATOR)            # 1-based, 0 when absent
+    # locate the separator once (its own projection), then cut
+    located = lines.select(*keep, F.col(line_col).alias("_line"),
+                           F.instr(F.col(line_col), TITLE_TEXT_SEPARATOR).alias("_pos"),   # 1-based, 0 if absent
+                           F.length(F.col(line_col)).alias("_len"))
+    line, pos = F.col("_line"), F.col("_pos")
     title_len = pos - F.lit(prefix_len + 1)
     text_start = pos + F.lit(sep_len)
-    text_len = F.length(line) - F.lit(suffix_len) - (text_start - F.lit(1))
+    text_len = F.col("_len") - F.lit(suffix_len) - (text_start - F.lit(1))
     ok = (pos > 0) & (title_len >= 0) & (text_len >= 0)
 
     title = F.substring(line, F.lit(prefix_len + 1), title_len)
@@ -38,7 +41,6 @@ def parse_article_lines(lines: DataFrame, line_col: str = "value", *, keep: list
         bad = F.raise_error(F.concat(F.lit("malformed article line: "), F.substring(line, 1, 80)))
         title = F.when(ok, title).otherwise(bad)
         text = F.when(ok, text).otherwise(bad)
-        out = lines
     else:
-        out = lines.where(ok)
-    return out.select(*keep, title.alias("title"), text.alias("text"))
+        located = located.where(ok)
+    return located.select(*keep, title.alias("title"), text.alias("text"))

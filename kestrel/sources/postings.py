@@ -4,7 +4,8 @@ A line is ``postingType,id,acceptedAnswer,parentId,score[,tag[,...]]``: plain co
 split, no quoting.  Empty acceptedAnswer/parentId -> null; the tag is the 6th field
 if present; fields after the 6th are ignored.  Trailing empty fields do not count
 (``"2,5,,1,3,"`` has no tag).  A line with fewer than five fields, or a required
-field that is not an integer, fails the job (ANSI cast).
+field that is not an integer, fails the job (ANSI cast) as soon as its id or score
+is read.
 """
 
 from __future__ import annotations
@@ -28,9 +29,13 @@ POSTING_COLUMNS = [f.name for f in POSTING_SCHEMA.fields]
 def parse_postings(lines: DataFrame, line_col: str = "value", *, keep: list[str] | None = None) -> DataFrame:
     """``(*keep, posting_type, id, accepted_answer, parent_id, score, tags)`` per line."""
     keep = list(keep or [])
-    fields = F.split(F.rtrim(F.col(line_col), F.lit(",")), ",")
+    # split once in its own projection: referenced from inside CASE branches, the
+    # split would otherwise be evaluated again for every field
+    split = lines.select(*keep, F.col(line_col).alias("_line"),
+                         F.split(F.rtrim(F.col(line_col), F.lit(",")), ",").alias("_f"))
+    fields = F.col("_f")
     n = F.size(fields)
-    bad = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(F.col(line_col), 1, 80)))
+    bad = F.raise_error(F.concat(F.lit("malformed posting line: "), F.substring(F.col("_line"), 1, 80)))
 
     def required(i: int, type_name: str) -> Column:
         return F.when(n >= 5, F.get(fields, i).cast(type_name)).otherwise(bad)
@@ -38,9 +43,11 @@ def parse_postings(lines: DataFrame, line_col: str = "value", *, keep: list[str]
     def optional(i: int, type_name: str) -> Column:
         return F.nullif(F.get(fields, i), F.lit("")).cast(type_name)
 
-    return lines.select(
+    return split.select(
         *keep,
-        required(0, "int").alias("posting_type"),
+        # the type is cut without the split: filters on it are pushed below this
+        # projection by Catalyst and then cost a substring, not a second split
+        F.substring_index(F.col("_line"), ",", 1).cast("int").alias("posting_type"),
         required(1, "bigint").alias("id"),
         optional(2, "bigint").alias("accepted_answer"),
         optional(3, "bigint").alias("parent_id"),
