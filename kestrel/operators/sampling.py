@@ -65,8 +65,9 @@ def sample_stratum_check(vectors: DataFrame, categories: Sequence[str], spread:
             .select(F.posexplode(categories_array(categories)).alias("pos", "category"))
             .select("category", (F.col("pos") * F.lit(spread)).cast("int").alias("x")))
     counts = vectors.groupBy(F.col(stratum_col).alias("x")).agg(F.count(F.lit(1)).alias("n_rows"))
-    # counts has one row per category present: bounded by the category list
-    out = cats.join(F.broadcast(counts), "x", "left").select(
+    # no broadcast hint: for arbitrary input the distinct x are not bounded by the
+    # category list; AQE broadcasts at run time when the measured size is small
+    out = cats.join(counts, "x", "left").select(
         "category", "x", F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
         F.lit(per_stratum).cast("bigint").alias("needed"))
     ok = F.col("n_rows") >= F.col("needed")
