@@ -32,3 +32,31 @@ def raises_spark(fn, fragment: str):
     with pytest.raises(Exception) as info:
         fn()
     assert fragment in str(info.value), str(info.value)[:500]
+
+
+def executed_plan(df) -> str:
+    """Run ``df``'s own QueryExecution and return its final (adaptive) physical plan."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+class conf_override:
+    """Temporarily set session confs (restored afterwards)."""
+
+    def __init__(self, spark, **settings):
+        self.spark, self.settings, self.saved = spark, settings, {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            key = k.replace("__", ".")
+            self.saved[key] = self.spark.conf.get(key, None)
+            self.spark.conf.set(key, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)

@@ -116,3 +116,18 @@ def test_pipeline_on_smoke_data(spark):
     assert 1 <= len(got) <= 5
     assert sum(r[3] for r in got) == res.vectors.count()
     assert rows(res.report)[0] == (0, "Resulting clusters:")
+
+
+def test_fixture_convergence_matches_the_probe(spark):
+    from conftest import SF_CHECK
+    from kestrel.plans import fixtures as FX
+    for spread, steps, disp in ((FX.FIXTURE_SPREAD, 3, 18.0), (FX.FIXTURE_MIXED_SPREAD, 4, 10.0)):
+        vectors = FX.fx_vectors(spark, SF_CHECK, spread)
+        seeds = sampling.initial_centres(vectors, FX.FIXTURE_K, FX.ORDER_PRIORITIES, spread)
+        res = KM.kmeans(vectors, seeds, eta=FX.FIXTURE_ETA)
+        assert (res.iterations, res.displacement, res.converged) == (steps, disp, True)
+        # weighted distinct points give the same centres as Lloyd steps over every vector
+        centres = seeds
+        for _ in range(steps):
+            centres = KM.lloyd_step(vectors, centres)
+        assert centres == res.centres
