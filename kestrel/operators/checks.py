@@ -20,11 +20,16 @@ def expect_row_count(df: DataFrame, expected: int, *, strict: bool = False) -> D
 
 def diff_rows(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """``(side, *columns)``: rows of ``actual`` not in ``expected`` (side 'unexpected') and
-    rows of ``expected`` not in ``actual`` (side 'missing'), compared as sets."""
+    rows of ``expected`` not in ``actual`` (side 'missing'), compared as sets.
+
+    Each side is de-duplicated first (map-side combined), so a value repeated in a
+    large share of the rows reaches the anti-join once, not as a hot key.
+    """
     cols = actual.columns
-    expected = expected.select(*cols)
-    unexpected = actual.subtract(expected).select(F.lit("unexpected").alias("side"), *cols)
-    missing = expected.subtract(actual).select(F.lit("missing").alias("side"), *cols)
+    a = actual.distinct()
+    e = expected.select(*cols).distinct()
+    unexpected = a.subtract(e).select(F.lit("unexpected").alias("side"), *cols)
+    missing = e.subtract(a).select(F.lit("missing").alias("side"), *cols)
     return unexpected.unionByName(missing)
 
 

@@ -13,6 +13,7 @@ from kestrel.operators.checks import expect_row_count
 from kestrel.operators.kmeans import KMeansResult, kmeans, weighted_points
 from kestrel.operators.qa import scored_postings, vector_postings
 from kestrel.operators.report import cluster_report_lines, cluster_results
+from kestrel.operators.sampling import initial_centres
 from kestrel.session import materialize
 from kestrel.sources.postings import parse_postings
 
@@ -33,22 +34,18 @@ def qa_vectors(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, spre
     return vector_postings(scored_postings(postings, strict=strict), categories, spread, strict=strict)
 
 
-def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, *,
-                        spread: int = DEFAULT_SPREAD, k: int = DEFAULT_K, eta: float = DEFAULT_ETA,
-                        max_iter: int = DEFAULT_MAX_ITER, seed: int = SAMPLE_SEED,
-                        expected_vectors: int | None = None, line_col: str = "value",
-                        strict: bool = True) -> QAClusteringResult:
-    """The whole clustering job.
+def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, *,
+                    spread: int = DEFAULT_SPREAD, k: int = DEFAULT_K, eta: float = DEFAULT_ETA,
+                    max_iter: int = DEFAULT_MAX_ITER, seed: int = SAMPLE_SEED,
+                    expected_vectors: int | None = None) -> QAClusteringResult:
+    """Seeded k-means and the cluster report over ``(question_id, x, y)`` vectors.
 
-    The vectors are computed once and written to the shared checkpoint folder; the
-    count check, the seed sample and the weighted distinct points read that copy.
-    Every k-means step and the final statistics read the (small) weighted points.
+    The vectors are written once to the shared checkpoint folder; the count check,
+    the seed sample and the weighted distinct points read that copy.  Every k-means
+    step and the final statistics read the (small) weighted points.
     ``expected_vectors`` fails the job early when the vector count differs.
     """
-    from kestrel.operators.sampling import initial_centres
-
-    vectors = materialize(qa_vectors(lines, categories, spread, line_col=line_col, strict=strict),
-                          "qa-vectors")
+    vectors = materialize(vectors.select("question_id", "x", "y"), "qa-vectors")
     if expected_vectors is not None:
         expect_row_count(vectors, expected_vectors, strict=True).collect()
     seeds = initial_centres(vectors, k, categories, spread, seed=seed,
@@ -57,3 +54,14 @@ def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TE
     result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
     results = cluster_results(vectors, result.centres, categories, spread, weighted=points)
     return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results))
+
+
+def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, *,
+                        spread: int = DEFAULT_SPREAD, k: int = DEFAULT_K, eta: float = DEFAULT_ETA,
+                        max_iter: int = DEFAULT_MAX_ITER, seed: int = SAMPLE_SEED,
+                        expected_vectors: int | None = None, line_col: str = "value",
+                        strict: bool = True) -> QAClusteringResult:
+    """The whole clustering job: posting lines -> vectors -> :func:`cluster_vectors`."""
+    return cluster_vectors(qa_vectors(lines, categories, spread, line_col=line_col, strict=strict), categories,
+                           spread=spread, k=k, eta=eta, max_iter=max_iter, seed=seed,
+                           expected_vectors=expected_vectors)

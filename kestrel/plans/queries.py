@@ -16,7 +16,7 @@ from kestrel.functions.arith import int_div
 from kestrel.functions.categories import category_label
 from kestrel.operators import checks, kmeans as KM, lists, qa, ranking as R, report, sampling
 from kestrel.plans import fixtures as FX
-from kestrel.plans.qa_clustering import qa_cluster_pipeline
+from kestrel.plans.qa_clustering import cluster_vectors, qa_cluster_pipeline
 from kestrel.plans.term_ranking import term_ranking_pipeline
 from kestrel.session import scratch_path
 from kestrel.sources.articles import parse_article_lines
@@ -168,9 +168,13 @@ def _seeds(vectors: DataFrame, spread: int):
     return sampling.initial_centres(vectors, K, CATS, spread)
 
 
+def _clustered(spark, sf, spread: int):
+    """Vectors computed once (materialised), seeds, k-means on the weighted points, report."""
+    return cluster_vectors(FX.fx_vectors(spark, sf, spread), CATS, spread=spread, k=K, eta=ETA)
+
+
 def _run(spark, sf, spread: int) -> KM.KMeansResult:
-    vectors = FX.fx_vectors(spark, sf, spread)
-    return KM.kmeans(vectors, _seeds(vectors, spread), eta=ETA)
+    return _clustered(spark, sf, spread).kmeans
 
 
 def q_kmeans_step(spark, sf):
@@ -218,15 +222,9 @@ def q_average_vectors(spark, sf):
     return KM.average_vectors(vectors, ["category"])
 
 
-def _mixed_membership(spark, sf):
-    vectors = FX.fx_vectors_mixed(spark, sf)
-    result = KM.kmeans(vectors, _seeds(vectors, MIXED), eta=ETA)
-    return vectors, result
-
-
 def q_cluster_membership(spark, sf):
-    vectors, result = _mixed_membership(spark, sf)
-    return report.cluster_membership(vectors, result.centres)
+    c = _clustered(spark, sf, MIXED)
+    return report.cluster_membership(c.vectors, c.kmeans.centres)
 
 
 def q_cluster_dominant(spark, sf):
@@ -242,12 +240,11 @@ def q_cluster_median(spark, sf):
 
 
 def q_cluster_results(spark, sf):
-    vectors, result = _mixed_membership(spark, sf)
-    return report.cluster_results(vectors, result.centres, CATS, MIXED)
+    return _clustered(spark, sf, MIXED).results
 
 
 def q_cluster_report_lines(spark, sf):
-    return report.cluster_report_lines(q_cluster_results(spark, sf))
+    return _clustered(spark, sf, MIXED).report
 
 
 # ------------------------------------------------------------------ lists and checks

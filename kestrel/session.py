@@ -54,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master or "").startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) "
             "that every executor can reach")
