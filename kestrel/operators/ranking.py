@@ -1,6 +1,8 @@
 """Term ranking over articles: how many articles mention each listed term.
 
-All variants scan the text once.  Articles are never grouped or shuffled whole:
+Every variant scans the text once, and all of them can start from the same
+:func:`matched_term_sets` (the term-ranking pipeline computes it once for the
+three).  Articles are never grouped or shuffled whole:
 what crosses the network is (term, partial count) pairs after map-side combine,
 at most ``len(terms)`` per task, so a term that occurs in a third of all articles
 costs no more than a rare one.
@@ -38,25 +40,49 @@ def occurrences_of_term(articles: DataFrame, term: str, *, text_col: str = "text
         F.lit(term).alias("term"), F.col("n").cast("bigint").alias("n"))
 
 
+def matched_term_sets(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
+                      text_col: str = "text") -> DataFrame:
+    """``(id, matched array<string>)``: the distinct listed terms each article mentions.
+
+    The only step that reads and tokenises the text; every ranking below can start
+    from it.  Null text gives a null set (mentions nothing).
+    """
+    return articles.select(F.col(id_col), present_terms(text_col, terms).alias("matched"))
+
+
 def explode_present_terms(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
                           text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``(id, term[, text])``: one row per (article, listed term it mentions)."""
-    cols = [F.col(id_col)] + ([F.col(text_col)] if keep_text else [])
-    return articles.select(*cols, F.explode(present_terms(text_col, terms)).alias("term")).select(
-        id_col, "term", *([text_col] if keep_text else []))
+    if keep_text:
+        return articles.select(F.col(id_col), F.col(text_col),
+                               F.explode(present_terms(text_col, terms)).alias("term")).select(
+            id_col, "term", text_col)
+    return explode_term_sets(matched_term_sets(articles, terms, id_col=id_col, text_col=text_col), id_col=id_col)
+
+
+def explode_term_sets(sets: DataFrame, *, id_col: str = "title") -> DataFrame:
+    """``(id, term)`` from :func:`matched_term_sets`."""
+    return sets.select(F.col(id_col), F.explode("matched").alias("term"))
 
 
 def term_indicator(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
                    text_col: str = "text") -> DataFrame:
     """``(id, term, hit int)``: one row per (article, listed term), hit 1 or 0."""
+    return indicator_from_sets(matched_term_sets(articles, terms, id_col=id_col, text_col=text_col), terms,
+                               id_col=id_col)
+
+
+def indicator_from_sets(sets: DataFrame, terms: Sequence[str], *, id_col: str = "title") -> DataFrame:
+    """``(id, term, hit)`` from :func:`matched_term_sets`.
+
+    The matched set is computed once per article (a Project below the Generate);
+    each term then probes that small array, never the token list.
+    """
     terms = check_terms(terms)
-    # the matched set is computed once per article (a Project below the Generate);
-    # each term then probes that small array, never the token list
-    with_present = articles.select(F.col(id_col), present_terms(text_col, terms).alias("_present"))
     pairs = F.transform(terms_array(terms), lambda t: F.struct(
         t.alias("term"),
-        F.coalesce(F.array_contains(F.col("_present"), t), F.lit(False)).cast("int").alias("hit")))
-    return with_present.select(F.col(id_col), F.inline(pairs)).select(id_col, "term", "hit")
+        F.coalesce(F.array_contains(F.col("matched"), t), F.lit(False)).cast("int").alias("hit")))
+    return sets.select(F.col(id_col), F.inline(pairs)).select(id_col, "term", "hit")
 
 
 def _ranked(counts: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -74,18 +100,27 @@ def term_counts(articles: DataFrame, terms: Sequence[str], *, text_col: str = "t
             .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def rank_terms(articles: DataFrame, terms: Sequence[str], *, text_col: str = "text") -> DataFrame:
-    """Complete ranking: every listed term, zero counts included."""
+def _complete(counts: DataFrame, terms: Sequence[str]) -> DataFrame:
     terms = check_terms(terms)
-    spark = articles.sparkSession
-    all_terms = spark.range(1).select(F.explode(terms_array(terms)).alias("term"))
-    counts = term_counts(articles, terms, text_col=text_col)
+    all_terms = counts.sparkSession.range(1).select(F.explode(terms_array(terms)).alias("term"))
     # ``counts`` has at most len(terms) rows, so broadcasting it is bounded by the term list
     full = all_terms.join(F.broadcast(counts), "term", "left").select(
         "term", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
     return _ranked(full, terms)
 
 
+def rank_terms(articles: DataFrame, terms: Sequence[str], *, text_col: str = "text") -> DataFrame:
+    """Complete ranking: every listed term, zero counts included."""
+    terms = check_terms(terms)
+    return _complete(term_counts(articles, terms, text_col=text_col), terms)
+
+
+def rank_terms_from_sets(sets: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """:func:`rank_terms` from :func:`matched_term_sets`."""
+    counts = sets.select(F.explode("matched").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return _complete(counts, terms)
+
+
 def inverted_index(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
                    text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """Inverted index in long form: ``(term, id[, text])``, one row per posting.
@@ -120,9 +155,14 @@ def rank_terms_from_index(index: DataFrame, terms: Sequence[str]) -> DataFrame:
 def rank_terms_single_pass(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
                            text_col: str = "text") -> DataFrame:
     """Sum of 0/1 indicators per term (map-side combined); zeros present iff input is non-empty."""
+    return rank_terms_single_pass_from_sets(
+        matched_term_sets(articles, terms, id_col=id_col, text_col=text_col), terms, id_col=id_col)
+
+
+def rank_terms_single_pass_from_sets(sets: DataFrame, terms: Sequence[str], *, id_col: str = "title") -> DataFrame:
+    """:func:`rank_terms_single_pass` from :func:`matched_term_sets`."""
     terms = check_terms(terms)
-    sums = (term_indicator(articles, terms, id_col=id_col, text_col=text_col)
-            .groupBy("term").agg(F.sum("hit").alias("n")))
+    sums = indicator_from_sets(sets, terms, id_col=id_col).groupBy("term").agg(F.sum("hit").alias("n"))
     return _ranked(sums, terms)
 
 
