@@ -85,40 +85,55 @@ def indicator_from_sets(sets: DataFrame, terms: Sequence[str], *, id_col: str =
     return sets.select(F.col(id_col), F.inline(pairs)).select(id_col, "term", "hit")
 
 
-def _ranked(counts: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """Add ``rank`` (1-based) to at most ``len(terms)`` ``(term, n)`` rows."""
+def _ranked(counts: DataFrame, terms: Sequence[str], *, only_if_input: bool = False) -> DataFrame:
+    """Add ``rank`` (1-based) to at most ``len(terms) + 1`` ``(term, n)`` rows.
+
+    A null ``term`` row (articles without a match) only counts as input.  With
+    ``only_if_input`` every row is dropped when the input had no article at all.
+    """
     pos = term_position("term", terms)
-    # a window without partition is fine here: its input is bounded by the term list
+    # windows without partition are fine here: their input is bounded by the term list
+    if only_if_input:
+        counts = counts.withColumn("_input", F.sum("n").over(Window.partitionBy())).where(F.col("_input") > 0)
+    counts = counts.where(F.col("term").isNotNull())
     w = Window.orderBy(F.col("n").desc(), pos)
     return counts.select(F.row_number().over(w).cast("int").alias("rank"), "term",
                          F.col("n").cast("bigint").alias("n")).orderBy("rank")
 
 
+def _zero_rows(spark, terms: Sequence[str]) -> DataFrame:
+    """``(term, hit = 0)`` for every listed term (generated in the plan from one row)."""
+    return spark.range(1).select(F.explode(terms_array(terms)).alias("term"), F.lit(0).alias("hit"))
+
+
 def term_counts(articles: DataFrame, terms: Sequence[str], *, text_col: str = "text") -> DataFrame:
     """``(term, n)`` for the terms that occur; partial+final HashAggregate, one exchange."""
     return (articles.select(F.explode(present_terms(text_col, terms)).alias("term"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _complete(counts: DataFrame, terms: Sequence[str]) -> DataFrame:
+def _complete(matches: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Rank from ``(term, hit)`` match rows plus a zero row per listed term.
+
+    The zero rows join the matches below the one aggregation (a union under the
+    partial aggregate): one exchange, no join.
+    """
     terms = check_terms(terms)
-    all_terms = counts.sparkSession.range(1).select(F.explode(terms_array(terms)).alias("term"))
-    # ``counts`` has at most len(terms) rows, so broadcasting it is bounded by the term list
-    full = all_terms.join(F.broadcast(counts), "term", "left").select(
-        "term", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-    return _ranked(full, terms)
+    counts = (matches.unionByName(_zero_rows(matches.sparkSession, terms))
+              .groupBy("term").agg(F.sum("hit").alias("n")))
+    return _ranked(counts, terms)
 
 
 def rank_terms(articles: DataFrame, terms: Sequence[str], *, text_col: str = "text") -> DataFrame:
     """Complete ranking: every listed term, zero counts included."""
     terms = check_terms(terms)
-    return _complete(term_counts(articles, terms, text_col=text_col), terms)
+    return _complete(articles.select(F.explode(present_terms(text_col, terms)).alias("term"),
+                                     F.lit(1).alias("hit")), terms)
 
 
 def rank_terms_from_sets(sets: DataFrame, terms: Sequence[str]) -> DataFrame:
     """:func:`rank_terms` from :func:`matched_term_sets`."""
-    counts = sets.select(F.explode("matched").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    return _complete(counts, terms)
+    return _complete(sets.select(F.explode("matched").alias("term"), F.lit(1).alias("hit")), terms)
 
 
 def inverted_index(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
@@ -160,10 +175,20 @@ def rank_terms_single_pass(articles: DataFrame, terms: Sequence[str], *, id_col:
 
 
 def rank_terms_single_pass_from_sets(sets: DataFrame, terms: Sequence[str], *, id_col: str = "title") -> DataFrame:
-    """:func:`rank_terms_single_pass` from :func:`matched_term_sets`."""
+    """:func:`rank_terms_single_pass` from :func:`matched_term_sets`.
+
+    The sum of an article's 0/1 indicators over all articles is the number of
+    articles that mention the term, so only matches are counted and the zero
+    indicators (``len(terms)`` rows per article) are never generated.  An article
+    without a match still counts as input (``explode_outer`` gives it a null term);
+    the listed terms' zero rows enter the same aggregation, and the ranking is empty
+    exactly when no article was read.
+    """
     terms = check_terms(terms)
-    sums = indicator_from_sets(sets, terms, id_col=id_col).groupBy("term").agg(F.sum("hit").alias("n"))
-    return _ranked(sums, terms)
+    matches = sets.select(F.explode_outer("matched").alias("term"), F.lit(1).alias("hit"))
+    counts = (matches.unionByName(_zero_rows(sets.sparkSession, terms))
+              .groupBy("term").agg(F.sum("hit").alias("n")))
+    return _ranked(counts, terms, only_if_input=True)
 
 
 def top_term(ranking: DataFrame, k: int = 1) -> DataFrame:
