@@ -60,7 +60,13 @@ def test_posting_trailing_and_extra_fields(spark):
 
 
 def test_posting_bad_int_raises(spark):
-    raises_spark(lambda: parse_postings(lines_df(spark, ["x,1,,,0"])).collect(), "CAST_INVALID_INPUT")
+    from conftest import conf_override
+    for ansi in ("true", "false"):
+        with conf_override(spark, spark__sql__ansi__enabled=ansi):
+            raises_spark(lambda: parse_postings(lines_df(spark, ["x,1,,,0"])).collect(), "posting type is not")
+            raises_spark(lambda: parse_postings(lines_df(spark, ["1,1,,,zz"])).collect(), "score is not")
+            raises_spark(lambda: parse_postings(lines_df(spark, ["2,1,,p,3"])).collect(), "parent id is not")
+            assert rows(parse_postings(lines_df(spark, ["2,1,, 7,3"])), "parent_id") == [(7,)]
 
 
 def test_posting_too_few_fields_raises(spark):
