@@ -30,6 +30,8 @@ def category_index(tag: Column | str, categories: Sequence[str]) -> Column:
 def category_x(tag: Column | str, categories: Sequence[str], spread: int, *, strict: bool = True) -> Column:
     """x coordinate of a tag: ``index * spread``; a missing/unknown tag raises when strict."""
     check_spread(spread)
+    if spread * (len(categories) - 1) > 2**31 - 1:
+        raise ValueError(f"spread {spread} x {len(categories) - 1} categories does not fit the int x coordinate")
     idx = category_index(tag, categories)
     if strict:
         idx = required(idx, "question tag is missing or not in the category list")

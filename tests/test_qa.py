@@ -88,3 +88,20 @@ def test_other_posting_types_vanish(spark):
                                 (2, 3, None, 2, 1, None)], POSTING_SCHEMA)
     assert rows(qa.filter_questions(df), "id") == [(2,)]
     assert rows(qa.filter_answers(df), "id") == [(3,)]
+
+
+def test_spread_that_overflows_x_is_rejected(postings):
+    with pytest.raises(ValueError):
+        qa.vector_postings(qa.scored_postings(postings), DEFAULT_TERMS, 2**30)
+
+
+def test_pipeline_expected_vector_count(spark):
+    from kestrel.plans import fixtures as FX
+    from kestrel.plans.qa_clustering import qa_cluster_pipeline
+    from conftest import SF_SMALL
+    lines = FX.fx_posting_lines(spark, SF_SMALL)
+    n = FX.fx_vectors(spark, SF_SMALL).count()
+    res = qa_cluster_pipeline(lines, FX.ORDER_PRIORITIES, spread=50000, k=5, line_col="line", expected_vectors=n)
+    assert res.vectors.count() == n
+    raises_spark(lambda: qa_cluster_pipeline(lines, FX.ORDER_PRIORITIES, spread=50000, k=5, line_col="line",
+                                             expected_vectors=n + 1), "row count differs")
