@@ -20,7 +20,7 @@ from kestrel.sources.postings import parse_postings
 
 @dataclass
 class QAClusteringResult:
-    vectors: DataFrame          # materialised (Parquet in the checkpoint folder) and cached
+    vectors: DataFrame          # materialised (Parquet in the checkpoint folder), not cached
     points: DataFrame           # weighted distinct points (x, y, w), materialised and cached
     kmeans: KMeansResult
     results: DataFrame          # (cluster, label, percent, size, median_score)
@@ -51,6 +51,9 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
     seeds = initial_centres(vectors, k, categories, spread, seed=seed,
                             min_stratified_spread=STRATIFIED_MIN_SPREAD)
     points = materialize(weighted_points(vectors), "qa-points")
+    # from here on only the (small) weighted points are scanned repeatedly: release the
+    # cached vectors; the returned DataFrame still reads them from the written files
+    vectors.unpersist()
     result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
     results = cluster_results(vectors, result.centres, categories, spread, weighted=points)
     return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results))
