@@ -224,7 +224,7 @@ def q_average_vectors(spark, sf):
 
 def q_cluster_membership(spark, sf):
     c = _clustered(spark, sf, MIXED)
-    return report.cluster_membership(c.vectors, c.kmeans.centres)
+    return report.cluster_membership(c.vectors, c.kmeans.centres, weighted=c.points)
 
 
 def q_cluster_dominant(spark, sf):

@@ -131,3 +131,19 @@ def test_fixture_convergence_matches_the_probe(spark):
         for _ in range(steps):
             centres = KM.lloyd_step(vectors, centres)
         assert centres == res.centres
+
+
+def test_membership_lookup_equals_direct_assignment(spark):
+    from conftest import SF_SMALL
+    from kestrel.plans import fixtures as FX
+    from conftest import executed_plan
+    vectors = FX.fx_vectors(spark, SF_SMALL, FX.FIXTURE_MIXED_SPREAD)
+    centres = sampling.initial_centres(vectors, 5, FX.ORDER_PRIORITIES, FX.FIXTURE_MIXED_SPREAD)
+    points = KM.weighted_points(vectors).cache()
+    direct = report.cluster_membership(vectors, centres)
+    lookup = report.cluster_membership(vectors, centres, weighted=points)
+    assert sorted(rows(direct)) == sorted(rows(lookup))
+    assert "BroadcastHashJoin" in executed_plan(lookup)
+    over = report.cluster_membership(vectors, centres, weighted=points, broadcast_limit=1)
+    assert "Join" not in executed_plan(over)
+    assert sorted(rows(over)) == sorted(rows(direct))
