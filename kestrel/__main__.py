@@ -42,6 +42,12 @@ def _cluster(spark: SparkSession, args) -> None:
     t0 = time.perf_counter()
     res = qa_cluster_pipeline(read_lines(spark, args.path), args.categories, spread=args.spread, k=args.k,
                               eta=args.eta, max_iter=args.max_iter, expected_vectors=args.expected)
+    if args.debug:
+        for it in range(1, res.kmeans.iterations + 1):
+            steps = [t for t in res.kmeans.trace if t[0] == it]
+            print(f"Iteration {it}: displacement {steps[0][7]:g} (target < {args.eta:g})")
+            for _, i, ox, oy, nx, ny, d, _, _ in steps:
+                print(f"  centre {i:3d}  ({ox}, {oy}) -> ({nx}, {ny})  moved {d:.0f}")
     for line in res.report.collect():
         print(line["line"])
     print(f"k-means: {res.kmeans.iterations} iterations, displacement {res.kmeans.displacement:g}, "
@@ -65,6 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--eta", type=float, default=DEFAULT_ETA)
     c.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
     c.add_argument("--expected", type=int, default=None, help="fail unless exactly this many vectors")
+    c.add_argument("--debug", action="store_true", help="print every k-means iteration")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"kestrel-{args.cmd}").getOrCreate()
     (_rank if args.cmd == "rank-terms" else _cluster)(spark, args)

@@ -29,4 +29,7 @@ def test_cli_rank_and_cluster(spark, capsys):
     assert main(["cluster", post, "--categories", *FX.ORDER_PRIORITIES, "--k", "5", "--spread", "50000"]) == 0
     out = capsys.readouterr().out
     assert out.splitlines()[0] == "Resulting clusters:" and "k-means:" in out
+    assert main(["cluster", post, "--categories", *FX.ORDER_PRIORITIES, "--k", "5", "--debug"]) == 0
+    out = capsys.readouterr().out
+    assert out.startswith("Iteration 1: displacement") and "Resulting clusters:" in out
     assert os.path.isdir(art.replace("file:", ""))
