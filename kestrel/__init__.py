@@ -9,7 +9,8 @@ from kestrel.operators.kmeans import (assign_nearest, average_vectors, center_di
 from kestrel.operators.lists import strict_max, sum_or_zero
 from kestrel.operators.qa import (answer_keys, filter_answers, filter_questions, grouped_postings,
                                   join_questions_answers, scored_postings, vector_postings, with_category_index)
-from kestrel.operators.ranking import (explode_present_terms, inverted_index, matched_term_sets, mentions_term,
+from kestrel.operators.ranking import (explode_present_terms, inverted_index, inverted_index_lists,
+                                       matched_term_sets, mentions_term,
                                        occurrences_of_term, rank_terms, rank_terms_from_index,
                                        rank_terms_single_pass, save_inverted_index, term_indicator, top_term)
 from kestrel.operators.report import (cluster_dominant, cluster_median, cluster_membership, cluster_report_lines,
@@ -25,7 +26,7 @@ __all__ = [
     "answer_keys", "assign_nearest", "average_vectors", "center_displacement", "cluster_dominant",
     "cluster_median", "cluster_membership", "cluster_report_lines", "cluster_results", "cluster_size",
     "cluster_vectors", "converged", "diff_rows", "expect_row_count", "explode_present_terms", "filter_answers",
-    "filter_questions", "global_sample", "grouped_postings", "initial_centres", "inverted_index",
+    "filter_questions", "global_sample", "grouped_postings", "initial_centres", "inverted_index", "inverted_index_lists",
     "join_questions_answers", "kmeans", "lloyd_step", "matched_term_sets", "mentions_term",
     "occurrences_of_term", "order_violations", "parse_article_lines", "parse_postings", "qa_cluster_pipeline",
     "qa_vectors", "rank_terms", "rank_terms_from_index", "rank_terms_single_pass", "read_lines",

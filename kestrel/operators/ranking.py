@@ -160,6 +160,24 @@ def save_inverted_index(index: DataFrame, path: str, *, id_col: str = "title", m
     return path
 
 
+def inverted_index_lists(index: DataFrame, *, id_col: str = "title", max_list: int = 10_000) -> DataFrame:
+    """Posting lists as records: ``(term, part, n_parts, ids array)``, ids sorted.
+
+    The nested "term -> its articles" form, in bounded pieces: a term's postings are
+    split by a hash of the id into ``ceil(n / max_list)`` parts, so each record
+    holds about ``max_list`` ids however frequent the term (nothing is dropped; the
+    parts together are the whole list).  The per-term sizes come from one small
+    aggregate with at most one row per term, which is what gets broadcast.
+    """
+    if max_list < 1:
+        raise ValueError("max_list must be >= 1")
+    sizes = index.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).select(
+        "term", F.ceil(F.col("_n") / F.lit(max_list)).cast("int").alias("n_parts"))
+    keyed = index.join(F.broadcast(sizes), "term").withColumn(
+        "part", F.pmod(F.xxhash64(F.col(id_col)), F.col("n_parts").cast("bigint")).cast("int"))
+    return keyed.groupBy("term", "part", "n_parts").agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
+
+
 def rank_terms_from_index(index: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Ranking from the index: posting-list sizes; terms that never occur are absent."""
     terms = check_terms(terms)
