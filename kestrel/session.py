@@ -50,7 +50,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception as e:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder that every "
+                           "executor can reach") from e
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
