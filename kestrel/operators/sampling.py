@@ -76,19 +76,65 @@ def sample_stratum_check(vectors: DataFrame, categories: Sequence[str], spread:
     return out.withColumn("ok", ok)
 
 
+# rows kept per stratum before the window, as a multiple of the rows needed; with
+# md5 keys uniform, keeping fewer than needed has probability ~exp(-OVERSAMPLE*n)
+OVERSAMPLE = 8
+_PREFIX_HEX = 8      # the key prefix compared against the per-stratum threshold
+
+
+def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], *,
+                                  seed: int = SAMPLE_SEED, id_col: str = "question_id") -> DataFrame:
+    """:func:`stratified_sample`, without sorting every row first.
+
+    The window needs its input sorted by (stratum, key); on the full table that is
+    a sort of every vector.  Keys are md5 hashes, uniform in [0, 16^8) on their
+    first 8 hex digits, so each stratum first keeps only rows whose key prefix lies
+    below a threshold chosen to retain about ``OVERSAMPLE * per_stratum`` rows (a
+    narrow filter), and the window runs on that remainder.  Exact: every dropped
+    row's key is larger than every kept row's key, so the first ``per_stratum`` are
+    among the kept ones -- and a stratum that kept too few is redone from all its
+    rows.  ``stratum_sizes`` maps stratum value -> row count (e.g. from the
+    weighted points).
+    """
+    space = 16 ** _PREFIX_HEX
+    limits = {}
+    for x, size in stratum_sizes.items():
+        keep = OVERSAMPLE * per_stratum
+        if size > keep:
+            limits[int(x)] = format(max(1, space * keep // size), f"0{_PREFIX_HEX}x")
+    if not limits:
+        return stratified_sample(vectors, per_stratum, seed=seed, id_col=id_col)
+    key = sample_key(id_col, seed)
+    threshold = F.element_at(F.create_map(*[v for x, t in limits.items() for v in (F.lit(x), F.lit(t))]),
+                             F.col("x"))
+    kept = vectors.where(threshold.isNull() | (F.substring(key, 1, _PREFIX_HEX) < threshold))
+    sample = stratified_sample(kept, per_stratum, seed=seed, id_col=id_col)
+    got = {int(r["x"]): int(r["n"]) for r in sample.groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()}
+    short = [x for x in limits if got.get(x, 0) < min(per_stratum, stratum_sizes[x])]
+    if not short:
+        return sample
+    redo = stratified_sample(vectors.where(F.col("x").isin(short)), per_stratum, seed=seed, id_col=id_col)
+    return sample.where(~F.col("x").isin(short)).unionByName(redo)
+
+
 def initial_centres(vectors: DataFrame, k: int, categories: Sequence[str], spread: int, *,
                     seed: int = SAMPLE_SEED, min_stratified_spread: int = 500,
-                    id_col: str = "question_id") -> list[tuple[int, int]]:
+                    id_col: str = "question_id", stratum_sizes: dict[int, int] | None = None) -> list[tuple[int, int]]:
     """k seed centres on the driver (k rows, the only thing collected).
 
     ``spread >= min_stratified_spread``: ``k / #categories`` per category, ordered by
     (x, key, id); otherwise a global sample ordered by (key, id).  Centre i is the
-    i-th seed.  Fails unless exactly k seeds were found.
+    i-th seed.  Fails unless exactly k seeds were found.  With ``stratum_sizes``
+    (rows per x) the per-category sample is pre-filtered
+    (:func:`prefiltered_stratified_sample`).
     """
     check_spread(spread)
     if spread >= min_stratified_spread:
         n = per_stratum_size(k, categories)
-        seeds = stratified_sample(vectors, n, seed=seed, id_col=id_col)
+        if stratum_sizes:
+            seeds = prefiltered_stratified_sample(vectors, n, stratum_sizes, seed=seed, id_col=id_col)
+        else:
+            seeds = stratified_sample(vectors, n, seed=seed, id_col=id_col)
         order = [F.col("x"), sample_key(id_col, seed), F.col(id_col)]
     else:
         seeds = global_sample(vectors, k, seed=seed, id_col=id_col)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kestrel.constants import (DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SPREAD, DEFAULT_TERMS,
                                SAMPLE_SEED, STRATIFIED_MIN_SPREAD)
@@ -41,16 +42,20 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
     """Seeded k-means and the cluster report over ``(question_id, x, y)`` vectors.
 
     The vectors are written once to the shared checkpoint folder; the count check,
-    the seed sample and the weighted distinct points read that copy.  Every k-means
-    step and the final statistics read the (small) weighted points.
+    the weighted distinct points and the (pre-filtered) seed sample read that copy.
+    Every k-means step and the final statistics read the (small) weighted points.
     ``expected_vectors`` fails the job early when the vector count differs.
     """
     vectors = materialize(vectors.select("question_id", "x", "y"), "qa-vectors")
     if expected_vectors is not None:
         expect_row_count(vectors, expected_vectors, strict=True).collect()
-    seeds = initial_centres(vectors, k, categories, spread, seed=seed,
-                            min_stratified_spread=STRATIFIED_MIN_SPREAD)
     points = materialize(weighted_points(vectors), "qa-points")
+    # rows per category, from the (small) weighted points: lets the seed sample
+    # filter before its window instead of sorting every vector
+    sizes = ({int(r["x"]): int(r["n"]) for r in points.groupBy("x").agg(F.sum("w").alias("n")).collect()}
+             if spread >= STRATIFIED_MIN_SPREAD else None)
+    seeds = initial_centres(vectors, k, categories, spread, seed=seed,
+                            min_stratified_spread=STRATIFIED_MIN_SPREAD, stratum_sizes=sizes)
     # from here on only the (small) weighted points are scanned repeatedly: release the
     # cached vectors; the returned DataFrame still reads them from the written files
     vectors.unpersist()

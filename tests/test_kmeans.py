@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL, raises_spark, rows
+from conftest import SF_SMALL, executed_plan, raises_spark, rows
 from kestrel.operators import kmeans as KM
 from kestrel.operators import report, sampling
 
@@ -147,3 +147,21 @@ def test_membership_lookup_equals_direct_assignment(spark):
     over = report.cluster_membership(vectors, centres, weighted=points, broadcast_limit=1)
     assert "Join" not in executed_plan(over)
     assert sorted(rows(over)) == sorted(rows(direct))
+
+
+def test_prefiltered_stratified_sample_is_exact(spark, monkeypatch):
+    from conftest import SF_CHECK
+    from kestrel.plans import fixtures as FX
+    vectors = FX.fx_vectors(spark, SF_CHECK)
+    sizes = {x: n for x, n in rows(vectors.groupBy("x").count())}
+    plain = sorted(rows(sampling.stratified_sample(vectors, 3), "question_id", "x", "y", "sample_rank"))
+    pre = sampling.prefiltered_stratified_sample(vectors, 3, sizes)
+    assert sorted(rows(pre, "question_id", "x", "y", "sample_rank")) == plain
+    # the filter really drops rows before the window
+    assert "md5" in executed_plan(pre) and pre.count() == 15
+    # a threshold far too tight forces the per-stratum fallback; still exact
+    monkeypatch.setattr(sampling, "OVERSAMPLE", 0)
+    forced = sampling.prefiltered_stratified_sample(vectors, 3, {x: n * 10**6 for x, n in sizes.items()})
+    assert sorted(rows(forced, "question_id", "x", "y", "sample_rank")) == plain
+    seeds = sampling.initial_centres(vectors, 15, FX.ORDER_PRIORITIES, FX.FIXTURE_SPREAD, stratum_sizes=sizes)
+    assert seeds == sampling.initial_centres(vectors, 15, FX.ORDER_PRIORITIES, FX.FIXTURE_SPREAD)
