@@ -82,6 +82,23 @@ OVERSAMPLE = 8
 _PREFIX_HEX = 8      # the key prefix compared against the per-stratum threshold
 
 
+def _key_prefilter(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], seed: int,
+                   id_col: str) -> tuple[DataFrame, list[int]]:
+    """Rows whose md5-key prefix lies below their stratum's threshold, and the strata filtered."""
+    space = 16 ** _PREFIX_HEX
+    limits = {}
+    for x, size in stratum_sizes.items():
+        keep = OVERSAMPLE * per_stratum
+        if size > keep:
+            limits[int(x)] = format(max(1, space * keep // size), f"0{_PREFIX_HEX}x")
+    if not limits:
+        return vectors, []
+    threshold = F.element_at(F.create_map(*[v for x, t in limits.items() for v in (F.lit(x), F.lit(t))]),
+                             F.col("x"))
+    key = sample_key(id_col, seed)
+    return vectors.where(threshold.isNull() | (F.substring(key, 1, _PREFIX_HEX) < threshold)), list(limits)
+
+
 def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], *,
                                   seed: int = SAMPLE_SEED, id_col: str = "question_id") -> DataFrame:
     """:func:`stratified_sample`, without sorting every row first.
@@ -96,27 +113,22 @@ def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_
     rows.  ``stratum_sizes`` maps stratum value -> row count (e.g. from the
     weighted points).
     """
-    space = 16 ** _PREFIX_HEX
-    limits = {}
-    for x, size in stratum_sizes.items():
-        keep = OVERSAMPLE * per_stratum
-        if size > keep:
-            limits[int(x)] = format(max(1, space * keep // size), f"0{_PREFIX_HEX}x")
-    if not limits:
-        return stratified_sample(vectors, per_stratum, seed=seed, id_col=id_col)
-    key = sample_key(id_col, seed)
-    threshold = F.element_at(F.create_map(*[v for x, t in limits.items() for v in (F.lit(x), F.lit(t))]),
-                             F.col("x"))
-    kept = vectors.where(threshold.isNull() | (F.substring(key, 1, _PREFIX_HEX) < threshold))
+    kept, limited = _key_prefilter(vectors, per_stratum, stratum_sizes, seed, id_col)
     sample = stratified_sample(kept, per_stratum, seed=seed, id_col=id_col)
+    if not limited:
+        return sample
     got = {int(r["x"]): int(r["n"]) for r in sample.groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()}
-    short = [x for x in limits if got.get(x, 0) < min(per_stratum, stratum_sizes[x])]
+    short = [x for x in limited if got.get(x, 0) < min(per_stratum, stratum_sizes[x])]
     if not short:
         return sample
     redo = stratified_sample(vectors.where(F.col("x").isin(short)), per_stratum, seed=seed, id_col=id_col)
     return sample.where(~F.col("x").isin(short)).unionByName(redo)
 
 
+def _collect_seed_rows(sample: DataFrame, seed: int, id_col: str) -> list:
+    return sample.select("x", "y", sample_key(id_col, seed).alias("_key"), F.col(id_col).alias("_id")).collect()
+
+
 def initial_centres(vectors: DataFrame, k: int, categories: Sequence[str], spread: int, *,
                     seed: int = SAMPLE_SEED, min_stratified_spread: int = 500,
                     id_col: str = "question_id", stratum_sizes: dict[int, int] | None = None) -> list[tuple[int, int]]:
@@ -131,15 +143,21 @@ def initial_centres(vectors: DataFrame, k: int, categories: Sequence[str], sprea
     check_spread(spread)
     if spread >= min_stratified_spread:
         n = per_stratum_size(k, categories)
-        if stratum_sizes:
-            seeds = prefiltered_stratified_sample(vectors, n, stratum_sizes, seed=seed, id_col=id_col)
-        else:
-            seeds = stratified_sample(vectors, n, seed=seed, id_col=id_col)
-        order = [F.col("x"), sample_key(id_col, seed), F.col(id_col)]
+        kept, limited = (_key_prefilter(vectors, n, stratum_sizes, seed, id_col) if stratum_sizes
+                         else (vectors, []))
+        # at most n rows per stratum come back; the per-stratum check runs on the driver
+        rows = _collect_seed_rows(stratified_sample(kept, n, seed=seed, id_col=id_col), seed, id_col)
+        got: dict[int, int] = {}
+        for r in rows:
+            got[int(r["x"])] = got.get(int(r["x"]), 0) + 1
+        short = [x for x in limited if got.get(x, 0) < min(n, stratum_sizes[x])]
+        if short:
+            rows = [r for r in rows if int(r["x"]) not in short] + _collect_seed_rows(
+                stratified_sample(vectors.where(F.col("x").isin(short)), n, seed=seed, id_col=id_col), seed, id_col)
+        rows.sort(key=lambda r: (r["x"], r["_key"], r["_id"]))
     else:
-        seeds = global_sample(vectors, k, seed=seed, id_col=id_col)
-        order = [sample_key(id_col, seed), F.col(id_col)]
-    rows = seeds.orderBy(*order).select("x", "y").collect()
+        rows = global_sample(vectors, k, seed=seed, id_col=id_col).orderBy(
+            sample_key(id_col, seed), F.col(id_col)).select("x", "y").collect()
     if len(rows) != k:
         raise ValueError(f"sampling gave {len(rows)} seeds, expected {k}")
     return [(int(r["x"]), int(r["y"])) for r in rows]
