@@ -61,8 +61,12 @@ def join_questions_answers(postings: DataFrame, *, strict: bool = True) -> DataF
     q = filter_questions(postings).select(
         F.col("id").alias("question_id"), F.col("accepted_answer").alias("q_accepted_answer"),
         F.col("score").alias("q_score"), F.col("tags").alias("q_tags"))
-    a = answer_keys(postings, strict=strict)
-    return q.join(a, "question_id", "inner")
+    a = answer_keys(postings, strict=strict).withColumnRenamed("question_id", "_key")
+    # keys are never null here (a null id or, strictly, a null parent fails the job;
+    # non-strict answer_keys drops null parents), so null-safe equality gives the same
+    # pairs -- and, unlike ``=``, makes Catalyst infer no ``isnotnull`` filters, which it
+    # would push below the CSV parser and evaluate by re-splitting every line
+    return q.join(a, q["question_id"].eqNullSafe(a["_key"]), "inner").drop("_key")
 
 
 def _cogrouped(postings: DataFrame, *, strict: bool) -> DataFrame:

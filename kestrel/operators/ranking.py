@@ -60,9 +60,19 @@ def explode_present_terms(articles: DataFrame, terms: Sequence[str], *, id_col:
     return explode_term_sets(matched_term_sets(articles, terms, id_col=id_col, text_col=text_col), id_col=id_col)
 
 
+def _matched_terms(sets: DataFrame, *cols) -> DataFrame:
+    """``(*cols, term)``: one row per matched term (articles without a match give none).
+
+    ``explode_outer`` + a null filter on the generated column, not ``explode``: for an
+    inner explode Catalyst infers ``size(matched) > 0`` and pushes it below the
+    projection that computes ``matched``, which would tokenise every text twice.
+    """
+    return sets.select(*cols, F.explode_outer("matched").alias("term")).where(F.col("term").isNotNull())
+
+
 def explode_term_sets(sets: DataFrame, *, id_col: str = "title") -> DataFrame:
     """``(id, term)`` from :func:`matched_term_sets`."""
-    return sets.select(F.col(id_col), F.explode("matched").alias("term"))
+    return _matched_terms(sets, F.col(id_col))
 
 
 def term_indicator(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",
@@ -133,7 +143,7 @@ def rank_terms(articles: DataFrame, terms: Sequence[str], *, text_col: str = "te
 
 def rank_terms_from_sets(sets: DataFrame, terms: Sequence[str]) -> DataFrame:
     """:func:`rank_terms` from :func:`matched_term_sets`."""
-    return _complete(sets.select(F.explode("matched").alias("term"), F.lit(1).alias("hit")), terms)
+    return _complete(_matched_terms(sets).select("term", F.lit(1).alias("hit")), terms)
 
 
 def inverted_index(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",

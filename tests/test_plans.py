@@ -74,3 +74,25 @@ def test_no_python_or_cartesian_nodes_in_registered_queries(spark):
         plan = executed_plan(E.queries()[name](spark, SF_SMALL))
         for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_text_is_split_once_per_scan(spark):
+    """Catalyst must not copy the split into pushed-down (inferred) filters."""
+    import re
+    from kestrel.operators import ranking as R
+    from kestrel.sources.postings import parse_postings
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    terms = ["the", "of"]
+    lines = FX.fx_posting_lines(spark, SF_SMALL)
+    cases = {
+        "rank_terms_from_index": (R.rank_terms_from_index(R.inverted_index(docs, terms, id_col="doc_id"), terms), 1),
+        "inverted_index": (R.inverted_index(docs, terms, id_col="doc_id"), 1),
+        "rank_terms": (R.rank_terms(docs, terms), 1),
+        "rank_terms_single_pass": (R.rank_terms_single_pass(docs, terms, id_col="doc_id"), 1),
+        # two line sources (orders, lineitem) per side of the join
+        "join_questions_answers": (qa.join_questions_answers(parse_postings(lines, "line")), 4),
+        "scored_postings": (qa.scored_postings(parse_postings(lines, "line")), 2),
+    }
+    for name, (df, scans) in cases.items():
+        plan = executed_plan(df)
+        assert len(re.findall(r"\bsplit\(", plan)) == scans, (name, plan)
