@@ -118,6 +118,29 @@ def scored_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
         F.greatest(F.col("max_answer_score"), F.lit(0)).cast("int").alias("high_score"))
 
 
+def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: bool = True) -> DataFrame:
+    """Q&A grouped by question as bounded records.
+
+    ``(question_id, part, n_parts, q_accepted_answer, q_score, q_tags, answers)``
+    where ``answers`` is ``array<struct<answer_id, answer_score>>`` sorted by id.  A
+    question's pairs are split by a hash of the answer id into
+    ``ceil(n_pairs / max_list)`` parts of about ``max_list`` pairs each (every pair
+    kept), so a question owning a third of all answers becomes many bounded records.
+    The sizes come from a map-side-combined count; attaching them to the pairs is a
+    keyed join whose hot key AQE splits.
+    """
+    if max_list < 1:
+        raise ValueError("max_list must be >= 1")
+    pairs = join_questions_answers(postings, strict=strict)
+    sizes = pairs.groupBy("question_id").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(max_list)).cast("int").alias("n_parts"))
+    keyed = pairs.join(sizes, "question_id").withColumn(
+        "part", F.pmod(F.xxhash64("answer_id"), F.col("n_parts").cast("bigint")).cast("int"))
+    # a repeated question id has several question records: each gets its own lists
+    return (keyed.groupBy("question_id", "part", "n_parts", "q_accepted_answer", "q_score", "q_tags")
+            .agg(F.array_sort(F.collect_list(F.struct("answer_id", "answer_score"))).alias("answers")))
+
+
 def with_category_index(postings: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Adds ``category`` (0-based index of the tag in ``categories``; null if missing/unknown)."""
     return postings.withColumn("category", category_index("tags", categories))

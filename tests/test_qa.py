@@ -105,3 +105,17 @@ def test_pipeline_expected_vector_count(spark):
     assert res.vectors.count() == n
     raises_spark(lambda: qa_cluster_pipeline(lines, FX.ORDER_PRIORITIES, spread=50000, k=5, line_col="line",
                                              expected_vectors=n + 1), "row count differs")
+
+
+def test_grouped_pair_lists(postings, spark):
+    got = qa.grouped_pair_lists(postings).collect()
+    by_q = {r["question_id"]: r for r in got}
+    assert set(by_q) == {123, 1000} and all(r["n_parts"] == 1 for r in got)
+    assert [a["answer_id"] for a in by_q[1000]["answers"]] == [1001, 1002, 1003]
+    assert by_q[123]["q_tags"] == "C#"
+    # a hot question is split into bounded parts, every pair kept
+    from test_plans import skewed_postings
+    lists = qa.grouped_pair_lists(skewed_postings(spark), max_list=1000).where("question_id = 0").collect()
+    assert len(lists) == 20 and all(r["n_parts"] == 20 for r in lists)
+    assert sum(len(r["answers"]) for r in lists) == 20000
+    assert max(len(r["answers"]) for r in lists) < 2000
