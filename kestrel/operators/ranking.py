@@ -152,20 +152,31 @@ def inverted_index(articles: DataFrame, terms: Sequence[str], *, id_col: str = "
 
     Terms no article mentions have no rows.  The postings of one term are *not*
     gathered into one record (a frequent term would put most of the corpus into
-    one row); :func:`save_inverted_index` lays them out by term on storage.
+    one row); :func:`save_inverted_index` lays them out by term on storage and
+    :func:`inverted_index_lists` gives bounded per-term lists.
     """
     return explode_present_terms(articles, terms, id_col=id_col, text_col=text_col,
                                  keep_text=keep_text).select("term", id_col,
                                                              *([text_col] if keep_text else []))
 
 
-def save_inverted_index(index: DataFrame, path: str, *, id_col: str = "title", mode: str = "errorifexists") -> str:
+def save_inverted_index(index: DataFrame, path: str, *, id_col: str = "title", mode: str = "errorifexists",
+                        rows_per_file: int = 5_000_000) -> str:
     """Write the index as Parquet, one folder per term (``term=<t>/``), ids sorted per file.
 
-    No shuffle: every task writes its own postings into the term folders, so a hot
-    term becomes many files rather than one oversized task.
+    Each term's postings are split by a hash of the id into ``ceil(n / rows_per_file)``
+    parts and shuffled on (term, part): a term gets about one file per
+    ``rows_per_file`` postings -- not one tiny file per input task -- and a hot term
+    is still written by many tasks.  The per-term sizes are one aggregate with at most
+    one row per term (that is what gets broadcast).
     """
-    (index.sortWithinPartitions("term", id_col)
+    if rows_per_file < 1:
+        raise ValueError("rows_per_file must be >= 1")
+    sizes = index.groupBy("term").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("bigint").alias("_files"))
+    keyed = index.join(F.broadcast(sizes), "term").withColumn(
+        "_part", F.pmod(F.xxhash64(F.col(id_col)), F.col("_files")))
+    (keyed.repartition("term", "_part").sortWithinPartitions("term", id_col).drop("_part", "_files")
      .write.mode(mode).partitionBy("term").parquet(path))
     return path
 
