@@ -7,6 +7,9 @@ rows come out whatever the partitioning, and a plain SQL engine can reproduce th
 Per-stratum sampling is a ``row_number() <= n`` window.  Spark plans it with a
 partial ``WindowGroupLimit`` *before* the shuffle, so each task sends at most n rows
 per stratum: a stratum holding a third of all rows does not land in one task.
+That limit needs sorted input; when the stratum sizes are known,
+:func:`prefiltered_stratified_sample` / :func:`initial_centres` first drop rows by an
+md5-key threshold so only a few times n rows per stratum are sorted.
 """
 
 from __future__ import annotations
