@@ -70,9 +70,9 @@ def _matched_terms(sets: DataFrame, *cols) -> DataFrame:
     return sets.select(*cols, F.explode_outer("matched").alias("term")).where(F.col("term").isNotNull())
 
 
-def explode_term_sets(sets: DataFrame, *, id_col: str = "title") -> DataFrame:
-    """``(id, term)`` from :func:`matched_term_sets`."""
-    return _matched_terms(sets, F.col(id_col))
+def explode_term_sets(sets: DataFrame, *, id_col: str | None = "title") -> DataFrame:
+    """``(id, term)`` from :func:`matched_term_sets` (just ``(term)`` with ``id_col=None``)."""
+    return _matched_terms(sets, *([F.col(id_col)] if id_col else []))
 
 
 def term_indicator(articles: DataFrame, terms: Sequence[str], *, id_col: str = "title",

@@ -24,9 +24,10 @@ def term_ranking_pipeline(lines: DataFrame, terms: Sequence[str] = DEFAULT_TERMS
     to the shared checkpoint folder and the three rankings start from it.
     """
     articles = parse_article_lines(lines, line_col, on_error=on_error)
-    sets = materialize(matched_term_sets(articles, terms), "term-sets")
+    # only the sets are kept (no titles): the rankings never read the article id
+    sets = materialize(matched_term_sets(articles, terms).select("matched"), "term-sets")
     complete = rank_terms_from_sets(sets, terms)
-    from_index = rank_terms_from_index(explode_term_sets(sets), terms)
+    from_index = rank_terms_from_index(explode_term_sets(sets, id_col=None), terms)
     single = rank_terms_single_pass_from_sets(sets, terms)
     return (complete.select(F.lit("complete").alias("method"), "*")
             .unionByName(from_index.select(F.lit("index").alias("method"), "*"))
