@@ -1,9 +1,10 @@
 """Command-line jobs mirroring the two original main programs.
 
-    spark-submit -m kestrel rank-terms   <article-lines path> [--terms T ...] [--line-sep SEP]
-    spark-submit -m kestrel cluster      <posting-lines path> [--k 45] [--spread 50000] [--eta 20]
-                                         [--max-iter 120] [--expected N] [--categories C ...]
-    (or: python -m kestrel ...)
+    spark-submit --py-files kestrel.zip kestrel/__main__.py rank-terms <article-lines path>
+        [--terms T ...] [--line-sep SEP]
+    spark-submit --py-files kestrel.zip kestrel/__main__.py cluster <posting-lines path>
+        [--k 45] [--spread 50000] [--eta 20] [--max-iter 120] [--expected N] [--categories C ...] [--debug]
+    (locally: python -m kestrel ...)
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master, memory and
 ``spark.checkpoint.dir`` are whatever the submitter configured.  Only bounded
