@@ -132,10 +132,11 @@ def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: b
     if max_list < 1:
         raise ValueError("max_list must be >= 1")
     pairs = join_questions_answers(postings, strict=strict)
-    sizes = pairs.groupBy("question_id").agg(
+    sizes = pairs.groupBy(F.col("question_id").alias("_qid")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(max_list)).cast("int").alias("n_parts"))
-    keyed = pairs.join(sizes, "question_id").withColumn(
-        "part", F.pmod(F.xxhash64("answer_id"), F.col("n_parts").cast("bigint")).cast("int"))
+    # null-safe key equality: no inferred isnotnull filter pushed below the parser
+    keyed = (pairs.join(sizes, pairs["question_id"].eqNullSafe(sizes["_qid"])).drop("_qid")
+             .withColumn("part", F.pmod(F.xxhash64("answer_id"), F.col("n_parts").cast("bigint")).cast("int")))
     # a repeated question id has several question records: each gets its own lists
     return (keyed.groupBy("question_id", "part", "n_parts", "q_accepted_answer", "q_score", "q_tags")
             .agg(F.array_sort(F.collect_list(F.struct("answer_id", "answer_score"))).alias("answers")))
