@@ -41,6 +41,8 @@ def parse_article_lines(lines: DataFrame, line_col: str = "value", *, keep: list
         bad = F.raise_error(F.concat(F.lit("malformed article line: "), F.substring(line, 1, 80)))
         title = F.when(ok, title).otherwise(bad)
         text = F.when(ok, text).otherwise(bad)
-    else:
-        located = located.where(ok)
-    return located.select(*keep, title.alias("title"), text.alias("text"))
+        return located.select(*keep, title.alias("title"), text.alias("text"))
+    # drop: a one-element array for good lines, none for bad ones.  Not a filter --
+    # Catalyst would push it below ``located`` and search every line again in the scan
+    good = F.when(ok, F.array(F.struct(title.alias("title"), text.alias("text"))))
+    return located.select(*keep, F.inline(good))

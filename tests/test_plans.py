@@ -98,3 +98,11 @@ def test_text_is_split_once_per_scan(spark):
     for name, (df, scans) in cases.items():
         plan = executed_plan(df)
         assert len(re.findall(r"\bsplit\(", plan)) == scans, (name, plan)
+
+
+def test_article_separator_located_once(spark):
+    import re
+    from kestrel.sources.articles import parse_article_lines
+    for mode in ("raise", "drop"):
+        df = parse_article_lines(FX.fx_article_lines(spark, SF_SMALL), "line", on_error=mode)
+        assert len(re.findall(r"\binstr\(", executed_plan(df))) == 1, mode
