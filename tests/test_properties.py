@@ -121,3 +121,32 @@ def test_cluster_statistics_match_brute_force(spark, points, seed):
         med = ys[n // 2] if n % 2 else (ys[n // 2] + ys[n // 2 - 1]) // 2
         expected[c] = (cats[dom], float(per_x[dom] * 100 // n), n, med)
     assert got == expected
+
+
+@SETTINGS
+@given(questions=st.lists(st.tuples(st.integers(1, 6), st.one_of(st.none(), st.integers(0, 3)),
+                                    st.integers(-3, 3), st.sampled_from(["Java", "C#", "Scala", None])),
+                          max_size=10),
+       answers=st.lists(st.tuples(st.integers(1, 8), st.integers(-20, 20)), max_size=20))
+def test_scoring_matches_brute_force(spark, questions, answers):
+    from kestrel.operators import qa
+    from kestrel.sources.postings import POSTING_SCHEMA
+    rows_in = [(1, qid, acc, None, sc, tag) for qid, acc, sc, tag in questions]
+    rows_in += [(2, 1000 + i, None, parent, sc, None) for i, (parent, sc) in enumerate(answers)]
+    df = spark.createDataFrame(rows_in, POSTING_SCHEMA)
+    got = sorted(rows(qa.scored_postings(df), "question_id", "accepted_answer", "score", "tags", "high_score"),
+                 key=repr)
+
+    expected = []
+    for qid in sorted({q[0] for q in questions}):
+        ans = [sc for parent, sc in answers if parent == qid]
+        if not ans:
+            continue
+        recs = [(acc, sc, tag) for q, acc, sc, tag in questions if q == qid]
+        # ascending struct order with nulls first, as Spark compares the records
+        acc, sc, tag = min(recs, key=lambda r: tuple((v is not None, v if v is not None else "") for v in r))
+        expected.append((qid, acc, sc, tag, max(max(ans), 0)))
+    assert got == sorted(expected, key=repr)
+    pairs = {r["question_id"]: r["n_pairs"] for r in qa.grouped_postings(df).collect()}
+    assert pairs == {qid: sum(1 for q in questions if q[0] == qid) * sum(1 for p, _ in answers if p == qid)
+                     for qid, *_ in expected}
