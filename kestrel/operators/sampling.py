@@ -86,7 +86,7 @@ _PREFIX_HEX = 8      # the key prefix compared against the per-stratum threshold
 
 
 def _key_prefilter(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], seed: int,
-                   id_col: str) -> tuple[DataFrame, list[int]]:
+                   id_col: str, stratum_col: str = "x") -> tuple[DataFrame, list[int]]:
     """Rows whose md5-key prefix lies below their stratum's threshold, and the strata filtered."""
     space = 16 ** _PREFIX_HEX
     limits = {}
@@ -97,13 +97,14 @@ def _key_prefilter(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int
     if not limits:
         return vectors, []
     threshold = F.element_at(F.create_map(*[v for x, t in limits.items() for v in (F.lit(x), F.lit(t))]),
-                             F.col("x"))
+                             F.col(stratum_col))
     key = sample_key(id_col, seed)
     return vectors.where(threshold.isNull() | (F.substring(key, 1, _PREFIX_HEX) < threshold)), list(limits)
 
 
 def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], *,
-                                  seed: int = SAMPLE_SEED, id_col: str = "question_id") -> DataFrame:
+                                  seed: int = SAMPLE_SEED, id_col: str = "question_id",
+                                  stratum_col: str = "x") -> DataFrame:
     """:func:`stratified_sample`, without sorting every row first.
 
     The window needs its input sorted by (stratum, key); on the full table that is
@@ -116,16 +117,18 @@ def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_
     rows.  ``stratum_sizes`` maps stratum value -> row count (e.g. from the
     weighted points).
     """
-    kept, limited = _key_prefilter(vectors, per_stratum, stratum_sizes, seed, id_col)
-    sample = stratified_sample(kept, per_stratum, seed=seed, id_col=id_col)
+    kept, limited = _key_prefilter(vectors, per_stratum, stratum_sizes, seed, id_col, stratum_col)
+    sample = stratified_sample(kept, per_stratum, seed=seed, stratum_col=stratum_col, id_col=id_col)
     if not limited:
         return sample
-    got = {int(r["x"]): int(r["n"]) for r in sample.groupBy("x").agg(F.count(F.lit(1)).alias("n")).collect()}
+    got = {int(r["s"]): int(r["n"]) for r in
+           sample.groupBy(F.col(stratum_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     short = [x for x in limited if got.get(x, 0) < min(per_stratum, stratum_sizes[x])]
     if not short:
         return sample
-    redo = stratified_sample(vectors.where(F.col("x").isin(short)), per_stratum, seed=seed, id_col=id_col)
-    return sample.where(~F.col("x").isin(short)).unionByName(redo)
+    redo = stratified_sample(vectors.where(F.col(stratum_col).isin(short)), per_stratum, seed=seed,
+                             stratum_col=stratum_col, id_col=id_col)
+    return sample.where(~F.col(stratum_col).isin(short)).unionByName(redo)
 
 
 def _collect_seed_rows(sample: DataFrame, seed: int, id_col: str) -> list:
