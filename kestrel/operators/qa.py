@@ -45,10 +45,15 @@ def answer_keys(postings: DataFrame, *, strict: bool = True) -> DataFrame:
     filter.  Non-strict: such answers are dropped.
     """
     answers = filter_answers(postings)
-    if not strict:
-        answers = answers.where(F.col("parent_id").isNotNull())
-    return answers.select(_answer_key(strict).alias("question_id"), F.col("id").alias("answer_id"),
-                          F.col("score").alias("answer_score"))
+    if strict:
+        return answers.select(_answer_key(strict).alias("question_id"), F.col("id").alias("answer_id"),
+                              F.col("score").alias("answer_score"))
+    # drop parentless answers without a filter on the parsed parent: Catalyst would
+    # push such a filter below the CSV parser and split every line again
+    keep = F.when(F.col("parent_id").isNotNull(), F.array(F.struct(
+        F.col("parent_id").alias("question_id"), F.col("id").alias("answer_id"),
+        F.col("score").alias("answer_score"))))
+    return answers.select(F.inline(keep))
 
 
 def join_questions_answers(postings: DataFrame, *, strict: bool = True) -> DataFrame:

@@ -92,6 +92,8 @@ def test_text_is_split_once_per_scan(spark):
         # two line sources (orders, lineitem) per side of the join
         "join_questions_answers": (qa.join_questions_answers(parse_postings(lines, "line")), 4),
         "scored_postings": (qa.scored_postings(parse_postings(lines, "line")), 2),
+        "join_questions_answers (non-strict)": (
+            qa.join_questions_answers(parse_postings(lines, "line"), strict=False), 4),
         # the pairs are built twice (for the lists and for their sizes): 2 x 4 branches
         "grouped_pair_lists": (qa.grouped_pair_lists(parse_postings(lines, "line")), 8),
     }
