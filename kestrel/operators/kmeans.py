@@ -131,7 +131,7 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
         raise ValueError("max_iter must be >= 1")
     centres = [(int(cx), int(cy)) for cx, cy in centres]
     own = weighted is None
-    base = materialize(weighted_points(vectors), "kmeans-points") if own else weighted
+    base = materialize(weighted_points(vectors), "kmeans-points").persist() if own else weighted
     trace: list[tuple] = []
     try:
         it = 0

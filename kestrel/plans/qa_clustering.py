@@ -49,7 +49,7 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
     vectors = materialize(vectors.select("question_id", "x", "y"), "qa-vectors")
     if expected_vectors is not None:
         expect_row_count(vectors, expected_vectors, strict=True).collect()
-    points = materialize(weighted_points(vectors), "qa-points")
+    points = materialize(weighted_points(vectors), "qa-points").persist()
     # rows per category, from the (small) weighted points: lets the seed sample
     # filter before its window instead of sorting every vector
     sizes = ({int(r["x"]): int(r["n"]) for r in points.groupBy("x").agg(F.sum("w").alias("n")).collect()}

@@ -41,11 +41,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _is_local_master(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a folder every executor can reach); we only
-    invent one for a local master, as tests do.
+    invent one for a single-JVM local master, as tests do.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -58,7 +62,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not (sc.master or "").startswith("local"):
+    if not _is_local_master(sc.master or ""):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) "
             "that every executor can reach")
@@ -72,18 +76,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, *, cache: bool = True) -> DataFrame:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it lives in (nothing happens if it is gone)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
-    This cuts the lineage: if an executor (and its cached blocks) is lost, the
-    blocks are rebuilt from the written files, not by re-running the upstream
-    joins and aggregations.  ``cache`` additionally pins the re-read table for
-    loops that scan it many times (k-means).
+    This cuts the lineage: if an executor is lost, later stages read the written files
+    instead of re-running the upstream joins and aggregations.  Nothing is cached.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    out = spark.read.parquet(path)
-    if cache:
-        out = out.persist()
-    return out
+    return spark.read.parquet(path)
+
+
+class Scratch:
+    """Materialised tables of one job and the folders to delete when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def materialize(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        return materialize(df, name, path=path)
+
+    def close(self) -> None:
+        while self.paths:
+            delete_path(self.spark, self.paths.pop())
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
