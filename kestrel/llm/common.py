@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable, Hashable
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +30,11 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """One object per Python worker process: tasks that run in a reused worker share it."""
+    store = sys.modules.setdefault("_kestrel_worker", types.ModuleType("_kestrel_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]

@@ -14,8 +14,8 @@ The offset index (Parquet below ``<path>/index``) has a row per record: doc_id,
 length, n_tokens, start, ids_crc32; ``read_records_at`` fetches records in any order by it.
 
 Tokens: a space between two non-space characters always starts a new piece of the byte-level
-vocabulary, so texts are cut there and each distinct piece is encoded once per task by the tokenizers
-library.  The ids are those of encoding the whole text.
+vocabulary, so texts are cut there and each distinct piece is encoded once per worker
+process by the tokenizers library.  The ids are those of encoding the whole text.
 
 Defined cases: null and empty texts have the end id only; null doc_ids come first; rows with equal
 doc_ids stand in the order of their texts; other columns are ignored; an empty table
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from kestrel.llm.bytesvec import SegmentHasher, chunks, ragged, utf8_of
+from kestrel.llm.common import per_worker
 from kestrel.session import scratch_path
 
 END_ID = 0
@@ -43,13 +44,13 @@ HEAD, HEAD_SIZE = "<QI", 12
 TAIL, TAIL_SIZE = "<I", 4
 DOC, DOC_SIZE = "<q", 8
 MASK_DELTA = 0xA282EAD8
-#: Distinct pieces remembered per task; beyond it the memory starts anew (ids do not change).
-MEMO = 1_000_000
+#: Distinct pieces remembered per worker process (about 40 bytes each); beyond it the memory starts anew.
+MEMO = 3_000_000
 #: ASCII white space and control characters; first bytes of other characters that may be white space.
 MAYBE_SPACE = np.arange(256) <= 0x20
 LEADS_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 #: Text bytes per record file.
-FILE_BYTES = 64 << 20
+FILE_BYTES = 32 << 20
 
 
 def masked_crc(data: bytes) -> int:
@@ -64,32 +65,34 @@ def frame(payload: bytes) -> bytes:
     return length + struct.pack(TAIL, masked_crc(length)) + payload + struct.pack(TAIL, masked_crc(payload))
 
 
-def records_of(data: bytes) -> Iterator[tuple[int, bytes]]:
-    """(offset, payload) of each record of a file; raises ValueError on any damage."""
+def records_of(data) -> Iterator[tuple[int, memoryview]]:
+    """(offset, payload) of each record of a file's bytes; raises ValueError on any damage."""
     at, view = 0, memoryview(data)
-    while at < len(data):
-        if at + HEAD_SIZE > len(data):
+    while at < len(view):
+        if at + HEAD_SIZE > len(view):
             raise ValueError(f"truncated record head at {at}")
         length, check = struct.unpack_from(HEAD, data, at)
         if masked_crc(view[at:at + 8]) != check:
             raise ValueError(f"bad length checksum at {at}")
         end = at + HEAD_SIZE + length
-        if end + TAIL_SIZE + 1 > len(data):
+        if end + TAIL_SIZE + 1 > len(view):
             raise ValueError(f"truncated record at {at}")
-        payload = bytes(view[at + HEAD_SIZE:end])
-        if masked_crc(payload) != struct.unpack_from(TAIL, data, end)[0] or data[end + TAIL_SIZE] != 10:
+        payload = view[at + HEAD_SIZE:end]
+        if masked_crc(payload) != struct.unpack_from(TAIL, data, end)[0] or view[end + TAIL_SIZE] != 10:
             raise ValueError(f"bad payload checksum at {at}")
         yield at, payload
         at = end + TAIL_SIZE + 1
 
 
 class PieceEncoder:
-    """Encodes texts to packed ids; every distinct piece goes through the library once per task.
+    """Encodes texts to packed ids; every distinct piece goes through the library once per worker process.
 
     A text is cut at each space between two characters that are certainly not white space: there the
     vocabulary's pattern always starts a new token.  Pieces are told apart by 64-bit hashes of their bytes;
     new ones are encoded many at a time, joined, and cut apart again by the byte lengths of their tokens."""
 
+    STEP = 200  # pieces per call of the library
+
     def __init__(self, tokenizer_path: str, end_id: int):
         from tokenizers import Tokenizer
 
@@ -105,7 +108,7 @@ class PieceEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}  # hash -> place in first/count
+        self.known = np.empty(0, np.uint64)  # hashes of the pieces, sorted; first and count run along with them
         self.first = self.count = np.empty(0, np.int64)
         self.ids = np.empty(0, self.dtype)
 
@@ -115,8 +118,8 @@ class PieceEncoder:
     def _joined(self, raw: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids, and ids per piece, of pieces that may stand next to each other."""
         out, counts = [], []
-        for i in range(0, len(begin), 1000):
-            b, e = begin[i:i + 1000], end[i:i + 1000]
+        for i in range(0, len(begin), self.STEP):
+            b, e = begin[i:i + self.STEP], end[i:i + self.STEP]
             part = [raw[x:y] for x, y in zip(b.tolist(), e.tolist())]
             ids, = self._library([b"".join(part).decode()])
             at, ends = np.cumsum(self.sizes[ids]), np.cumsum(e - b)
@@ -133,10 +136,13 @@ class PieceEncoder:
     def _learn(self, hashes: np.ndarray, raw: bytes, begin: np.ndarray, end: np.ndarray, joins: np.ndarray) -> None:
         alone = self._library([raw[b:e].decode() for b, e in zip(begin[~joins].tolist(), end[~joins].tolist())])
         ids, counts = self._joined(raw, begin[joins], end[joins])
+        order = np.argsort(np.r_[np.flatnonzero(joins), np.flatnonzero(~joins)])
         counts = np.concatenate([*counts, np.array([len(x) for x in alone], dtype=np.int64)]).astype(np.int64)
         first = len(self.ids) + np.cumsum(counts) - counts
-        self.slot.update(zip(np.r_[hashes[joins], hashes[~joins]].tolist(), range(len(self.first), len(self.first) + len(first))))
-        self.first, self.count = np.r_[self.first, first], np.r_[self.count, counts]
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.first = np.insert(self.first, at, first[order])
+        self.count = np.insert(self.count, at, counts[order])
         self.ids = np.concatenate([self.ids, *ids, *alone])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -144,12 +150,12 @@ class PieceEncoder:
         n = len(offsets) - 1
         if not len(data):
             return [self.end.tobytes()] * n
-        if len(self.slot) > MEMO:
+        if len(self.known) > MEMO:
             self.forget()
         # cut before a space whose neighbours cannot be white space, and at every text
         space = np.flatnonzero(data == 0x20)
-        behind = [np.where(space >= k, data[space - k], 0x20) for k in (1, 2, 3)]
-        ahead = np.where(space + 1 < len(data), data[np.minimum(space + 1, len(data) - 1)], 0x20)
+        padded = np.pad(data, 3, constant_values=0x20)
+        behind, ahead = [padded[space + 3 - k] for k in (1, 2, 3)], padded[space + 4]
         ends_well = ~(MAYBE_SPACE[behind[0]] | ((behind[1] == 0xC2) & ((behind[0] == 0x85) | (behind[0] == 0xA0)))
                       | ((behind[2] >= 0xE1) & (behind[2] <= 0xE3) & (behind[0] >= 0x80)))
         cut = space[ends_well & ~MAYBE_SPACE[ahead] & ~LEADS_SPACE[ahead]]
@@ -163,18 +169,19 @@ class PieceEncoder:
         distinct, where = hashes[order][edge], order[edge]
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(edge) - 1
-        slots = [self.slot.get(h, -1) for h in distinct.tolist()]
-        new = np.flatnonzero(np.array(slots) < 0)
+        slots = np.searchsorted(self.known, distinct)
+        new = np.flatnonzero(self.known[np.minimum(slots, len(self.known) - 1)] != distinct) if len(self.known) else \
+            np.arange(len(distinct))
         if len(new):
             at = where[new]
             begin, end = starts[at], starts[at] + lengths[at]
-            tail = data[end - 1]
-            is_cut = np.zeros(len(data), dtype=bool)
+            is_cut = np.zeros(len(data) + 1, dtype=bool)
             is_cut[cut] = True
-            joins = is_cut[begin] & (tail < 0x80) & ~MAYBE_SPACE[tail]
+            tail = data[end - 1]
+            joins = is_cut[begin] & (is_cut[end] | (tail < 0x80) & ~MAYBE_SPACE[tail])
             self._learn(distinct[new], data.tobytes(), begin, end, joins)
-            slots = [self.slot[h] for h in distinct.tolist()]
-        slots = np.array(slots)[inverse]
+            slots = np.searchsorted(self.known, distinct)
+        slots = slots[inverse]
         counts = self.count[slots]
         ids = self.ids[ragged(self.first[slots], counts)]
         total = np.r_[0, np.cumsum(counts)][np.searchsorted(starts, offsets)]  # ids before each text
@@ -194,7 +201,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, *, order: lis
               .repartitionByRange(files, *names).sortWithinPartitions(*names).select("d", "t"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path, end_id)
+        encoder = per_worker((tokenizer_path, end_id), lambda: PieceEncoder(tokenizer_path, end_id))
         for batch in batches:
             data, offsets = utf8_of(batch.column(1))
             for i, j in chunks(offsets):
@@ -229,7 +236,7 @@ def build_index(spark: SparkSession, path: str, width: int) -> DataFrame:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows: list[tuple] = []
                 start = 0
-                for offset, payload in records_of(content.as_py()):
+                for offset, payload in records_of(content.as_buffer()):
                     ids = np.frombuffer(payload, dtype=kind, offset=DOC_SIZE).astype("<u4")
                     doc_id = struct.unpack_from(DOC, payload)[0]
                     rows.append((None if doc_id == NULL_ID else doc_id, offset, len(payload), len(ids), start,
@@ -262,7 +269,7 @@ def read_records_at(wanted: DataFrame, path: str, width: int) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, offsets in zip(batch.column(0), batch.column(1).to_pylist()):
-                data = content.as_py()
+                data = memoryview(content.as_buffer())
                 rows = []
                 for at in sorted(offsets):
                     length = struct.unpack_from(HEAD, data, at)[0]
