@@ -18,7 +18,7 @@ vocabulary, so texts are cut there and each distinct piece is encoded once per w
 process by the tokenizers library.  The ids are those of encoding the whole text.
 
 Defined cases: null and empty texts have the end id only; null doc_ids come first; rows with equal
-doc_ids stand in the order of their texts; other columns are ignored; an empty table
+doc_ids stand in the order of a hash of their texts; other columns are ignored; an empty table
 writes no record and gives an empty index.
 """
 
@@ -191,7 +191,7 @@ class PieceEncoder:
 def write_records(docs: DataFrame, path: str, tokenizer_path: str, *, order: list[Column] | None = None,
                   text: str = "text", end_id: int = END_ID, files: int | None = None) -> None:
     """Write the ids of all texts below ``path`` in the given order (ascending doc_id unless told otherwise)."""
-    order = [F.col("doc_id"), F.col(text)] if order is None else order
+    order = [F.col("doc_id"), F.xxhash64(text)] if order is None else order
     keys = [c.alias(f"k{i}") for i, c in enumerate(order)]
     names = [f"k{i}" for i in range(len(keys))]
     if files is None:
