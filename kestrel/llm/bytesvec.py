@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time (a longer single text is handled alone).
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: The contracts' white space, as a table over bytes.
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -24,6 +24,14 @@ def utf8_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0]:offs[-1]], offs - offs[0]
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow held for those before is given back to the system."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes."""
     at, n = 0, len(offsets) - 1

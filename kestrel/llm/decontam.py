@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.bytesvec import SegmentHasher, chunks, utf8_of
+from kestrel.llm.bytesvec import SegmentHasher, chunks, lean, utf8_of
 
 SEED = 3
 #: Chance of an n-gram per word of the corpus below which it is rare.
@@ -90,7 +90,7 @@ def word_counts(docs: DataFrame, items: Items, text: str = "text") -> tuple[np.n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size + 1, dtype=np.int64)
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = utf8_of(batch.column(0))
             for i, j in chunks(offsets):
                 hashes, _ = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -235,7 +235,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", thresh
         found = seeds(items, *word_counts(docs, items, text))
 
         def scan(batches: Iterator[pa.RecordBatch], items=items, found=found) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in lean(batches):
                 ids = batch.column(0)
                 rows = [(ids[r].as_py(), *x) for r, xs in _scan(batch.column(1), items, *found, threshold) for x in xs]
                 if rows:
@@ -257,7 +257,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", thresh
         found = seeds(items, *word_counts(docs, items, text))
 
         def keep(batches: Iterator[pa.RecordBatch], items=items, found=found) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in lean(batches):
                 mask = np.ones(batch.num_rows, dtype=bool)
                 mask[[r for r, _ in _scan(batch.column(at), items, *found, threshold)]] = False
                 yield batch.filter(pa.array(mask))

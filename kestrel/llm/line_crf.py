@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, utf8_of, word_segments
+from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, lean, utf8_of, word_segments
 
 FOLDS = 5
 TRAIN_DOCS = 4000
@@ -242,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     """The model of a bounded sample; executors compute the bins, the driver gets at most TRAIN_DOCS * TRAIN_LINES lines."""
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = utf8_of(batch.column(2))
             for i, j in chunks(offsets):
                 bins, chars, counts = line_bins(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -279,7 +279,7 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
     """doc_id, held_out, score, predicted: one row per row of ``docs``."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_column(batch.column(1), model))],
                                              names=["doc_id", "score"])
 
@@ -293,7 +293,7 @@ def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             yield batch.filter(pa.array(score_column(batch.column(at), model) >= THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)

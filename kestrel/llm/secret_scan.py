@@ -22,6 +22,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kestrel.llm.bytesvec import lean
+
 KINDS = ("assign", "access", "hex", "credential")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
@@ -159,7 +161,7 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_credential, base_sha256, spans."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             counts: list[list[int]] = [[], [], [], []]
             shas, spans = [], []
             for t in batch.column(1).to_pylist():

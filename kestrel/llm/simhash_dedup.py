@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from kestrel.llm.bytesvec import lean
 from kestrel.llm.common import fresh_name
 from kestrel.llm.components import connected_components
 from kestrel.session import materialize
@@ -69,7 +70,7 @@ def with_fingerprint(docs: DataFrame, column: str, text: str = "text", shingle:
     at = docs.columns.index(text)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             found = pa.array([fingerprint(t, shingle) for t in batch.column(at).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, column])
 
@@ -134,7 +135,7 @@ def _links(rows: DataFrame, radius: int) -> DataFrame:
                                                pa.array(np.concatenate(b).view(np.int64))], names=["a", "b"])
 
         keys, fps = np.empty(0, np.int64), np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in lean(batches):
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
             fps = np.concatenate([fps, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
             last = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0  # the last bucket may go on

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, mix, ragged, utf8_of, word_segments
+from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, lean, mix, ragged, utf8_of, word_segments
 from kestrel.llm.common import shuffle_partitions
 
 WINDOW = 50
@@ -207,7 +207,7 @@ def symbol_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iter
             key, _, shared = _local(keys, ids, mix(runs.astype(np.uint64) * _U(3) + ids.astype(np.uint64)))
             yield _batch([key, ids, runs, shared], ["key", "id", "run", "shared"])
 
-    for batch in batches:
+    for batch in lean(batches):
         ids, copied = batch.column(0).to_numpy(zero_copy_only=False), _copied(batch)
         for i, j, data, offsets in _texts(batch):
             words = Words(data, offsets, window)
@@ -243,7 +243,7 @@ def window_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iter
             both, later, _ = _local(h1 ^ mix(h2), ids, mix(spots.astype(np.uint64) * _U(3) + ids.astype(np.uint64)))
             yield _batch([np.where(later, both, h1), h2 >> _U(32), ids, spots, later], ["h1", "h2", "id", "spot", "later"])
 
-    for batch in batches:
+    for batch in lean(batches):
         ids, tags = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
         runs, run_of = batch.column(3).flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(
             batch.column(3).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
@@ -268,7 +268,7 @@ def window_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iter
 
 def cleaned_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW, with_text: bool = False) -> Iterator[pa.RecordBatch]:
     """(id, n_words, n_removed, kept_sha256[, text]) of each text, without the words under its repeated windows."""
-    for batch in batches:
+    for batch in lean(batches):
         copied = _copied(batch)
         out: list[tuple] = []
         for d, tag, text, spots, whole in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 4)), copied):

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from kestrel.llm.bytesvec import SegmentHasher, chunks, ragged, utf8_of
+from kestrel.llm.bytesvec import SegmentHasher, chunks, lean, ragged, utf8_of
 from kestrel.llm.common import per_worker
 from kestrel.session import scratch_path
 
@@ -202,7 +202,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, *, order: lis
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_worker((tokenizer_path, end_id), lambda: PieceEncoder(tokenizer_path, end_id))
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = utf8_of(batch.column(1))
             for i, j in chunks(offsets):
                 ids = encoder.encode(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -232,7 +232,7 @@ def build_index(spark: SparkSession, path: str, width: int) -> DataFrame:
     kind = f"<u{width}"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows: list[tuple] = []
                 start = 0
@@ -267,7 +267,7 @@ def read_records_at(wanted: DataFrame, path: str, width: int) -> DataFrame:
     spots = wanted.groupBy("file").agg(F.collect_list("offset").alias("offsets"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             for content, offsets in zip(batch.column(0), batch.column(1).to_pylist()):
                 data = memoryview(content.as_buffer())
                 rows = []

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm.bytesvec import lean
+
 HASH_BITS = 14
 NGRAMS = (3, 4, 5)
 #: A URL is blocked from this probability on.
@@ -152,7 +154,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule] = RULES,
              .select("page_id", "host", "path", "r.rule", "r.verdict"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             hosts, paths, verdicts = (batch.column(c).to_pylist() for c in ("host", "path", "verdict"))
             p = [None if v is not None else block_probability(h, q, w, b) for h, q, v in zip(hosts, paths, verdicts)]
             said = [v if v is not None else ("block" if x >= THRESHOLD else "allow") for v, x in zip(verdicts, p)]
