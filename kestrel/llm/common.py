@@ -7,7 +7,7 @@ import types
 from collections.abc import Callable, Hashable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space of the contracts: space and \x09-\x0D.  ``bytes.split()`` splits on the same six bytes.
@@ -32,6 +32,18 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+#: Bytes of text that Spark hands to a Python task at once: rows have no bound of their own.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Make the session's Arrow batches no larger than BATCH_BYTES (a single longer row is a batch)."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(setting)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(setting, BATCH_BYTES)
+
+
 def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
     """One object per Python worker process: tasks that run in a reused worker share it."""
     store = sys.modules.setdefault("_kestrel_worker", types.ModuleType("_kestrel_worker")).__dict__

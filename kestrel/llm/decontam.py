@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.bytesvec import SegmentHasher, chunks, lean, utf8_of
+from kestrel.llm.common import bounded_batches
 
 SEED = 3
 #: Chance of an n-gram per word of the corpus below which it is rare.
@@ -86,6 +87,7 @@ def item_block(rows: list) -> Items:
 
 def word_counts(docs: DataFrame, items: Items, text: str = "text") -> tuple[np.ndarray, int]:
     """Occurrences of each vocabulary word in all documents, and all words (counted per task, then summed)."""
+    bounded_batches(docs.sparkSession)
     size = len(items.vocab)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, lean, utf8_of, word_segments
+from kestrel.llm.common import bounded_batches
 
 FOLDS = 5
 TRAIN_DOCS = 4000
@@ -240,6 +241,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> D
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     """The model of a bounded sample; executors compute the bins, the driver gets at most TRAIN_DOCS * TRAIN_LINES lines."""
+    bounded_batches(docs.sparkSession)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
@@ -277,6 +279,7 @@ def score_column(column: pa.Array, model: Model) -> np.ndarray:
 
 def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of ``docs``."""
+    bounded_batches(docs.sparkSession)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
@@ -290,6 +293,7 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
 
 def keep_good(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that the model does not reject; no shuffle."""
+    bounded_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

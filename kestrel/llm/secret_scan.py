@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kestrel.llm.bytesvec import lean
+from kestrel.llm.common import bounded_batches
 
 KINDS = ("assign", "access", "hex", "credential")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -159,6 +160,7 @@ def spelled(spans: list[tuple[int, int, str]]) -> str:
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_credential, base_sha256, spans."""
+    bounded_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from kestrel.llm.bytesvec import lean
-from kestrel.llm.common import fresh_name
+from kestrel.llm.common import bounded_batches, fresh_name
 from kestrel.llm.components import connected_components
 from kestrel.session import materialize
 
@@ -68,6 +68,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def with_fingerprint(docs: DataFrame, column: str, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """All columns of ``docs`` and the fingerprint as ``column`` (bigint)."""
     at = docs.columns.index(text)
+    bounded_batches(docs.sparkSession)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):

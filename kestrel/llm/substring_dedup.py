@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, lean, mix, ragged, utf8_of, word_segments
-from kestrel.llm.common import shuffle_partitions
+from kestrel.llm.common import bounded_batches, shuffle_partitions
 
 WINDOW = 50
 #: Rounds of pair naming; runs are named before those in RUN_ROUNDS.
@@ -294,6 +294,7 @@ def cleaned_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW, with_t
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept_text on request): one row per row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID).cast("long")).alias("id"), F.xxhash64(body).alias("tag"),
                        body.alias("text"), F.xxhash64(F.lit(1), body).alias("tag2"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from kestrel.llm.bytesvec import SegmentHasher, chunks, lean, ragged, utf8_of
-from kestrel.llm.common import per_worker
+from kestrel.llm.common import bounded_batches, per_worker
 from kestrel.session import scratch_path
 
 END_ID = 0
@@ -192,6 +192,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, *, order: lis
                   text: str = "text", end_id: int = END_ID, files: int | None = None) -> None:
     """Write the ids of all texts below ``path`` in the given order (ascending doc_id unless told otherwise)."""
     order = [F.col("doc_id"), F.xxhash64(text)] if order is None else order
+    bounded_batches(docs.sparkSession)
     keys = [c.alias(f"k{i}") for i, c in enumerate(order)]
     names = [f"k{i}" for i in range(len(keys))]
     if files is None:
