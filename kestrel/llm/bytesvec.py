@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +26,16 @@ def utf8_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches; what Arrow held for those before is given back to the system."""
+    """The batches; memory that Arrow and the C heap hold for those before is given back to the system.
+
+    Python workers live on between tasks, so what they keep unused adds to the executor's memory for good."""
+    heap = ctypes.CDLL(None)
     for batch in batches:
         yield batch
         del batch
         pa.default_memory_pool().release_unused()
+        if hasattr(heap, "malloc_trim"):
+            heap.malloc_trim(0)
 
 
 def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:

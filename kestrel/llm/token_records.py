@@ -45,7 +45,7 @@ TAIL, TAIL_SIZE = "<I", 4
 DOC, DOC_SIZE = "<q", 8
 MASK_DELTA = 0xA282EAD8
 #: Distinct pieces remembered per worker process (about 40 bytes each); beyond it the memory starts anew.
-MEMO = 3_000_000
+MEMO = 1_500_000
 #: ASCII white space and control characters; first bytes of other characters that may be white space.
 MAYBE_SPACE = np.arange(256) <= 0x20
 LEADS_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
@@ -234,7 +234,7 @@ def build_index(spark: SparkSession, path: str, width: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):  # a file at a time
                 rows: list[tuple] = []
                 start = 0
                 for offset, payload in records_of(content.as_buffer()):
