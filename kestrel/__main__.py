@@ -41,8 +41,12 @@ def _rank(spark: SparkSession, args) -> None:
 
 def _cluster(spark: SparkSession, args) -> None:
     t0 = time.perf_counter()
-    res = qa_cluster_pipeline(read_lines(spark, args.path), args.categories, spread=args.spread, k=args.k,
-                              eta=args.eta, max_iter=args.max_iter, expected_vectors=args.expected)
+    with qa_cluster_pipeline(read_lines(spark, args.path), args.categories, spread=args.spread, k=args.k,
+                             eta=args.eta, max_iter=args.max_iter, expected_vectors=args.expected) as res:
+        _report(res, args, t0)
+
+
+def _report(res, args, t0: float) -> None:
     if args.debug:
         for it in range(1, res.kmeans.iterations + 1):
             steps = [t for t in res.kmeans.trace if t[0] == it]

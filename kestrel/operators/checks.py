@@ -8,14 +8,25 @@ from pyspark.sql import functions as F
 from kestrel.functions.strict import check
 
 
-def expect_row_count(df: DataFrame, expected: int, *, strict: bool = False) -> DataFrame:
-    """One row ``(n, expected, ok)``; ``strict`` fails the job when the count differs."""
-    ok = F.col("n") == F.col("expected")
+def expect_row_count(df: DataFrame, expected: int | DataFrame, *, strict: bool = False) -> DataFrame:
+    """One row ``(n, expected, ok)``; ``strict`` fails the job when the count differs.
+
+    ``expected`` is a number or a table whose rows are counted in the same plan.  The count
+    depends on every column (a hash rides along), so strict checks inside them do run.
+    """
+    spark_count = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.xxhash64(*df.columns)).alias("seen"))
+    nothing = F.lit(None).cast("bigint")
+    if isinstance(expected, DataFrame):
+        wanted = expected.agg(F.count(F.lit(1)).alias("expected"))
+        both = (spark_count.select("n", "seen", nothing.alias("expected"))
+                .unionByName(wanted.select(nothing.alias("n"), nothing.alias("seen"), "expected"))
+                .agg(F.max("n").alias("n"), F.max("seen").alias("seen"), F.max("expected").alias("expected")))
+    else:
+        both = spark_count.withColumn("expected", F.lit(int(expected)).cast("bigint"))
+    ok = (F.col("n") == F.col("expected")) & ((F.col("n") == 0) | F.col("seen").isNotNull())
     if strict:
-        ok = check(ok, f"row count differs from the expected {int(expected)}")
-    return (df.agg(F.count(F.lit(1)).alias("n"))
-            .select("n", F.lit(int(expected)).cast("bigint").alias("expected"))
-            .withColumn("ok", ok))
+        ok = check(ok, "row count differs from the expected one")
+    return both.select("n", "expected", ok.alias("ok"))
 
 
 def diff_rows(actual: DataFrame, expected: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ loop stops when the summed squared move of all centres is < ``eta`` or after
 Execution.  A point's cluster depends only on its coordinates, so the loop runs on
 the *weighted distinct points* ``(x, y, w)``: one map-side-combined aggregation of
 the vectors, written once to the shared checkpoint folder and cached
-(:func:`kestrel.session.materialize`).  Means over weighted points are exactly the
+(:class:`kestrel.session.Scratch`).  Means over weighted points are exactly the
 means over all points (``sum(x*w) div sum(w)``).  Here x is a category coordinate
 and y a score, so the distinct points are bounded by categories x distinct scores
 however many vectors there are.  Each step is then one small job: a narrow
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from kestrel.constants import DEFAULT_ETA, DEFAULT_MAX_ITER
 from kestrel.functions.arith import int_div
 from kestrel.functions.geometry import nearest_centre, squared_distance
-from kestrel.session import materialize
+from kestrel.session import Scratch
 
 Centre = tuple[int, int]
 
@@ -130,8 +130,9 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     centres = [(int(cx), int(cy)) for cx, cy in centres]
-    own = weighted is None
-    base = materialize(weighted_points(vectors), "kmeans-points").persist() if own else weighted
+    scratch = Scratch(vectors.sparkSession)
+    base = scratch.materialize(weighted_points(vectors), "kmeans-points") if weighted is None else weighted
+    base.persist()  # only inside the loop
     trace: list[tuple] = []
     try:
         it = 0
@@ -146,8 +147,8 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
             if done or it >= max_iter:
                 return KMeansResult(centres, it, disp, done, trace)
     finally:
-        if own:
-            base.unpersist()
+        base.unpersist()
+        scratch.close()
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:

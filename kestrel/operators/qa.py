@@ -126,24 +126,33 @@ def scored_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
 def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: bool = True) -> DataFrame:
     """Q&A grouped by question as bounded records.
 
-    ``(question_id, part, n_parts, q_accepted_answer, q_score, q_tags, answers)``
-    where ``answers`` is ``array<struct<answer_id, answer_score>>`` sorted by id.  A
-    question's pairs are split by a hash of the answer id into
-    ``ceil(n_pairs / max_list)`` parts of about ``max_list`` pairs each (every pair
-    kept), so a question owning a third of all answers becomes many bounded records.
-    The sizes come from a map-side-combined count; attaching them to the pairs is a
-    keyed join whose hot key AQE splits.
+    ``(question_id, part, n_parts, q_accepted_answer, q_score, q_tags, answers)`` where
+    ``answers`` is ``array<struct<answer_id, answer_score>>`` sorted by id.  A question's
+    answers are dealt by ``answer_id mod n_parts`` into ``n_parts = ceil(n_answers / max_list)``
+    parts (every pair kept).  Sizes come from the map-side-combined co-group.  Only questions
+    of more than one part are looked up; their question rows are repeated once per part
+    *before* the pairs are made, so the pairs are joined and grouped on (question_id, part)
+    and a question owning a third of all answers is spread over its parts.
     """
     if max_list < 1:
         raise ValueError("max_list must be >= 1")
-    pairs = join_questions_answers(postings, strict=strict)
-    sizes = pairs.groupBy(F.col("question_id").alias("_qid")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(max_list)).cast("int").alias("n_parts"))
+    hot = (_cogrouped(postings, strict=strict)
+           .select(F.col("question_id").alias("_qid"), F.ceil(F.col("n_answers") / F.lit(max_list)).cast("int").alias("_n"))
+           .where(F.col("_n") > 1))
+    n_parts = F.coalesce("_n", F.lit(1)).alias("n_parts")
+    q = filter_questions(postings).select(
+        F.col("id").alias("question_id"), F.col("accepted_answer").alias("q_accepted_answer"),
+        F.col("score").alias("q_score"), F.col("tags").alias("q_tags"))
+    q = q.join(hot, q["question_id"].eqNullSafe(hot["_qid"]), "left").select("*", n_parts).drop("_qid", "_n")
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+    a = answer_keys(postings, strict=strict).withColumnRenamed("question_id", "_key")
+    a = a.join(hot, a["_key"].eqNullSafe(hot["_qid"]), "left").select("*", n_parts).drop("_qid", "_n")
+    a = a.select("_key", "answer_id", "answer_score",
+                 F.pmod(F.col("answer_id"), F.col("n_parts")).cast("int").alias("_part"))
     # null-safe key equality: no inferred isnotnull filter pushed below the parser
-    keyed = (pairs.join(sizes, pairs["question_id"].eqNullSafe(sizes["_qid"])).drop("_qid")
-             .withColumn("part", F.pmod(F.xxhash64("answer_id"), F.col("n_parts").cast("bigint")).cast("int")))
+    pairs = q.join(a, q["question_id"].eqNullSafe(a["_key"]) & q["part"].eqNullSafe(a["_part"])).drop("_key", "_part")
     # a repeated question id has several question records: each gets its own lists
-    return (keyed.groupBy("question_id", "part", "n_parts", "q_accepted_answer", "q_score", "q_tags")
+    return (pairs.groupBy("question_id", "part", "n_parts", "q_accepted_answer", "q_score", "q_tags")
             .agg(F.array_sort(F.collect_list(F.struct("answer_id", "answer_score"))).alias("answers")))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.text import check_terms, mentions, present_terms, term_position, terms_array
+from kestrel.session import materialize
 
 
 def mentions_term(articles: DataFrame, term: str, *, text_col: str = "text",
@@ -167,14 +168,15 @@ def save_inverted_index(index: DataFrame, path: str, *, id_col: str = "title", m
     Each term's postings are split by a hash of the id into ``ceil(n / rows_per_file)``
     parts and shuffled on (term, part): a term gets about one file per
     ``rows_per_file`` postings -- not one tiny file per input task -- and a hot term
-    is still written by many tasks.  The per-term sizes are one aggregate with at most
-    one row per term (that is what gets broadcast).
+    is still written by many tasks.  The postings are written once to the shared checkpoint
+    folder and counted from there, so the text is tokenised once.
     """
     if rows_per_file < 1:
         raise ValueError("rows_per_file must be >= 1")
+    index = materialize(index, "postings")
     sizes = index.groupBy("term").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("bigint").alias("_files"))
-    keyed = index.join(F.broadcast(sizes), "term").withColumn(
+    keyed = index.join(sizes, "term").withColumn(
         "_part", F.pmod(F.xxhash64(F.col(id_col)), F.col("_files")))
     (keyed.repartition("term", "_part").sortWithinPartitions("term", id_col).drop("_part", "_files")
      .write.mode(mode).partitionBy("term").parquet(path))
@@ -185,17 +187,19 @@ def inverted_index_lists(index: DataFrame, *, id_col: str = "title", max_list: i
     """Posting lists as records: ``(term, part, n_parts, ids array)``, ids sorted.
 
     The nested "term -> its articles" form, in bounded pieces: a term's postings are
-    split by a hash of the id into ``ceil(n / max_list)`` parts, so each record
-    holds about ``max_list`` ids however frequent the term (nothing is dropped; the
-    parts together are the whole list).  The per-term sizes come from one small
-    aggregate with at most one row per term, which is what gets broadcast.
+    split by the id (a numeric id mod the parts, else its hash) into ``ceil(n / max_list)``
+    parts, so each record holds about ``max_list`` ids however frequent the term (nothing
+    is dropped; the parts together are the whole list).  The postings are written once to
+    the shared checkpoint folder and counted from there, so the text is tokenised once.
     """
     if max_list < 1:
         raise ValueError("max_list must be >= 1")
+    index = materialize(index.select("term", id_col), "postings")
     sizes = index.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).select(
         "term", F.ceil(F.col("_n") / F.lit(max_list)).cast("int").alias("n_parts"))
-    keyed = index.join(F.broadcast(sizes), "term").withColumn(
-        "part", F.pmod(F.xxhash64(F.col(id_col)), F.col("n_parts").cast("bigint")).cast("int"))
+    number = F.col(id_col) if dict(index.dtypes)[id_col] in ("int", "bigint") else F.xxhash64(id_col)
+    keyed = index.join(sizes, "term").withColumn(
+        "part", F.pmod(number, F.col("n_parts").cast("bigint")).cast("int"))
     return keyed.groupBy("term", "part", "n_parts").agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
 
 

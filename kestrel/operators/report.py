@@ -21,24 +21,11 @@ from kestrel.functions.categories import category_label
 from kestrel.operators.kmeans import Centre, assign_nearest, weighted_points
 
 
-# largest weighted-points table that is broadcast as an (x, y) -> cluster lookup:
-# three ints per row, a few MB at this size
-BROADCAST_POINTS_LIMIT = 200_000
-
-
-def cluster_membership(vectors: DataFrame, centres: Sequence[Centre], *, id_col: str = "question_id",
-                       weighted: DataFrame | None = None,
-                       broadcast_limit: int = BROADCAST_POINTS_LIMIT) -> DataFrame:
+def cluster_membership(vectors: DataFrame, centres: Sequence[Centre], *, id_col: str = "question_id") -> DataFrame:
     """``(id, cluster, x, y)``: every point with its final cluster (flat, never grouped).
 
-    With the weighted distinct points at hand and no more than ``broadcast_limit``
-    of them (counted, not assumed), each distinct (x, y) is assigned once and the
-    lookup is broadcast to the points: a hash probe per point instead of k distance
-    evaluations.  Otherwise every point is assigned in a narrow projection.
+    A narrow projection at every size: no shuffle, no lookup, no row lost.
     """
-    if weighted is not None and weighted.count() <= broadcast_limit:
-        lookup = assign_nearest(weighted.select("x", "y"), centres).select("x", "y", "cluster")
-        return vectors.join(F.broadcast(lookup), ["x", "y"], "inner").select(id_col, "cluster", "x", "y")
     return assign_nearest(vectors, centres).select(id_col, "cluster", "x", "y")
 
 

@@ -7,9 +7,7 @@ rows come out whatever the partitioning, and a plain SQL engine can reproduce th
 Per-stratum sampling is a ``row_number() <= n`` window.  Spark plans it with a
 partial ``WindowGroupLimit`` *before* the shuffle, so each task sends at most n rows
 per stratum: a stratum holding a third of all rows does not land in one task.
-That limit needs sorted input; when the stratum sizes are known,
-:func:`prefiltered_stratified_sample` / :func:`initial_centres` first drop rows by an
-md5-key threshold so only a few times n rows per stratum are sorted.
+That limit needs its input sorted; the sort spills.
 """
 
 from __future__ import annotations
@@ -79,91 +77,26 @@ def sample_stratum_check(vectors: DataFrame, categories: Sequence[str], spread:
     return out.withColumn("ok", ok)
 
 
-# rows kept per stratum before the window, as a multiple of the rows needed; with
-# md5 keys uniform, keeping fewer than needed has probability ~exp(-OVERSAMPLE*n)
-OVERSAMPLE = 8
-_PREFIX_HEX = 8      # the key prefix compared against the per-stratum threshold
-
-
-def _key_prefilter(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], seed: int,
-                   id_col: str, stratum_col: str = "x") -> tuple[DataFrame, list[int]]:
-    """Rows whose md5-key prefix lies below their stratum's threshold, and the strata filtered."""
-    space = 16 ** _PREFIX_HEX
-    limits = {}
-    for x, size in stratum_sizes.items():
-        keep = OVERSAMPLE * per_stratum
-        if size > keep:
-            limits[int(x)] = format(max(1, space * keep // size), f"0{_PREFIX_HEX}x")
-    if not limits:
-        return vectors, []
-    threshold = F.element_at(F.create_map(*[v for x, t in limits.items() for v in (F.lit(x), F.lit(t))]),
-                             F.col(stratum_col))
-    key = sample_key(id_col, seed)
-    return vectors.where(threshold.isNull() | (F.substring(key, 1, _PREFIX_HEX) < threshold)), list(limits)
-
-
-def prefiltered_stratified_sample(vectors: DataFrame, per_stratum: int, stratum_sizes: dict[int, int], *,
-                                  seed: int = SAMPLE_SEED, id_col: str = "question_id",
-                                  stratum_col: str = "x") -> DataFrame:
-    """:func:`stratified_sample`, without sorting every row first.
-
-    The window needs its input sorted by (stratum, key); on the full table that is
-    a sort of every vector.  Keys are md5 hashes, uniform in [0, 16^8) on their
-    first 8 hex digits, so each stratum first keeps only rows whose key prefix lies
-    below a threshold chosen to retain about ``OVERSAMPLE * per_stratum`` rows (a
-    narrow filter), and the window runs on that remainder.  Exact: every dropped
-    row's key is larger than every kept row's key, so the first ``per_stratum`` are
-    among the kept ones -- and a stratum that kept too few is redone from all its
-    rows.  ``stratum_sizes`` maps stratum value -> row count (e.g. from the
-    weighted points).
-    """
-    kept, limited = _key_prefilter(vectors, per_stratum, stratum_sizes, seed, id_col, stratum_col)
-    sample = stratified_sample(kept, per_stratum, seed=seed, stratum_col=stratum_col, id_col=id_col)
-    if not limited:
-        return sample
-    got = {int(r["s"]): int(r["n"]) for r in
-           sample.groupBy(F.col(stratum_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    short = [x for x in limited if got.get(x, 0) < min(per_stratum, stratum_sizes[x])]
-    if not short:
-        return sample
-    redo = stratified_sample(vectors.where(F.col(stratum_col).isin(short)), per_stratum, seed=seed,
-                             stratum_col=stratum_col, id_col=id_col)
-    return sample.where(~F.col(stratum_col).isin(short)).unionByName(redo)
-
-
-def _collect_seed_rows(sample: DataFrame, seed: int, id_col: str) -> list:
-    return sample.select("x", "y", sample_key(id_col, seed).alias("_key"), F.col(id_col).alias("_id")).collect()
-
-
 def initial_centres(vectors: DataFrame, k: int, categories: Sequence[str], spread: int, *,
                     seed: int = SAMPLE_SEED, min_stratified_spread: int = 500,
-                    id_col: str = "question_id", stratum_sizes: dict[int, int] | None = None) -> list[tuple[int, int]]:
-    """k seed centres on the driver (k rows, the only thing collected).
+                    id_col: str = "question_id") -> list[tuple[int, int]]:
+    """k seed centres on the driver (at most k + 1 rows are collected).
 
     ``spread >= min_stratified_spread``: ``k / #categories`` per category, ordered by
     (x, key, id); otherwise a global sample ordered by (key, id).  Centre i is the
-    i-th seed.  Fails unless exactly k seeds were found.  With ``stratum_sizes``
-    (rows per x) the per-category sample is pre-filtered
-    (:func:`prefiltered_stratified_sample`).
+    i-th seed.  Fails unless exactly k seeds were found; an x that belongs to no
+    category fails the job inside the plan.
     """
     check_spread(spread)
+    key = sample_key(id_col, seed)
     if spread >= min_stratified_spread:
         n = per_stratum_size(k, categories)
-        kept, limited = (_key_prefilter(vectors, n, stratum_sizes, seed, id_col) if stratum_sizes
-                         else (vectors, []))
-        # at most n rows per stratum come back; the per-stratum check runs on the driver
-        rows = _collect_seed_rows(stratified_sample(kept, n, seed=seed, id_col=id_col), seed, id_col)
-        got: dict[int, int] = {}
-        for r in rows:
-            got[int(r["x"])] = got.get(int(r["x"]), 0) + 1
-        short = [x for x in limited if got.get(x, 0) < min(n, stratum_sizes[x])]
-        if short:
-            rows = [r for r in rows if int(r["x"]) not in short] + _collect_seed_rows(
-                stratified_sample(vectors.where(F.col("x").isin(short)), n, seed=seed, id_col=id_col), seed, id_col)
-        rows.sort(key=lambda r: (r["x"], r["_key"], r["_id"]))
+        known = F.col("x").isin([i * spread for i in range(len(categories))])
+        own = vectors.withColumn("x", F.when(check(known, "a vector's x belongs to no category"), F.col("x")))
+        sample, order = stratified_sample(own, n, seed=seed, id_col=id_col), [F.col("x"), key, F.col(id_col)]
     else:
-        rows = global_sample(vectors, k, seed=seed, id_col=id_col).orderBy(
-            sample_key(id_col, seed), F.col(id_col)).select("x", "y").collect()
+        sample, order = global_sample(vectors, k, seed=seed, id_col=id_col), [key, F.col(id_col)]
+    rows = sample.orderBy(*order).select("x", "y").limit(k + 1).collect()
     if len(rows) != k:
         raise ValueError(f"sampling gave {len(rows)} seeds, expected {k}")
     return [(int(r["x"]), int(r["y"])) for r in rows]

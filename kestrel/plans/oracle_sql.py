@@ -13,6 +13,17 @@ from collections.abc import Sequence
 from kestrel.plans.fixtures import with_fixtures
 
 ORACLE_STEPS = 10
+#: Part sizes of the grouped queries (small, so that the tables give several parts).
+MAX_PAIRS = 3
+MAX_POSTINGS = 50
+
+#: Questions and answers as sides of their own, so that a planner sees their real sizes.
+QA_SIDES = [
+    ("qs", "SELECT id AS question_id, accepted_answer AS q_accepted_answer, score AS q_score, tags AS q_tags "
+           "FROM fx_postings WHERE posting_type = 1"),
+    ("ans", "SELECT parent_id AS question_id, id AS answer_id, score AS answer_score "
+            "FROM fx_postings WHERE posting_type = 2"),
+]
 
 
 def q(s: str) -> str:
@@ -138,6 +149,14 @@ def assign(vec: str, centres: str) -> str:
 def kmeans_chain(vec: str, seeds_sql: str, *, eta: float, max_iter: int,
                  steps: int = ORACLE_STEPS) -> list[tuple[str, str]]:
     """CTEs ``c0 .. c{steps}`` (centres + done flag) and ``n{i}``/``d{i}`` (step i's new means and move)."""
+    def over(i: int) -> str:
+        return f"(n.was_done OR d.displacement < {float(eta)} OR {i} >= {int(max_iter)})"
+
+    def settled(i: int) -> str:
+        # the last step must have converged: the chain never stops short in silence
+        x = "CASE WHEN n.was_done THEN n.old_x ELSE n.new_x END"
+        return x if i < steps else f"CASE WHEN {over(i)} THEN {x} ELSE error('k-means needs more steps') END"
+
     ctes: list[tuple[str, str]] = [
         ("c0", f"SELECT cluster, x, y, false AS done FROM ({seeds_sql})")]
     for i in range(1, steps + 1):
@@ -149,9 +168,8 @@ def kmeans_chain(vec: str, seeds_sql: str, *, eta: float, max_iter: int,
             (f"n{i}", f"SELECT c.cluster, c.x AS old_x, c.y AS old_y, coalesce(m.x, c.x) AS new_x, "
                       f"coalesce(m.y, c.y) AS new_y, c.done AS was_done FROM {p} c LEFT JOIN m{i} m USING (cluster)"),
             (f"d{i}", f"SELECT sum({sqdist('new_x', 'new_y', 'old_x', 'old_y')}) AS displacement FROM n{i}"),
-            (f"c{i}", f"SELECT n.cluster, CASE WHEN n.was_done THEN n.old_x ELSE n.new_x END AS x, "
-                      f"CASE WHEN n.was_done THEN n.old_y ELSE n.new_y END AS y, "
-                      f"n.was_done OR d.displacement < {float(eta)} OR {i} >= {int(max_iter)} AS done "
+            (f"c{i}", f"SELECT n.cluster, {settled(i)} AS x, "
+                      f"CASE WHEN n.was_done THEN n.old_y ELSE n.new_y END AS y, {over(i)} AS done "
                       f"FROM n{i} n CROSS JOIN d{i} d"),
         ]
     return ctes
@@ -237,6 +255,11 @@ def oracle_queries() -> dict[str, str]:
                                f"AS BIGINT) AS n FROM documents",
         "rank_terms": rank_complete(T, **docs_rank),
         "inverted_index": f"SELECT term, id AS doc_id FROM ({present_pairs(T, **docs_rank)})",
+        "inverted_index_parts": (
+            f"WITH p AS ({present_pairs(T, **docs_rank)}), s AS (SELECT term, CAST(ceil(count(*) / "
+            f"CAST({MAX_POSTINGS} AS DOUBLE)) AS INTEGER) AS n_parts FROM p GROUP BY term) "
+            "SELECT term, CAST(id % n_parts AS INTEGER) AS part, n_parts, string_agg(id, ',' ORDER BY id) AS doc_ids "
+            "FROM p JOIN s USING (term) GROUP BY ALL"),
         "rank_terms_from_index": rank_from_index(T, **docs_rank),
         "rank_terms_single_pass": rank_single_pass(T, **docs_rank),
         "top_term": f"SELECT * FROM ({rank_complete(T, **docs_rank)}) WHERE rank = 1",
@@ -256,11 +279,14 @@ def oracle_queries() -> dict[str, str]:
         "filter_answers": W(["fx_postings"], [], "SELECT * FROM fx_postings WHERE posting_type = 2"),
         "answer_keys": W(["fx_postings"], [], "SELECT parent_id AS question_id, id AS answer_id, score AS answer_score "
                                               "FROM fx_postings WHERE posting_type = 2"),
-        "join_questions_answers": W(["fx_postings"], [], (
-            "SELECT q.id AS question_id, q.accepted_answer AS q_accepted_answer, q.score AS q_score, "
-            "q.tags AS q_tags, a.id AS answer_id, a.score AS answer_score "
-            "FROM fx_postings q JOIN fx_postings a ON a.parent_id = q.id "
-            "WHERE q.posting_type = 1 AND a.posting_type = 2")),
+        "join_questions_answers": W(["fx_postings"], QA_SIDES, (
+            "SELECT question_id, q_accepted_answer, q_score, q_tags, answer_id, answer_score FROM qs JOIN ans USING (question_id)")),
+        "grouped_pair_parts": W(["fx_postings"], QA_SIDES + [
+            ("sizes", "SELECT question_id, CAST(ceil(count(*) / CAST(" + str(MAX_PAIRS) + " AS DOUBLE)) AS INTEGER) AS n_parts "
+                      "FROM ans GROUP BY question_id")], (
+            "SELECT question_id, CAST(answer_id % n_parts AS INTEGER) AS part, n_parts, q_accepted_answer, q_score, q_tags, "
+            "string_agg(concat_ws(':', answer_id, answer_score), ',' ORDER BY answer_id, answer_score) AS answers "
+            "FROM qs JOIN ans USING (question_id) JOIN sizes USING (question_id) GROUP BY ALL")),
         "grouped_postings": W(["fx_postings"], [], (
             "SELECT q.id AS question_id, CAST(count(*) AS BIGINT) AS n_pairs "
             "FROM fx_postings q JOIN fx_postings a ON a.parent_id = q.id "

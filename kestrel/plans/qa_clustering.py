@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kestrel.constants import (DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SPREAD, DEFAULT_TERMS,
                                SAMPLE_SEED, STRATIFIED_MIN_SPREAD)
@@ -15,17 +14,29 @@ from kestrel.operators.kmeans import KMeansResult, kmeans, weighted_points
 from kestrel.operators.qa import scored_postings, vector_postings
 from kestrel.operators.report import cluster_report_lines, cluster_results
 from kestrel.operators.sampling import initial_centres
-from kestrel.session import materialize
+from kestrel.session import Scratch
 from kestrel.sources.postings import parse_postings
 
 
 @dataclass
 class QAClusteringResult:
+    """Close it (or use it as a context manager) once its frames have been read: that deletes their files."""
+
     vectors: DataFrame          # materialised (Parquet in the checkpoint folder), not cached
-    points: DataFrame           # weighted distinct points (x, y, w), materialised and cached
+    points: DataFrame           # weighted distinct points (x, y, w), materialised
     kmeans: KMeansResult
     results: DataFrame          # (cluster, label, percent, size, median_score)
     report: DataFrame           # (line_no, line)
+    scratch: Scratch
+
+    def close(self) -> None:
+        self.scratch.close()
+
+    def __enter__(self) -> QAClusteringResult:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
 
 def qa_vectors(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, spread: int = DEFAULT_SPREAD,
@@ -42,26 +53,24 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
     """Seeded k-means and the cluster report over ``(question_id, x, y)`` vectors.
 
     The vectors are written once to the shared checkpoint folder; the count check,
-    the weighted distinct points and the (pre-filtered) seed sample read that copy.
+    the weighted distinct points and the seed sample read that copy.
     Every k-means step and the final statistics read the (small) weighted points.
     ``expected_vectors`` fails the job early when the vector count differs.
     """
-    vectors = materialize(vectors.select("question_id", "x", "y"), "qa-vectors")
-    if expected_vectors is not None:
-        expect_row_count(vectors, expected_vectors, strict=True).collect()
-    points = materialize(weighted_points(vectors), "qa-points").persist()
-    # rows per category, from the (small) weighted points: lets the seed sample
-    # filter before its window instead of sorting every vector
-    sizes = ({int(r["x"]): int(r["n"]) for r in points.groupBy("x").agg(F.sum("w").alias("n")).collect()}
-             if spread >= STRATIFIED_MIN_SPREAD else None)
-    seeds = initial_centres(vectors, k, categories, spread, seed=seed,
-                            min_stratified_spread=STRATIFIED_MIN_SPREAD, stratum_sizes=sizes)
-    # from here on only the (small) weighted points are scanned repeatedly: release the
-    # cached vectors; the returned DataFrame still reads them from the written files
-    vectors.unpersist()
-    result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
+    scratch = Scratch(vectors.sparkSession)
+    try:
+        vectors = scratch.materialize(vectors.select("question_id", "x", "y"), "qa-vectors")
+        if expected_vectors is not None:
+            expect_row_count(vectors, expected_vectors, strict=True).collect()
+        points = scratch.materialize(weighted_points(vectors), "qa-points")
+        seeds = initial_centres(vectors, k, categories, spread, seed=seed,
+                                min_stratified_spread=STRATIFIED_MIN_SPREAD)
+        result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
+    except BaseException:
+        scratch.close()
+        raise
     results = cluster_results(vectors, result.centres, categories, spread, weighted=points)
-    return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results))
+    return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results), scratch)
 
 
 def qa_cluster_pipeline(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, *,

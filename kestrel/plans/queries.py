@@ -16,9 +16,10 @@ from kestrel.functions.arith import int_div
 from kestrel.functions.categories import category_label
 from kestrel.operators import checks, kmeans as KM, lists, qa, ranking as R, report, sampling
 from kestrel.plans import fixtures as FX
+from kestrel.plans.oracle_sql import MAX_PAIRS, MAX_POSTINGS
 from kestrel.plans.qa_clustering import cluster_vectors, qa_cluster_pipeline
 from kestrel.plans.term_ranking import term_ranking_pipeline
-from kestrel.session import scratch_path
+from kestrel.session import materialize, scratch_path
 from kestrel.sources.articles import parse_article_lines
 from kestrel.sources.lines import read_lines, write_lines
 from kestrel.sources.postings import parse_postings
@@ -128,6 +129,18 @@ def q_grouped_postings(spark, sf):
     return qa.grouped_postings(FX.fx_postings(spark, sf))
 
 
+def q_grouped_pair_parts(spark, sf):
+    parts = qa.grouped_pair_lists(FX.fx_postings(spark, sf), max_list=MAX_PAIRS)
+    spelled = F.transform("answers", lambda a: F.concat_ws(":", a["answer_id"], a["answer_score"]))
+    return parts.select("question_id", "part", "n_parts", "q_accepted_answer", "q_score", "q_tags",
+                        F.array_join(spelled, ",").alias("answers"))
+
+
+def q_inverted_index_parts(spark, sf):
+    parts = R.inverted_index_lists(q_inverted_index(spark, sf), id_col="doc_id", max_list=MAX_POSTINGS)
+    return parts.select("term", "part", "n_parts", F.array_join(F.col("ids").cast("array<string>"), ",").alias("doc_ids"))
+
+
 def q_scored_postings(spark, sf):
     return qa.scored_postings(FX.fx_postings(spark, sf))
 
@@ -147,8 +160,7 @@ def q_expect_row_count(spark, sf):
     # expectation derived independently of the vectors: questions that have an answer
     p = FX.fx_postings(spark, sf)
     answered = (qa.filter_questions(p).select("id")
-                .join(qa.filter_answers(p).select(F.col("parent_id").alias("id")), "id", "left_semi")
-                .distinct().count())
+                .join(qa.filter_answers(p).select(F.col("parent_id").alias("id")), "id", "left_semi").distinct())
     return checks.expect_row_count(FX.fx_vectors(spark, sf), answered)
 
 
@@ -178,14 +190,14 @@ def _run(spark, sf, spread: int) -> KM.KMeansResult:
 
 
 def q_kmeans_step(spark, sf):
-    vectors = FX.fx_vectors(spark, sf)
-    return KM.centres_frame(spark, KM.lloyd_step(vectors, _seeds(vectors, SPREAD)))
+    vectors = materialize(FX.fx_vectors(spark, sf), "step-vectors")
+    return KM.centres_frame(spark, KM.lloyd_step(KM.weighted_points(vectors), _seeds(vectors, SPREAD), weight="w"))
 
 
 def q_center_displacement(spark, sf):
-    vectors = FX.fx_vectors(spark, sf)
+    vectors = materialize(FX.fx_vectors(spark, sf), "step-vectors")
     seeds = _seeds(vectors, SPREAD)
-    disp = KM.center_displacement(seeds, KM.lloyd_step(vectors, seeds))
+    disp = KM.center_displacement(seeds, KM.lloyd_step(KM.weighted_points(vectors), seeds, weight="w"))
     return spark.createDataFrame([(disp,)], "displacement double")
 
 
@@ -208,12 +220,12 @@ def q_global_sample(spark, sf):
 
 
 def q_squared_distance(spark, sf):
-    vectors = FX.fx_vectors_mixed(spark, sf)
+    vectors = materialize(FX.fx_vectors_mixed(spark, sf), "mixed-vectors")
     return KM.distance_to(vectors, _seeds(vectors, MIXED)[0]).select("question_id", "dist")
 
 
 def q_assign_nearest(spark, sf):
-    vectors = FX.fx_vectors_mixed(spark, sf)
+    vectors = materialize(FX.fx_vectors_mixed(spark, sf), "mixed-vectors")
     return KM.assign_nearest(vectors, _seeds(vectors, MIXED)).select("question_id", "cluster", "dist")
 
 
@@ -224,7 +236,7 @@ def q_average_vectors(spark, sf):
 
 def q_cluster_membership(spark, sf):
     c = _clustered(spark, sf, MIXED)
-    return report.cluster_membership(c.vectors, c.kmeans.centres, weighted=c.points)
+    return report.cluster_membership(c.vectors, c.kmeans.centres)
 
 
 def q_cluster_dominant(spark, sf):

@@ -1,5 +1,7 @@
 """Sampling, k-means and the cluster report."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL, executed_plan, raises_spark, rows
@@ -133,35 +135,33 @@ def test_fixture_convergence_matches_the_probe(spark):
         assert centres == res.centres
 
 
-def test_membership_lookup_equals_direct_assignment(spark):
-    from conftest import SF_SMALL
-    from kestrel.plans import fixtures as FX
+def test_membership_keeps_every_row_in_one_narrow_pass(spark):
     from conftest import executed_plan
-    vectors = FX.fx_vectors(spark, SF_SMALL, FX.FIXTURE_MIXED_SPREAD)
-    centres = sampling.initial_centres(vectors, 5, FX.ORDER_PRIORITIES, FX.FIXTURE_MIXED_SPREAD)
-    points = KM.weighted_points(vectors).cache()
-    direct = report.cluster_membership(vectors, centres)
-    lookup = report.cluster_membership(vectors, centres, weighted=points)
-    assert sorted(rows(direct)) == sorted(rows(lookup))
-    assert "BroadcastHashJoin" in executed_plan(lookup)
-    over = report.cluster_membership(vectors, centres, weighted=points, broadcast_limit=1)
-    assert "Join" not in executed_plan(over)
-    assert sorted(rows(over)) == sorted(rows(direct))
-
-
-def test_prefiltered_stratified_sample_is_exact(spark, monkeypatch):
-    from conftest import SF_CHECK
+    vectors = spark.createDataFrame([(1, 0, 3), (2, None, 5), (3, 50, 9)], "question_id int, x int, y int")
+    members = report.cluster_membership(vectors, [(0, 0), (50, 10)])
+    assert sorted(rows(members, "question_id")) == [(1,), (2,), (3,)]
+    assert not re.search("Join|Exchange", executed_plan(members))
+
+
+def test_seeds_are_a_bounded_collect(spark):
+    from conftest import raises_spark
+    wide = spark.range(200_000).selectExpr("CAST(id AS INT) AS question_id", "CAST(id AS INT) AS x", "1 AS y")
+    raises_spark(lambda: sampling.initial_centres(wide, 2, ["a", "b"], 50_000), "belongs to no category")
+    own = wide.selectExpr("question_id", "(question_id % 2) * 50000 AS x", "y")
+    assert sampling.initial_centres(own, 4, ["a", "b"], 50_000) == [(0, 1), (0, 1), (50_000, 1), (50_000, 1)]
+
+
+def test_pipelines_leave_nothing_behind(spark):
+    import os
+    from conftest import SF_SMALL
     from kestrel.plans import fixtures as FX
-    vectors = FX.fx_vectors(spark, SF_CHECK)
-    sizes = {x: n for x, n in rows(vectors.groupBy("x").count())}
-    plain = sorted(rows(sampling.stratified_sample(vectors, 3), "question_id", "x", "y", "sample_rank"))
-    pre = sampling.prefiltered_stratified_sample(vectors, 3, sizes)
-    assert sorted(rows(pre, "question_id", "x", "y", "sample_rank")) == plain
-    # the filter really drops rows before the window
-    assert "md5" in executed_plan(pre) and pre.count() == 15
-    # a threshold far too tight forces the per-stratum fallback; still exact
-    monkeypatch.setattr(sampling, "OVERSAMPLE", 0)
-    forced = sampling.prefiltered_stratified_sample(vectors, 3, {x: n * 10**6 for x, n in sizes.items()})
-    assert sorted(rows(forced, "question_id", "x", "y", "sample_rank")) == plain
-    seeds = sampling.initial_centres(vectors, 15, FX.ORDER_PRIORITIES, FX.FIXTURE_SPREAD, stratum_sizes=sizes)
-    assert seeds == sampling.initial_centres(vectors, 15, FX.ORDER_PRIORITIES, FX.FIXTURE_SPREAD)
+    from kestrel.plans.qa_clustering import qa_cluster_pipeline
+    from kestrel.session import checkpoint_root
+    folder = f"{checkpoint_root(spark)}/kestrel".removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    held = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    with qa_cluster_pipeline(FX.fx_posting_lines(spark, SF_SMALL), FX.ORDER_PRIORITIES, spread=50000, k=5,
+                             line_col="line") as res:
+        assert res.results.count() > 0
+        assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
+    assert set(os.listdir(folder)) == before

@@ -1,4 +1,4 @@
-"""Questions/answers: the reference's eight-posting fixture plus strictness edges."""
+"""Questions/answers: two answered questions, one without answers, and strictness edges."""
 
 import pytest
 
@@ -7,37 +7,37 @@ from kestrel.constants import DEFAULT_SPREAD, DEFAULT_TERMS
 from kestrel.operators import qa
 from kestrel.sources.postings import POSTING_SCHEMA
 
-EIGHT = [
-    (1, 123, 456, None, 0, "C#"),
-    (2, 234, None, 123, 5, "C#"),
-    (2, 456, None, 123, 11, "C#"),
-    (1, 1000, None, None, 0, "Java"),
-    (2, 1001, None, 1000, 5, "Java"),
-    (2, 1002, None, 1000, 11, "Java"),
-    (2, 1003, None, 1000, 12, "Java"),
-    (1, 2000, None, None, 0, "Groovy"),
+POSTINGS = [
+    (1, 31, 33, None, 2, "Scala"),
+    (2, 32, None, 31, 4, None),
+    (2, 33, None, 31, 17, None),
+    (1, 70, None, None, 1, "Python"),
+    (2, 71, None, 70, 0, None),
+    (2, 74, None, 70, 8, None),
+    (2, 72, None, 70, 3, None),
+    (1, 90, None, None, 6, "Ruby"),
 ]
 
 
 @pytest.fixture
 def postings(spark):
-    return spark.createDataFrame(EIGHT, POSTING_SCHEMA)
+    return spark.createDataFrame(POSTINGS, POSTING_SCHEMA)
 
 
 def test_grouped_postings(postings):
-    assert sorted(rows(qa.grouped_postings(postings))) == [(123, 2), (1000, 3)]
+    assert sorted(rows(qa.grouped_postings(postings))) == [(31, 2), (70, 3)]
 
 
 def test_join_pairs(postings):
     pairs = rows(qa.join_questions_answers(postings), "question_id", "answer_id")
-    assert sorted(pairs) == [(123, 234), (123, 456), (1000, 1001), (1000, 1002), (1000, 1003)]
+    assert sorted(pairs) == [(31, 32), (31, 33), (70, 71), (70, 72), (70, 74)]
 
 
 def test_scored_and_vectors(postings):
     scored = qa.scored_postings(postings)
-    assert sorted(rows(scored, "question_id", "high_score")) == [(123, 11), (1000, 12)]
+    assert sorted(rows(scored, "question_id", "high_score")) == [(31, 17), (70, 8)]
     vec = qa.vector_postings(scored, DEFAULT_TERMS, DEFAULT_SPREAD)
-    assert sorted(rows(vec, "x", "y")) == [(50000, 12), (200000, 11)]
+    assert sorted(rows(vec, "x", "y")) == sorted([(DEFAULT_TERMS.index("Scala") * DEFAULT_SPREAD, 17), (DEFAULT_TERMS.index("Python") * DEFAULT_SPREAD, 8)])
 
 
 def test_negative_answers_give_zero(spark):
@@ -78,7 +78,8 @@ def test_unknown_tag_of_unanswered_question_is_harmless(spark):
 
 def test_category_index(spark, postings):
     got = rows(qa.with_category_index(qa.filter_questions(postings), DEFAULT_TERMS), "id", "category")
-    assert sorted(got) == [(123, 4), (1000, 1), (2000, 14)]
+    assert sorted(got) == [(31, DEFAULT_TERMS.index("Scala")), (70, DEFAULT_TERMS.index("Python")),
+                           (90, DEFAULT_TERMS.index("Ruby"))]
     df = spark.createDataFrame([(1, 5, None, None, 0, None), (1, 6, None, None, 0, "Nope")], POSTING_SCHEMA)
     assert rows(qa.with_category_index(df, DEFAULT_TERMS), "category") == [(None,), (None,)]
 
@@ -110,12 +111,33 @@ def test_pipeline_expected_vector_count(spark):
 def test_grouped_pair_lists(postings, spark):
     got = qa.grouped_pair_lists(postings).collect()
     by_q = {r["question_id"]: r for r in got}
-    assert set(by_q) == {123, 1000} and all(r["n_parts"] == 1 for r in got)
-    assert [a["answer_id"] for a in by_q[1000]["answers"]] == [1001, 1002, 1003]
-    assert by_q[123]["q_tags"] == "C#"
+    assert set(by_q) == {31, 70} and all(r["n_parts"] == 1 for r in got)
+    assert [a["answer_id"] for a in by_q[70]["answers"]] == [71, 72, 74]
+    assert by_q[31]["q_tags"] == "Scala"
     # a hot question is split into bounded parts, every pair kept
     from test_plans import skewed_postings
-    lists = qa.grouped_pair_lists(skewed_postings(spark), max_list=1000).where("question_id = 0").collect()
+    parts = qa.grouped_pair_lists(skewed_postings(spark), max_list=1000)
+    lists = parts.where("question_id = 0").collect()
     assert len(lists) == 20 and all(r["n_parts"] == 20 for r in lists)
     assert sum(len(r["answers"]) for r in lists) == 20000
-    assert max(len(r["answers"]) for r in lists) < 2000
+    assert max(len(r["answers"]) for r in lists) <= 1000
+
+
+def test_pairs_are_never_keyed_on_the_bare_question(spark):
+    from conftest import executed_plan
+    from test_plans import skewed_postings
+    plan = executed_plan(qa.grouped_pair_lists(skewed_postings(spark), max_list=1000))
+    inner = [line for line in plan.splitlines() if "Join" in line and "Inner" in line]
+    assert len(inner) == 1 and "part" in inner[0]
+    groups = [line for line in plan.splitlines() if "collect_list" in line]
+    assert groups and all("part#" in line for line in groups)
+
+
+def test_strict_counts_run_the_checks(spark, postings):
+    from kestrel.operators.checks import expect_row_count
+    scored = qa.scored_postings(postings)
+    assert rows(expect_row_count(qa.vector_postings(scored, DEFAULT_TERMS, 500), 2), "n", "ok") == [(2, True)]
+    assert rows(expect_row_count(scored, scored), "n", "expected", "ok") == [(2, 2, True)]
+    assert rows(expect_row_count(scored.limit(0), 0), "n", "ok") == [(0, True)]
+    unknown = qa.vector_postings(scored, ["Fortran"], 500)
+    raises_spark(lambda: expect_row_count(unknown, 2).collect(), "")
