@@ -22,12 +22,18 @@ from pyspark.sql import SparkSession
 from kestrel.constants import DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SPREAD, DEFAULT_TERMS
 from kestrel.operators.ranking import inverted_index, rank_terms, rank_terms_from_index, rank_terms_single_pass
 from kestrel.plans.qa_clustering import qa_cluster_pipeline
+from kestrel.plans.term_ranking import term_ranking_pipeline
 from kestrel.sources.articles import parse_article_lines
 from kestrel.sources.lines import read_lines
 
 
 def _rank(spark: SparkSession, args) -> None:
-    articles = parse_article_lines(read_lines(spark, args.path, line_sep=args.line_sep), on_error=args.on_error)
+    lines = read_lines(spark, args.path, line_sep=args.line_sep)
+    if not args.timings:  # one scan, one tokenisation for all three
+        for r in term_ranking_pipeline(lines, args.terms, on_error=args.on_error).orderBy("method", "rank").collect():
+            print(f"{r['method']:<12s} {r['rank']:3d}  {r['term']:<15s} {r['n']}")
+        return
+    articles = parse_article_lines(lines, on_error=args.on_error)
     for label, build in (("complete ranking", lambda: rank_terms(articles, args.terms)),
                          ("ranking from the inverted index",
                           lambda: rank_terms_from_index(inverted_index(articles, args.terms), args.terms)),
@@ -67,6 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("path")
     r.add_argument("--terms", nargs="+", default=DEFAULT_TERMS)
     r.add_argument("--line-sep", default=None)
+    r.add_argument("--timings", action="store_true", help="three separate scans, each timed")
     r.add_argument("--on-error", choices=["raise", "drop"], default="raise")
     c = sub.add_parser("cluster", help="cluster questions by category and best answer score")
     c.add_argument("path")

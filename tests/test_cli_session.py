@@ -24,6 +24,9 @@ def test_cli_rank_and_cluster(spark, capsys):
     art = write_lines(FX.fx_article_lines(spark, SF_SMALL), "line", scratch_path(spark, "cli-art"), line_sep="\x1e")
     assert main(["rank-terms", art, "--terms", "the", "and", "zzz", "--line-sep", "\x1e"]) == 0
     out = capsys.readouterr().out
+    assert "complete" in out and "single_pass" in out and "zzz" in out
+    assert main(["rank-terms", art, "--terms", "the", "and", "zzz", "--line-sep", "\x1e", "--timings"]) == 0
+    out = capsys.readouterr().out
     assert "complete ranking" in out and "one-pass ranking" in out and "zzz" in out
     post = write_lines(FX.fx_posting_lines(spark, SF_SMALL), "line", scratch_path(spark, "cli-post"))
     assert main(["cluster", post, "--categories", *FX.ORDER_PRIORITIES, "--k", "5", "--spread", "50000"]) == 0
