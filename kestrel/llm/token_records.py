@@ -10,7 +10,7 @@ there, so files are written by ordinary Spark tasks through the Hadoop committer
 attempts of lost executors never become visible).  Files hold the documents in ascending order, one
 range of the order per file, so ``part-00000`` comes first.
 
-The offset index (Parquet below ``<path>/index``) has a row per record: doc_id, shard, file, offset,
+The offset index (Parquet below ``<path>/index``) has a row per record: doc_id, file, offset,
 length, n_tokens, start, ids_crc32; ``read_records_at`` fetches records in any order by it.
 
 Tokens: a space between two non-space characters always starts a new piece of the byte-level
