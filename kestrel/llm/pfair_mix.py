@@ -8,11 +8,11 @@ windows and full use, earliest deadline first meets every deadline, so after any
 source is a whole block away from its share.  A period ends with all sources exactly on target; a source
 that runs dry leaves, and the others go on with their own weights, so every document gets a place.
 
-Only one schedule per set of remaining sources is computed: sources leave one after the other, so
-there are at most twice as many schedules as sources, each of at most D rows (``parts`` bounds D, the
-sources of the weight table bound the rest, ``MAX_SCHEDULE`` is checked).  The schedules are joined to the
-documents' (source, block) numbers; numbering splits a source into hash buckets of about
-``BUCKET_DOCS`` documents, so a hot source is numbered by many tasks.
+Only one schedule per set of remaining sources is computed: sources leave one after the other, so there are
+at most twice as many schedules as sources.  They have no more rows than there are blocks and are tables
+throughout: Spark lays out the schedules (one task per schedule at a time, which holds one period), spells
+out the slot of every block, and joins the slots to the documents per hash bucket of about ``BUCKET_DOCS``
+documents.  The driver only sees sums, so neither the sources nor the rows of the table have a bound.
 
 Defined cases: a null source is a source of its own; sources without a target weight get
 ``default_parts``; a weight of 0 puts a source's documents after all others; null and empty texts are
@@ -25,7 +25,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from heapq import heappop, heappush
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -38,9 +39,9 @@ PARTS = 100
 #: Target weight of a source is its share of documents to this power, unless weights are given.
 TEMPERATURE = 0.5
 BUCKET_DOCS = 10_000
-#: Bounds of what the driver computes and the tasks are sent (about 10 MB).
-MAX_SOURCES = 10_000
-MAX_SCHEDULE = 100_000
+#: Periods of a schedule that one row spells out, and slots that one window sums up.
+PERIODS = 256
+RUN_SLOTS = 10_000
 
 
 def parts_of(weights: Mapping[str | None, float], parts: int = PARTS) -> dict[str | None, int]:
@@ -58,108 +59,135 @@ def period(active: Mapping[str | None, int]) -> list[tuple[str | None, int, int,
     """Earliest deadline first over one period: (source, block, release, deadline) slot by slot."""
     slots = sum(active.values())
     names = sorted(active, key=lambda s: (s is None, s or ""))
-    coming: list[list[tuple[int, int, int]]] = [[] for _ in range(slots)]
+    coming: list[list[tuple[int, int, int, int]]] = [[] for _ in range(slots)]
     for i, s in enumerate(names):
         for j, (release, due) in enumerate(windows(active[s], slots)):
-            coming[release].append((due, i, j))
-    ready: list[tuple[int, int, int]] = []
+            coming[release].append((due, i, j, release))
+    ready: list[tuple[int, int, int, int]] = []
     out = []
     for t in range(slots):
         for job in coming[t]:
             heappush(ready, job)
-        due, i, j = heappop(ready)  # full use: a released block is always waiting
+        due, i, j, release = heappop(ready)  # full use: a released block is always waiting
         if due <= t:
             raise AssertionError("a deadline was missed")
-        out.append((names[i], j, windows(active[names[i]], slots)[j][0], due))
+        out.append((names[i], j, release, due))
     return out
 
 
-def schedule(parts: Mapping[str | None, int], blocks: Mapping[str | None, int]) -> list[tuple]:
-    """(source, j, first_period, last_period, base, step, place, release, deadline): block j of a source's period p,
-    first_period <= p < last_period, has the global place base + (p - first_period) * step + place."""
-    live = {s: k for s, k in parts.items() if k > 0 and blocks.get(s, 0) > 0}
-    full = {s: blocks[s] // k for s, k in live.items()}  # whole periods of each source
-    cuts = sorted({0, *full.values(), *(-(-blocks[s] // k) for s, k in live.items())})
-    out, base = [], 0
-    for first, last in zip(cuts, cuts[1:]):
-        active = {s: k for s, k in live.items() if blocks[s] > first * k}
-        # in its last period a source may have fewer blocks than parts: its other slots fall away
-        here = [(s, j, r, d) for s, j, r, d in period(active) if first * live[s] + j < blocks[s]]
-        out += [(s, j, first, last, base, len(here), at, r, d) for at, (s, j, r, d) in enumerate(here)]
-        base += (last - first) * len(here)
-    for s in sorted((s for s, b in blocks.items() if b > 0 and s not in live), key=lambda s: (s is None, s or "")):
-        out.append((s, 0, 0, blocks[s], base, 1, 0, 0, 0))
-        base += blocks[s]
-    if len(out) > MAX_SCHEDULE:
-        raise ValueError(f"{len(out)} schedule rows: fewer sources or parts are needed")
-    return out
-
-
-def slot_of(rows: list[tuple], parts: Mapping[str | None, int], source: str | None, block: int) -> int:
-    """Slot of a source's block in the schedule."""
-    k = max(1, parts[source])
-    for s, j, first, last, base, step, at, _, _ in rows:
-        if s == source and j == block % k and first <= block // k < last:
-            return base + (block // k - first) * step + at
-    raise KeyError((source, block))
+PLAN = "s string, j long, k long, n long, first long, last long, base long, step long, at long, release long, deadline long"
+
+
+def _lay_out(group: pa.Table) -> pa.Table:
+    """The schedule (PLAN) of the periods ``first`` to ``last`` from the sources that still have blocks in them."""
+    own = {r["s"]: r for r in group.to_pylist()}
+    one = next(iter(own.values()))
+    # in its last period a source may have fewer blocks than parts: its other slots fall away
+    here = [x for x in period({s: r["k"] for s, r in own.items()})
+            if one["first"] * own[x[0]]["k"] + x[1] < own[x[0]]["blocks"]]
+    s, j, release, due = ([x[c] for x in here] for c in range(4))
+    same = [[one[c]] * len(here) for c in ("first", "last", "base", "step")]
+    columns = [j, [own[x]["k"] for x in s], [own[x]["n"] for x in s], *same, range(len(here)), release, due]
+    return pa.Table.from_arrays([pa.array(s, pa.string()), *(pa.array(c, pa.int64()) for c in columns)],
+                                names=[c.split()[0] for c in PLAN.split(", ")])
+
+
+def _key(source: Column) -> Column:
+    """A key that is never null; the null source comes last."""
+    return F.coalesce(F.concat(F.lit("0"), source), F.lit("1"))
+
+
+def _sources(counts: DataFrame, weights: Mapping[str | None, float] | None, parts: int, default_parts: int,
+             block_docs: int) -> DataFrame:
+    """s, n (documents), k (parts), blocks: one row per source."""
+    found = counts.groupBy("s").agg(F.sum("n").alias("n"))
+    if weights is None:
+        total = counts.agg(F.sum("n")).first()[0] or 1
+        found = found.withColumn("w", F.pow(F.col("n") / total, F.lit(TEMPERATURE)))
+        # a decimal sum does not depend on the order of its rows
+        whole = float(found.agg(F.sum(F.col("w").cast("decimal(38,18)"))).first()[0] or 1)
+        found = found.withColumn("k", F.greatest(F.lit(1), F.rint(parts * F.col("w") / whole).cast("long"))).drop("w")
+    else:
+        shares = [("1" if s is None else "0" + s, k) for s, k in parts_of(weights, parts).items()]
+        given = counts.sparkSession.createDataFrame(shares, "s string, k long")
+        found = found.join(given, "s", "left").withColumn("k", F.coalesce("k", F.lit(default_parts)))
+    return materialize(found.selectExpr("s", "n", "cast(k as long) k", f"(n + {block_docs - 1}) div {block_docs} blocks"),
+                       "mix-sources")
+
+
+def _plan(sources: DataFrame) -> DataFrame:
+    """PLAN rows: block j of a source's period p, first <= p < last, has the slot base + (p - first) * step + at."""
+    live = sources.filter("k > 0").withColumn("until", F.expr("(blocks + k - 1) div k"))
+    first = W.orderBy("first")
+    cuts = (live.select(F.explode(F.array(F.expr("blocks div k"), "until")).alias("first"))
+            .union(sources.sparkSession.range(1)).distinct())
+    cuts = materialize(cuts.select("first", F.lead("first").over(first).alias("last"),
+                                   (F.row_number().over(first) - 1).alias("cut")), "mix-cuts")
+    # a source is active up to its own last cut
+    active = live.join(cuts.select(F.col("first").alias("until"), F.col("cut").alias("upto")), "until")
+    active = active.select("s", "n", "k", "blocks", F.explode(F.sequence(F.lit(0), F.col("upto") - 1)).alias("cut"))
+    active = materialize(active.join(cuts, "cut"), "mix-active")
+    steps = active.groupBy("cut", "first", "last").agg(
+        F.sum(F.least("k", F.expr("blocks - first * k"))).alias("step"))
+    slots = (F.col("last") - F.col("first")) * F.col("step")
+    earlier = W.orderBy("cut").rowsBetween(W.unboundedPreceding, -1)
+    steps = materialize(steps.select("cut", "step", slots.alias("slots"),
+                                     F.coalesce(F.sum(slots).over(earlier), F.lit(0)).alias("base")), "mix-steps")
+    plan = active.join(steps.drop("slots"), "cut").groupBy("cut").applyInArrow(_lay_out, PLAN)
+    end = steps.agg(F.sum("slots")).first()[0] or 0
+    before = F.sum("blocks").over(W.orderBy("s").rowsBetween(W.unboundedPreceding, -1))
+    after = sources.filter("k = 0").withColumn("base", F.coalesce(before, F.lit(0)) + end)
+    return plan.unionByName(after.selectExpr("s", "0L j", "1L k", "n", "0L first", "blocks last", "base", "1L step", "0L at",
+                                             "0L release", "0L deadline"))
+
+
+def _slots(sources: DataFrame, block_docs: int) -> DataFrame:
+    """s, block, slot, release, deadline, start (place of its first document): one row per block."""
+    n = shuffle_partitions(sources)
+    spread = _plan(sources).withColumn("chunk", F.explode(F.expr(
+        f"sequence(first div {PERIODS}, (last - 1) div {PERIODS})"))).repartition(n, "s", "j", "chunk")
+    each = spread.withColumn("p", F.explode(F.expr(
+        f"sequence(greatest(first, chunk * {PERIODS}), least(last, (chunk + 1) * {PERIODS}) - 1)")))
+    # only the last block of a source may be short
+    each = materialize(each.selectExpr(
+        "s", "p * k + j block", "base + (p - first) * step + at slot", "release", "deadline",
+        f"least({block_docs}, n - (p * k + j) * {block_docs}) size").withColumn("run", F.expr(f"slot div {RUN_SLOTS}")),
+        "mix-slots")
+    earlier = W.rowsBetween(W.unboundedPreceding, -1)
+    runs = each.groupBy("run").agg(F.sum("size").alias("size"))
+    runs = runs.select("run", F.coalesce(F.sum("size").over(earlier.orderBy("run")), F.lit(0)).alias("docs"))
+    within = F.sum("size").over(earlier.partitionBy("run").orderBy("slot"))
+    return (each.withColumn("within", F.coalesce(within, F.lit(0))).join(runs, "run")
+            .selectExpr("s", "block", "slot", "release", "deadline", "docs + within start"))
 
 
-def default_weights(counts: Mapping[str | None, int], temperature: float = TEMPERATURE) -> dict[str | None, float]:
-    total = max(1, sum(counts.values()))
-    return {s: (n / total) ** temperature for s, n in counts.items()}
-
-
-def _numbered(rows: DataFrame, seed: int) -> tuple[DataFrame, dict[str | None, int]]:
-    """``rows`` (source, doc_id, ...) with ``rank``, the 0-based number within the source, and rows per source.
+def _placed(docs: DataFrame, weights: Mapping[str | None, float] | None, parts: int, default_parts: int,
+            block_docs: int, seed: int) -> DataFrame:
+    """row (struct of all columns), doc_id, source, block, release, deadline, slot, place.
 
-    The order is by a hash of the doc_id; its leading bits are the buckets.  A row's number is its number
-    within the bucket plus the rows of the source's earlier buckets."""
-    n = rows.count()
-    bits = max(0, (max(1, n) - 1) // BUCKET_DOCS).bit_length()
+    The order within a source is by a hash of the doc_id; its leading bits are the buckets.  A row's number in
+    the source is its number within the bucket plus the rows of the source's earlier buckets.  A bucket meets
+    the slots of its blocks as one list, so the documents are shuffled once, for their numbers."""
+    rows = docs.select("source", "doc_id", F.struct(*docs.columns).alias("row"), _key(F.col("source")).alias("s"))
+    bits = max(0, (max(1, rows.count()) - 1) // BUCKET_DOCS).bit_length()
     keyed = rows.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1))
     keyed = keyed.withColumn("bucket", F.shiftright("h", 63 - bits))
-    counts = materialize(keyed.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
-    earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    before = counts.select(F.col("source").alias("s"), F.col("bucket").alias("b"),
-                           F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = W.partitionBy("source", "bucket").orderBy("h", "doc_id")
-    ranked = keyed.withColumn("rank", F.row_number().over(within) - 1)
-    ranked = ranked.join(before, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    per_source = counts.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(per_source) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
-    return (ranked.withColumn("rank", F.col("rank") + F.col("before")).drop("s", "b", "before", "h", "bucket"),
-            {r["source"]: r["n"] for r in per_source})
-
-
-def _placed(docs: DataFrame, weights: Mapping[str | None, float] | None, parts: int, default_parts: int,
-            block_docs: int, seed: int) -> DataFrame:
-    """row (struct of all columns), doc_id, source, block, release, deadline, slot, place."""
-    rows = docs.select("source", "doc_id", F.struct(*docs.columns).alias("row"))
-    numbered, docs_of = _numbered(rows, seed)
-    shares = parts_of(default_weights(docs_of) if weights is None else weights, parts)
-    shares = {s: shares.get(s, default_parts) for s in docs_of}
-    blocks = {s: -(-n // block_docs) for s, n in docs_of.items()}
-    plan = schedule(shares, blocks)
-    spec = docs.sparkSession.createDataFrame(
-        plan, "s string, j long, first long, last long, base long, step long, at long, release long, deadline long")
-    owned = docs.sparkSession.createDataFrame([(s, max(1, k)) for s, k in shares.items()], "s string, k long")
-    numbered = (numbered.join(F.broadcast(owned), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-                .withColumn("block", F.floor(F.col("rank") / block_docs).cast("long"))
-                .withColumn("period", F.floor(F.col("block") / F.col("k")).cast("long"))
-                .withColumn("part", F.pmod("block", "k")))
-    placed = numbered.join(F.broadcast(spec), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("j"))
-                           & (F.col("period") >= F.col("first")) & (F.col("period") < F.col("last")))
-    placed = placed.withColumn("slot", F.col("base") + (F.col("period") - F.col("first")) * F.col("step") + F.col("at"))
-    # only the last block of a source may be short: what it lacks moves all later documents forward
-    lacks = [(slot_of(plan, shares, s, blocks[s] - 1), blocks[s] * block_docs - n)
-             for s, n in docs_of.items() if n % block_docs]
-    moved = F.lit(0).cast("long")
-    if lacks:
-        table = F.array(*[F.struct(F.lit(x).cast("long").alias("x"), F.lit(m).cast("long").alias("m")) for x, m in lacks])
-        moved = F.aggregate(F.filter(table, lambda e: e["x"] < F.col("slot")), moved, lambda a, e: a + e["m"])
-    return placed.select("row", "doc_id", "source", "block", "release", "deadline", "slot",
-                         (F.col("slot") * block_docs + F.pmod("rank", F.lit(block_docs)) - moved).cast("long").alias("place"))
+    counts = materialize(keyed.groupBy("s", "bucket").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
+    slots = _slots(_sources(counts, weights, parts, default_parts, block_docs), block_docs)
+    earlier = W.partitionBy("s").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    spans = counts.select("s", "bucket", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    spans = spans.select("s", "bucket", "before", F.explode(F.expr(
+        f"sequence(before div {block_docs}, (before + n - 1) div {block_docs})")).alias("block"))
+    spans = spans.join(slots, ["s", "block"]).groupBy("s", "bucket").agg(
+        F.first("before").alias("before"),
+        F.array_sort(F.collect_list(F.struct("block", "slot", "release", "deadline", "start"))).alias("spots"))
+    within = W.partitionBy("s", "bucket").orderBy("h", "doc_id")
+    ranked = keyed.withColumn("rank", F.row_number().over(within) - 1).join(spans, ["s", "bucket"])
+    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
+    spot = F.get("spots", F.expr(f"cast(rank div {block_docs} - before div {block_docs} as int)"))
+    return (ranked.select("row", "doc_id", "source", "rank", spot.alias("spot"))
+            .select("row", "doc_id", "source", "spot.block", "spot.release", "spot.deadline", "spot.slot",
+                    (F.col("spot.start") + F.pmod("rank", F.lit(block_docs))).cast("long").alias("place")))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, parts: int = PARTS,

@@ -419,6 +419,44 @@ def test_mixture_places_every_row(spark):
     assert laid.columns == docs.columns and laid.count() == docs.count()
 
 
+def slow_mixture(blocks, parts):
+    """(source, block, slot) period by period."""
+    out, p = [], 0
+    while any(k and blocks[s] > p * k for s, k in parts.items()):
+        active = {s: k for s, k in parts.items() if k and blocks[s] > p * k}
+        out += [(s, p * parts[s] + j) for s, j, _, _ in pfair_mix.period(active) if p * parts[s] + j < blocks[s]]
+        p += 1
+    out += [(s, b) for s in sorted(s for s, k in parts.items() if not k) for b in range(blocks[s])]
+    return [(s, b, at) for at, (s, b) in enumerate(out)]
+
+
+def test_mixture_of_many_sources_of_different_sizes(spark):
+    sizes = {f"s{i:03d}": i for i in range(1, 481)}  # a schedule for each set of sources left: 115,440 rows
+    docs = (spark.createDataFrame(list(sizes.items()), "source string, n long")
+            .select("source", F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+            .select("source", F.concat_ws("-", "source", "i").alias("doc_id")))
+    got = pfair_mix.mix(docs, {s: 1 for s in sizes}, block_docs=1).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(sum(sizes.values())))
+    assert [(r.source, r.block, r.slot) for r in got] == slow_mixture(sizes, {s: 1 for s in sizes})
+
+
+def test_mixture_follows_the_plain_schedule(spark):
+    rng = random.Random(4)
+    sizes = {f"s{i}": rng.choice([1, 3, 16, 40, 400, 3000]) for i in range(12)}
+    weights = {s: rng.choice([0, 1, 2, 9]) for s in sizes}
+    docs = docs_of(spark, ["t"] * sum(sizes.values()), sources=[s for s, n in sizes.items() for _ in range(n)])
+    got = pfair_mix.mix(docs, weights, block_docs=8).orderBy("place").collect()
+    parts = pfair_mix.parts_of(weights)
+    assert [r.place for r in got] == list(range(sum(sizes.values())))
+    assert sorted({(r.slot, r.source, r.block) for r in got}) == sorted(
+        (at, s, b) for s, b, at in slow_mixture({s: -(-n // 8) for s, n in sizes.items()}, parts))
+
+
+def test_mixture_of_more_than_ten_thousand_sources(spark):
+    docs = spark.range(10_500).selectExpr("id doc_id", "cast(id as string) source")
+    assert sorted(r.place for r in pfair_mix.mix(docs).collect()) == list(range(10_500))
+
+
 # --- all --------------------------------------------------------------------------------------------------------
 
 def test_empty_tables(spark):
