@@ -8,11 +8,15 @@ passage and the item are aligned (Smith-Waterman over words: match +2, mismatch
 score is the share of the item's best possible score.  Windows whose common words cannot reach the
 threshold are skipped, which loses nothing: no alignment scores more than its matches.
 
+A passage of ``RUN`` consecutive words of an item is a leak however small its share of the item, and its row
+has the alignment's true score, below the threshold: hashes of all such runs are looked up at every word.
+Items of fewer than ``MIN_WORDS`` words are looked up whole, if chance (at most ``RARE``) does not explain a match.
+
 The items are the query set: they go to the tasks in blocks of at most about ``BLOCK_WORDS`` words, one
 pass over the documents per block, so what travels with a task is bounded whatever the table's size.
 
-Defined cases: null, empty and blank texts match nothing; items of fewer than ``MIN_WORDS`` words give no
-result (they would match by chance); repeated documents or items are judged one by one (one result row
+Defined cases: null, empty and blank texts match nothing; items of fewer than ``MIN_WORDS`` words that are not
+rare give no result (they would match by chance); letters of a script without spaces are one word; repeated documents or items are judged one by one (one result row
 per document row and item_id, the best score of equal item_ids); null ids are carried; other columns
 are ignored; an empty table on either side gives an empty result.
 """
@@ -35,6 +39,8 @@ SEED = 3
 RARE = 1e-8
 MIN_WORDS = 6
 THRESHOLD = 0.5
+#: Consecutive words of an item that are a leak by themselves.
+RUN = 13
 BLOCK_WORDS = 2_000_000
 
 _CODES = np.arange(256)
@@ -79,7 +85,7 @@ class Items:
 def item_block(rows: list) -> Items:
     data, offsets = utf8_of(pa.array([r["text"] for r in rows], pa.string()))
     hashes, before = word_hashes(data, offsets)
-    keep = [i for i in range(len(rows)) if before[i + 1] - before[i] >= MIN_WORDS]
+    keep = [i for i in range(len(rows)) if before[i + 1] > before[i]]
     vocab = np.unique(np.concatenate([hashes[before[i]:before[i + 1]] for i in keep] or [np.empty(0, np.uint64)]))
     return Items([rows[i]["item_id"] for i in keep],
                  [np.searchsorted(vocab, hashes[before[i]:before[i + 1]]) for i in keep], vocab)
@@ -123,6 +129,8 @@ def seeds(items: Items, counts: np.ndarray, total: int) -> tuple[np.ndarray, np.
     p = np.log((counts + 0.5) / max(1, total + 1))
     keys, owner, place = [], [], []
     for k, words in enumerate(items.words):
+        if len(words) < MIN_WORDS:
+            continue
         key = grams(words, len(items.vocab))
         chance = sum(p[words[j:len(words) - SEED + 1 + j]] for j in range(SEED))
         half = np.sort(chance)[(len(chance) - 1) // 2]
@@ -137,6 +145,64 @@ def seeds(items: Items, counts: np.ndarray, total: int) -> tuple[np.ndarray, np.
     return key[order], owner[order], place[order]
 
 
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def run_keys(words: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on."""
+    places = words.astype(np.uint64)
+    key = np.zeros(max(0, len(words) - n + 1), np.uint64)
+    for k in range(n if len(key) else 0):
+        key = (key ^ places[k:len(words) - n + 1 + k]) * STEP
+        key ^= key >> np.uint64(29)
+    return key
+
+
+Runs = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def runs_of(items: Items, counts: np.ndarray, total: int) -> Runs:
+    """By length: (key, item, place), in key order, of the runs that are leaks by themselves."""
+    p = np.log((counts + 0.5) / max(1, total + 1))
+    found: dict[int, list] = {}
+    for k, words in enumerate(items.words):
+        n = len(words) if len(words) < MIN_WORDS else RUN
+        if len(words) >= n and (n == RUN or p[words].sum() <= np.log(RARE)):
+            keys = run_keys(words, n)
+            found.setdefault(n, []).append((keys, np.full(len(keys), k), np.arange(len(keys))))
+    out = {}
+    for n, parts in found.items():
+        key, owner, place = map(np.concatenate, zip(*parts))
+        order = np.argsort(key, kind="stable")
+        out[n] = key[order], owner[order], place[order]
+    return out
+
+
+def run_hits(words: np.ndarray, before: np.ndarray, runs: Runs) -> dict[int, dict[int, np.ndarray]]:
+    """By text and item: where the item would begin, for each run found."""
+    out: dict[int, dict[int, np.ndarray]] = {}
+    unknown = np.r_[0, np.cumsum(words < 0)]
+    for n, (key, owner, place) in runs.items():
+        if len(words) < n:
+            continue
+        spots = np.flatnonzero(unknown[n:] == unknown[:-n])
+        text = np.searchsorted(before, spots, "right") - 1
+        inside = spots + n <= before[text + 1]
+        spots, text = spots[inside], text[inside]
+        own = run_keys(words, n)[spots]
+        low = np.searchsorted(key, own)
+        hit = key[np.minimum(low, len(key) - 1)] == own
+        spots, text, low, own = spots[hit], text[hit], low[hit], own[hit]
+        hits = np.searchsorted(key, own, "right") - low
+        which = np.repeat(low - (np.cumsum(hits) - hits), hits) + np.arange(int(hits.sum()))
+        text, begin, item = np.repeat(text, hits), np.repeat(spots, hits) - place[which], owner[which]
+        for t in np.unique(text).tolist():
+            here = text == t
+            for k in np.unique(item[here]).tolist():
+                out.setdefault(t, {})[k] = np.unique(begin[here & (item == k)]) - before[t]
+    return out
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """(best Smith-Waterman score, end of the alignment in ``passage``, exclusive)."""
     n = len(passage)
@@ -165,28 +231,36 @@ def _align_span(item: np.ndarray, passage: np.ndarray, threshold: float) -> tupl
     return score, end - back, end
 
 
-def _matcher(items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray,
-             threshold: float) -> Callable[[np.ndarray], list[tuple]]:
+def _best(item: np.ndarray, words: np.ndarray, begin: np.ndarray, threshold: float) -> tuple[float, int, int] | None:
+    """(score, start, end) of the best alignment around the places ``begin`` (ascending)."""
+    m = len(item)
+    slack = max(8, m // 2)
+    cut = np.flatnonzero(np.diff(begin) > 2 * slack + m) + 1
+    best = None
+    for part in np.split(begin, cut):
+        low, high = max(0, int(part[0]) - slack), min(len(words), int(part[-1]) + m + slack)
+        found = _align_span(item, words[low:high], threshold)
+        if found and (best is None or found[0] > best[0]):
+            best = (found[0], low + found[1], low + found[2])
+    return best
+
+
+def _matcher(items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray, threshold: float) -> Callable:
     """A function from a text's words (places, -1 unknown) to its results (item, score, start, end, seeds hit)."""
 
-    def match(words: np.ndarray, spots: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> list[tuple]:
+    def match(words: np.ndarray, spots: np.ndarray, lows: np.ndarray, highs: np.ndarray,
+              runs: dict[int, np.ndarray]) -> list[tuple]:
         hits = highs - lows
         which = np.repeat(lows - (np.cumsum(hits) - hits), hits) + np.arange(int(hits.sum()))
         spot = np.repeat(spots, hits)
         out = []
         item_of = owner[which]
-        for k in np.unique(item_of).tolist():
+        for k in sorted({*np.unique(item_of).tolist(), *runs}):
             own = item_of == k
             word, begin = items.words[k], np.sort(spot[own] - place[which[own]])
-            m = len(word)
-            slack = max(8, m // 2)
-            cut = np.flatnonzero(np.diff(begin) > 2 * slack + m) + 1
-            best = None
-            for part in np.split(begin, cut):
-                low, high = max(0, int(part[0]) - slack), min(len(words), int(part[-1]) + m + slack)
-                found = _align_span(word, words[low:high], threshold)
-                if found and (best is None or found[0] > best[0]):
-                    best = (found[0], low + found[1], low + found[2])
+            best = _best(word, words, begin, threshold) if len(begin) else None
+            if best is None and k in runs:
+                best = _best(word, words, runs[k], 0.0)
             if best:
                 out.append((items.ids[k], *best, int(own.sum())))
         return out
@@ -194,7 +268,7 @@ def _matcher(items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray
     return match
 
 
-def _scan(column: pa.Array, items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray,
+def _scan(column: pa.Array, items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray, runs: Runs,
           threshold: float) -> Iterator[tuple[int, list[tuple]]]:
     """(row, results) of every text that has any."""
     match = _matcher(items, key, owner, place, threshold)
@@ -203,18 +277,18 @@ def _scan(column: pa.Array, items: Items, key: np.ndarray, owner: np.ndarray, pl
         hashes, before = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
         words = items.places(hashes)
         gram = grams(words, len(items.vocab))
-        if not len(key) or not len(gram):
-            continue
+        alone = run_hits(words, before, runs)
         low = np.searchsorted(key, gram)
-        spots = np.flatnonzero((gram >= 0) & (key[np.minimum(low, len(key) - 1)] == gram))
+        spots = np.flatnonzero((gram >= 0) & (key[np.minimum(low, len(key) - 1)] == gram)) if len(key) else \
+            np.empty(0, np.int64)
         text = np.searchsorted(before, spots, "right") - 1
         inside = spots + SEED <= before[text + 1]  # no n-gram across texts
         spots, text = spots[inside], text[inside]
         high = np.searchsorted(key, gram[spots], "right")
-        for t in np.unique(text).tolist():
+        for t in sorted({*np.unique(text).tolist(), *alone}):
             own = text == t
             begin = before[t]
-            found = match(words[begin:before[t + 1]], spots[own] - begin, low[spots[own]], high[own])
+            found = match(words[begin:before[t + 1]], spots[own] - begin, low[spots[own]], high[own], alone.get(t, {}))
             if found:
                 yield i + t, found
 
@@ -234,7 +308,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", thresh
     out = None
     for rows in blocks_of(benchmark):
         items = item_block(rows)
-        found = seeds(items, *word_counts(docs, items, text))
+        seen = word_counts(docs, items, text)
+        found = *seeds(items, *seen), runs_of(items, *seen)
 
         def scan(batches: Iterator[pa.RecordBatch], items=items, found=found) -> Iterator[pa.RecordBatch]:
             for batch in lean(batches):
@@ -256,7 +331,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", thresh
     at = docs.columns.index(text)
     for rows in blocks_of(benchmark):
         items = item_block(rows)
-        found = seeds(items, *word_counts(docs, items, text))
+        seen = word_counts(docs, items, text)
+        found = *seeds(items, *seen), runs_of(items, *seen)
 
         def keep(batches: Iterator[pa.RecordBatch], items=items, found=found) -> Iterator[pa.RecordBatch]:
             for batch in lean(batches):

@@ -359,6 +359,21 @@ def test_leaks_against_full_alignment(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == set(range(len(texts))) - {d for d, _ in want}
 
 
+def test_long_passages_and_short_items_are_leaks(spark):
+    rng = random.Random(10)
+    words = [f"w{i}" for i in range(3000)]
+    item = rng.choices(words, k=200)
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(40)]
+    texts += [" ".join(["x", *item[40:130], "y"]), " ".join(["x", *item[186:200], "y"]), " ".join(["x", *item[5:15], "y"]),
+              "a Quokka, zebra; lynx heron b", "quokka zebra heron lynx", "one w1 two"]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "quokka zebra lynx heron"), (3, "w1")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.score, r.start_word, r.end_word)
+           for r in decontam.find_leaks(docs_of(spark, texts), bench).collect()}
+    assert got == {(40, 1): (90 / 200, 1, 91), (41, 1): (14 / 200, 1, 15), (43, 2): (1.0, 1, 5)}
+    kept = decontam.drop_leaks(docs_of(spark, texts), bench)
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == set(range(len(texts))) - {40, 41, 43}
+
+
 # --- 10: rules --------------------------------------------------------------------------------------------------
 
 def test_rules_against_brute_force(spark):
