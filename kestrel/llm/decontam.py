@@ -14,9 +14,10 @@ Items of fewer than ``MIN_WORDS`` words are looked up whole, if chance (at most
 
 The items are the query set: they go to the tasks in blocks of at most about ``BLOCK_WORDS`` words, one
 pass over the documents per block, so what travels with a task is bounded whatever the table's size.
+Repeated rows of the benchmark travel once.
 
 Defined cases: null, empty and blank texts match nothing; items of fewer than ``MIN_WORDS`` words that are not
-rare give no result (they would match by chance); letters of a script without spaces are one word; repeated documents or items are judged one by one (one result row
+rare give no result (they would match by chance); letters of a script without spaces are one word; repeated documents are judged one by one, repeated items once (one result row
 per document row and item_id, the best score of equal item_ids); null ids are carried; other columns
 are ignored; an empty table on either side gives an empty result.
 """
@@ -253,7 +254,7 @@ def _matcher(items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray
         hits = highs - lows
         which = np.repeat(lows - (np.cumsum(hits) - hits), hits) + np.arange(int(hits.sum()))
         spot = np.repeat(spots, hits)
-        out = []
+        out: dict = {}  # the best by item_id
         item_of = owner[which]
         for k in sorted({*np.unique(item_of).tolist(), *runs}):
             own = item_of == k
@@ -261,9 +262,9 @@ def _matcher(items: Items, key: np.ndarray, owner: np.ndarray, place: np.ndarray
             best = _best(word, words, begin, threshold) if len(begin) else None
             if best is None and k in runs:
                 best = _best(word, words, runs[k], 0.0)
-            if best:
-                out.append((items.ids[k], *best, int(own.sum())))
-        return out
+            if best and (items.ids[k] not in out or best[0] > out[items.ids[k]][1]):
+                out[items.ids[k]] = (items.ids[k], *best, int(own.sum()))
+        return list(out.values())
 
     return match
 
@@ -294,18 +295,37 @@ def _scan(column: pa.Array, items: Items, key: np.ndarray, owner: np.ndarray, pl
 
 
 def blocks_of(benchmark: DataFrame, text: str = "text") -> Iterator[list]:
-    """The items in blocks of about BLOCK_WORDS words (by hash of the item, so no order is needed)."""
-    size = benchmark.agg(F.sum(F.size(F.split(text, r"\s+")))).first()[0] or 0
+    """The distinct items in blocks of about BLOCK_WORDS words (by hash of the item, so no order is needed)."""
+    items = benchmark.select("item_id", F.col(text).alias("text"))
+    size = items.distinct().agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = max(1, -(-size // BLOCK_WORDS))
     for b in range(n):
-        yield (benchmark.select("item_id", F.col(text).alias("text"))
-               .filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
-               .orderBy("item_id", "text").collect())
+        yield items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).distinct().orderBy("item_id", "text").collect()
+
+
+RESULT = ["doc_id", "item_id", "score", "start_word", "end_word", "n_seeds"]
+
+
+def _best_of_blocks(found: list[DataFrame]) -> DataFrame:
+    """The best row per document row and item_id of all blocks (RESULT and ``text_hash``).
+
+    Document rows of equal doc_id and text have equal results in each block, so their number is that of any block."""
+    if len(found) == 1:
+        return found[0].select(*RESULT)
+    rows = None
+    for b, part in enumerate(found):
+        part = part.withColumn("block", F.lit(b))
+        rows = part if rows is None else rows.unionByName(part)
+    first = F.max(F.struct("score", (-F.col("start_word")).alias("back"), "end_word", "n_seeds")).alias("best")
+    each = rows.groupBy("doc_id", "text_hash", "item_id", "block").agg(first, F.count(F.lit(1)).alias("n"))
+    best = each.groupBy("doc_id", "text_hash", "item_id").agg(F.max("best").alias("best"), F.max("n").alias("n"))
+    return best.select("doc_id", "item_id", "best.score", (-F.col("best.back")).alias("start_word"), "best.end_word",
+                       "best.n_seeds", F.explode(F.sequence(F.lit(1), "n"))).select(*RESULT)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, item_id, score, start_word, end_word (of the passage, exclusive), n_seeds: one row per leak."""
-    out = None
+    parts = []
     for rows in blocks_of(benchmark):
         items = item_block(rows)
         seen = word_counts(docs, items, text)
@@ -313,17 +333,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", thresh
 
         def scan(batches: Iterator[pa.RecordBatch], items=items, found=found) -> Iterator[pa.RecordBatch]:
             for batch in lean(batches):
-                ids = batch.column(0)
-                rows = [(ids[r].as_py(), *x) for r, xs in _scan(batch.column(1), items, *found, threshold) for x in xs]
+                ids, hashes = batch.column(0), batch.column(2)
+                rows = [(ids[r].as_py(), *x, hashes[r].as_py()) for r, xs in _scan(batch.column(1), items, *found, threshold) for x in xs]
                 if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+                    kinds = (pa.int64(), pa.int64(), pa.float64(), *[pa.int64()] * 4)
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                     names=["doc_id", "item_id", "score", "start_word", "end_word", "n_seeds"])
+                                                     names=[*RESULT, "text_hash"])
 
-        part = docs.select("doc_id", text).mapInArrow(
-            scan, "doc_id long, item_id long, score double, start_word long, end_word long, n_seeds long")
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(docs.select("doc_id", text, F.xxhash64(text)).mapInArrow(
+            scan, "doc_id long, item_id long, score double, start_word long, end_word long, n_seeds long, text_hash long"))
+    return _best_of_blocks(parts)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -374,6 +374,22 @@ def test_long_passages_and_short_items_are_leaks(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == set(range(len(texts))) - {40, 41, 43}
 
 
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 60])
+def test_repeated_items_give_one_row_and_travel_once(spark, monkeypatch, block_words):
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", block_words)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    a, b, c = (rng.choices(words, k=20) for _ in range(3))
+    items = [(1, a)] * 300 + [(1, a[:15] + b[:5]), (2, b), (2, b), (3, c), (None, c), (None, c)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    blocks = list(decontam.blocks_of(bench))
+    assert sum(map(len, blocks)) == 5 and (len(blocks) > 1) == (block_words == 60)
+    texts = [" ".join(a), " ".join(a), " ".join(["x", *b, *c]), "nothing"]
+    got = decontam.find_leaks(docs_of(spark, texts, ids=[7, 7, 8, 9]), bench).collect()
+    assert sorted((r.doc_id, r.item_id or 0, r.score) for r in got) == [
+        (7, 1, 1.0), (7, 1, 1.0), (8, 0, 1.0), (8, 2, 1.0), (8, 3, 1.0)]
+
+
 # --- 10: rules --------------------------------------------------------------------------------------------------
 
 def test_rules_against_brute_force(spark):
