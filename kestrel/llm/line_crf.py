@@ -8,7 +8,7 @@ bad share, and a logistic curve fitted on the training documents turns it into t
 Training: labels mark documents, so the lines of a good document are good, and the lines of a bad
 one start out bad and are relabelled by the model in ``ROUNDS`` rounds (its worst line stays bad).
 The sample is bounded: the ``TRAIN_DOCS`` labelled documents with the smallest hash of their doc_id,
-of at most ``TRAIN_LINES`` lines each; only bins leave the executors.  Rows whose crc32(doc_id as
+of a longer one ``TRAIN_LINES`` lines in ``TRAIN_RUNS`` runs from its first to its last; only bins leave the executors.  Rows whose crc32(doc_id as
 text) mod 5 is 0 are held out.  Scoring is a narrow projection over whole texts.
 
 Defined cases: null, empty and blank texts count as one line of length zero; repeated rows are scored
@@ -34,6 +34,8 @@ from kestrel.llm.common import bounded_batches
 FOLDS = 5
 TRAIN_DOCS = 4000
 TRAIN_LINES = 200
+#: A text of more lines trains with so many runs of its lines.
+TRAIN_RUNS = 4
 ROUNDS = 3
 STEPS = 150
 #: A document is predicted good from this score on.
@@ -239,6 +241,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> D
     return docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
+def training_lines(n: int) -> np.ndarray:
+    """Lines of a text of ``n`` lines that train: all, or TRAIN_LINES in runs spread evenly from its first line to its last."""
+    if n <= TRAIN_LINES:
+        return np.arange(n)
+    size = TRAIN_LINES // TRAIN_RUNS
+    starts = np.arange(TRAIN_RUNS) * (n - size) // (TRAIN_RUNS - 1)
+    return (starts[:, None] + np.arange(size)).ravel()
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     """The model of a bounded sample; executors compute the bins, the driver gets at most TRAIN_DOCS * TRAIN_LINES lines."""
     bounded_batches(docs.sparkSession)
@@ -249,10 +260,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
             for i, j in chunks(offsets):
                 bins, chars, counts = line_bins(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 ends = np.cumsum(counts)
-                rows = [(d, g, bins[e - c:e].astype(np.int16).tobytes(), chars[e - c:e].tobytes())
-                        for d, g, c, e in zip(batch.column(0).slice(i, j - i).to_pylist(),
-                                              batch.column(1).slice(i, j - i).to_pylist(), counts.tolist(), ends.tolist())
-                        if c <= TRAIN_LINES]
+                rows = [(d, g, bins[at].astype(np.int16).tobytes(), chars[at].tobytes())
+                        for d, g, at in zip(batch.column(0).slice(i, j - i).to_pylist(),
+                                            batch.column(1).slice(i, j - i).to_pylist(),
+                                            (e - c + training_lines(c) for c, e in zip(counts.tolist(), ends.tolist())))]
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))],

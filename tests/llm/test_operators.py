@@ -320,6 +320,21 @@ def test_quality_edge_cases(spark):
     assert line_crf.keep_good(docs, line_crf.train(docs, labels.limit(0))).count() == len(ODD)
 
 
+def test_long_documents_train_too(spark):
+    assert line_crf.training_lines(200).tolist() == list(range(200))
+    for n in (201, 1000, 12_345):
+        at = line_crf.training_lines(n)
+        assert len(at) == 200 and (np.diff(at) > 0).all() and at[0] == 0 and at[-1] == n - 1
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(50)]
+    texts = ["\n".join(" ".join(rng.choices(words, k=9)) + "." for _ in range(10)) for _ in range(40)]
+    texts += ["\n".join("| # | $$ |" for _ in range(260)) for _ in range(40)]  # bad ones are all long
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 40), 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    rows = line_crf.score_documents(docs, line_crf.train(docs, labels)).collect()
+    assert all(r.predicted == int(r.doc_id < 40) for r in rows)
+
+
 # --- 9: decontamination -----------------------------------------------------------------------------------------
 
 def slow_align(a, b):
