@@ -44,7 +44,7 @@ CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "auth", "bearer", "credential
 
 #: Values that take at least so many bits of guesses are secrets.
 MIN_BITS = 30.0
-#: No segment but a brute-force span is longer; brute-force spans grow character by character.
+#: Longest walk or repeat that is tried from every place; longer ones are tried from a run's first places or to its end.
 MAX_SEGMENT = 32
 
 #: Common words of passwords and placeholders, most common first (the place is the number of guesses).
@@ -84,6 +84,16 @@ def char_bits(c: str) -> float:
     return math.log2(33)
 
 
+def lengths(first: int, whole: int, inside: int) -> list[int]:
+    """Lengths of the segments from a place of a run, ``inside`` places after its first, with ``whole`` left of it.
+
+    All from the run's first places, elsewhere the short ones and the whole rest: a segment that begins further
+    inside and ends inside is dearer than one from the run's first places, as cost grows with the logarithm of length."""
+    if inside <= MAX_SEGMENT or whole <= MAX_SEGMENT:
+        return list(range(first, whole + 1))
+    return [*range(first, MAX_SEGMENT + 1), whole]
+
+
 def guess_bits(value: str) -> float:
     """log2 of the guesses of the cheapest segmentation; every segment costs one more bit for its kind."""
     n, low = len(value), value.lower()
@@ -96,12 +106,14 @@ def guess_bits(value: str) -> float:
         if bits < best[end]:
             best[end] = bits
 
-    walk = repeat = 0  # lengths of the walk and of the one-character repeat that end before i
     runs = [0] * n  # walk length from each start, filled backwards
-    same = [0] * n
+    same = [[0] * (n + 1) for _ in range(5)]  # by unit: characters from each start that equal the one a unit further
     for i in range(n - 1, -1, -1):
-        runs[i] = walk = walk + 1 if i + 1 < n and adjacent(low[i], low[i + 1]) else 1
-        same[i] = repeat = repeat + 1 if i + 1 < n and value[i] == value[i + 1] else 1
+        runs[i] = runs[i + 1] + 1 if i + 1 < n and adjacent(low[i], low[i + 1]) else 1
+        for unit in (1, 2, 3, 4):
+            same[unit][i] = same[unit][i + 1] + 1 if i + unit < n and value[i] == value[i + unit] else 0
+    walked = 0  # steps since the walk's first place; the same by unit
+    since = [0] * 5
     for i in range(n):
         at = best[i] + 1
         offer(i + 1, best[i] + char_bits(value[i]))
@@ -116,16 +128,16 @@ def guess_bits(value: str) -> float:
         if m := DATE.match(value, i):
             offer(m.end(), at + (math.log2(130) if m.end() - i == 4 else math.log2(130 * 366)))
             offer(i + 4, at + math.log2(130)) if value[i:i + 2] in ("19", "20") and value[i:i + 4].isdigit() else None
-        for length in range(3, min(runs[i], MAX_SEGMENT) + 1):
+        walked = walked + 1 if i and runs[i - 1] > 1 else 0
+        for length in lengths(3, runs[i], walked):
             offer(i + length, at + math.log2(len(PLACE)) + 1.5 * math.log2(length))
-        for length in range(3, min(same[i], MAX_SEGMENT) + 1):
-            offer(i + length, at + char_bits(value[i]) + math.log2(length))
-        for unit in (2, 3, 4):
-            k = 1
-            while (k + 1) * unit <= MAX_SEGMENT and value[i + k * unit:i + (k + 1) * unit] == value[i:i + unit] != "":
-                k += 1
-                if len(value) >= i + k * unit:
-                    offer(i + k * unit, at + sum(map(char_bits, value[i:i + unit])) + math.log2(k))
+        for unit in (1, 2, 3, 4):
+            since[unit] = since[unit] + 1 if i and same[unit][i - 1] else 0
+            if same[unit][i] < unit:
+                continue
+            bits = at + sum(map(char_bits, value[i:i + unit]))
+            for k in lengths(3 if unit == 1 else 2, 1 + same[unit][i] // unit, since[unit]):
+                offer(i + k * unit, bits + math.log2(k))
     return best[n]
 
 

@@ -220,6 +220,35 @@ def test_guess_cost_is_the_minimum_over_segmentations():
     assert secret_scan.guess_bits("z" * 5000) < 2000
 
 
+def slow_bits(value):
+    """Words and dates aside, which these values do not hold: the best over all segments."""
+    best = [0.0] + [float("inf")] * len(value)
+    for e in range(1, len(value) + 1):
+        for b in range(e):
+            piece, at = value[b:e], best[b]
+            costs = [secret_scan.char_bits(piece) - 1] if e - b == 1 else []
+            if e - b >= 3 and all(secret_scan.adjacent(x, y) for x, y in zip(piece, piece[1:])):
+                costs.append(np.log2(len(secret_scan.PLACE)) + 1.5 * np.log2(e - b))
+            for unit in (1, 2, 3, 4):
+                k, rest = divmod(e - b, unit)
+                if not rest and k >= (3 if unit == 1 else 2) and piece == piece[:unit] * k:
+                    costs.append(sum(map(secret_scan.char_bits, piece[:unit])) + np.log2(k))
+            best[e] = min([best[e], *(at + 1 + c for c in costs)])
+    return best[-1]
+
+
+def test_long_runs_are_cheap():
+    for unit in ("*", "-", "x", "*-", "x1", "ab;"):
+        for n in (68, 200, 1000, 5000):
+            assert secret_scan.guess_bits((unit * n)[:n - n % len(unit)]) < secret_scan.MIN_BITS, (unit, n)
+    rng = random.Random(5)
+    for _ in range(30):
+        value = "".join(rng.choice(["*", "-", "*-", "kz", "ghghg", "%&;"]) * rng.randint(1, 45) for _ in range(3))
+        assert abs(secret_scan.guess_bits(value) - slow_bits(value)) < 1e-9, value
+    text = "Pin: " + "-" * 300 + " pwd: " + "****" * 40
+    assert secret_scan.credential_spans(text, secret_scan.base_spans(text)) == []
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("tokensecrt=: \"'abcdef0123456789AKIA_")), max_size=120))
 def test_base_spans_are_those_of_the_plain_patterns(text):
