@@ -15,7 +15,9 @@ length, n_tokens, start, ids_crc32; ``read_records_at`` fetches records in any o
 
 Tokens: a space between two non-space characters always starts a new piece of the byte-level
 vocabulary, so texts are cut there and each distinct piece is encoded once per worker
-process by the tokenizers library.  The ids are those of encoding the whole text.
+process by the tokenizers library.  The ids are those of encoding the whole text with the library's
+``encode_special_tokens`` set: the string of a special token in a text is ordinary text.  An untouched
+Tokenizer would give the special token's id there, and so other counts, checksums and later starts.
 
 Defined cases: null and empty texts have the end id only; null doc_ids come first; rows with equal
 doc_ids stand in the order of a hash of their texts; other columns are ignored; an empty table

@@ -50,6 +50,18 @@ def test_token_records_hold_the_library_ids(spark):
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
 
 
+def test_ids_are_an_untouched_tokenizers_but_for_special_strings():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(token_records.default_tokenizer())
+    encoder = token_records.PieceEncoder(token_records.default_tokenizer(), 0)
+    texts = [t or "" for t in ODD] + ["stop <|endoftext|> go"]
+    data, offsets = utf8_of(pa.array(texts))
+    for t, packed in zip(texts, encoder.encode(data, offsets)):
+        ids = np.frombuffer(packed, encoder.dtype)[:-1].tolist()
+        assert (ids == plain.encode(t, add_special_tokens=False).ids) == ("<|endoftext|>" not in t)
+        assert plain.token_to_id("<|endoftext|>") not in ids and plain.decode(ids, skip_special_tokens=False) == t
+
+
 def test_records_can_be_read_in_any_order_and_damage_is_seen(spark, tmp_path):
     path = f"file://{tmp_path}/r"
     tokenizer = token_records.default_tokenizer()
