@@ -8,29 +8,38 @@ loop stops when the summed squared move of all centres is < ``eta`` or after
 
 Execution.  A point's cluster depends only on its coordinates, so the loop runs on
 the *weighted distinct points* ``(x, y, w)``: one map-side-combined aggregation of
-the vectors, written once to the shared checkpoint folder and cached
+the vectors, written once to the shared checkpoint folder
 (:class:`kestrel.session.Scratch`).  Means over weighted points are exactly the
-means over all points (``sum(x*w) div sum(w)``).  Here x is a category coordinate
-and y a score, so the distinct points are bounded by categories x distinct scores
-however many vectors there are.  Each step is then one small job: a narrow
-assignment (centres are an array literal, no join), a partial+final aggregate on
-the cluster index, and a collect of at most k rows.  The plan is rebuilt from the
-same base every step, so it does not grow with the iteration count.
+means over all points (``sum(x*w) div sum(w)``).  :class:`LloydPoints` deals them over all
+cores, caches them, and holds the table of their distinct x.  Each step is one job: the lower
+envelope of the k parabolas per distinct x (a small table), an equi-join of the points with it on x,
+a binary search per point (:mod:`kestrel.functions.geometry`), a partial+final aggregate on the cluster
+index, and a collect of at most k rows.  The plan is rebuilt from the same base every step, so it does
+not grow with the iteration count; its text does not grow with k.
+
+:func:`assign_nearest` takes the centres as an array literal up to ``LITERAL_CENTRES``.  Beyond, and
+wherever the envelopes would not fit, :func:`assign_by_cells` joins points and centres by the cells of
+a grid.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.constants import DEFAULT_ETA, DEFAULT_MAX_ITER
 from kestrel.functions.arith import int_div
-from kestrel.functions.geometry import nearest_centre, squared_distance
-from kestrel.session import Scratch
+from kestrel.functions.geometry import (EXACT_COORDINATE, envelope_length, envelope_segment, envelopes, local_envelopes,
+                                        nearest_centre, squared_distance)
+from kestrel.session import Scratch, materialize
 
 Centre = tuple[int, int]
 
@@ -53,8 +62,22 @@ TRACE_SCHEMA = T.StructType([
 ])
 
 
+#: Most centres that travel as an array literal; more of them meet the points by grid cells.
+LITERAL_CENTRES = 256
+#: Points per task of a step: few enough for all cores, at most MOST_POINTS where there are plenty.
+TASK_POINTS, MOST_POINTS = 8_192, 1_000_000
+#: Most intervals (of all distinct x) that a step makes, and that it broadcasts (8 bytes each).
+ENVELOPE_ENTRIES, SENT_ENTRIES = 1 << 27, 1 << 20
+#: Centres per cell of the grid, on the average over all cells.
+CELL_CENTRES = 2
+
+
 def assign_nearest(vectors: DataFrame, centres: Sequence[Centre], *, x: str = "x", y: str = "y") -> DataFrame:
-    """Adds ``cluster`` (nearest centre index, ties to the lowest) and ``dist`` (its squared distance)."""
+    """Adds ``cluster`` (nearest centre index, ties to the lowest) and ``dist`` (its squared distance).
+
+    A null coordinate has no distance: such a row goes to centre 0 with a null ``dist``."""
+    if len(centres) > LITERAL_CENTRES:
+        return assign_by_cells(vectors, centres_frame(vectors.sparkSession, centres), x=x, y=y)
     return vectors.withColumn("_best", nearest_centre(x, y, centres)).select(
         *vectors.columns, F.col("_best.i").alias("cluster"), F.col("_best.d").alias("dist"))
 
@@ -90,11 +113,149 @@ def cluster_means(points: DataFrame, centres: Sequence[Centre], *, weight: str |
     return average_vectors(assign_nearest(points.select(*cols), centres), ["cluster"], weight=weight)
 
 
+def _new_centres(means: DataFrame, centres: Sequence[Centre]) -> list[Centre]:
+    found = {int(r["cluster"]): (int(r["x"]), int(r["y"])) for r in means.collect()}
+    return [found.get(i, c) for i, c in enumerate(centres)]
+
+
 def lloyd_step(points: DataFrame, centres: Sequence[Centre], *, weight: str | None = None) -> list[Centre]:
-    """One step: new centres (k rows come back); an empty cluster keeps its old centre."""
-    means = {int(r["cluster"]): (int(r["x"]), int(r["y"]))
-             for r in cluster_means(points, centres, weight=weight).collect()}
-    return [means.get(i, c) for i, c in enumerate(centres)]
+    """One step over any points: new centres (k rows come back); an empty cluster keeps its old centre."""
+    return _new_centres(cluster_means(points, centres, weight=weight), centres)
+
+
+class LloydPoints:
+    """Weighted points ``(x, y, w)`` made ready for many steps; a context manager that lets go of the cache.
+
+    ``base`` should be a written table: a lost executor's cached partitions are computed from it again."""
+
+    def __init__(self, base: DataFrame, scratch: Scratch):
+        xs = scratch.materialize(base.groupBy("x").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.col("x").isNull() | F.col("y").isNull()).alias("nulls"),
+            F.min("y").alias("low"), F.max("y").alias("high")), "kmeans-xs")
+        most = F.max(F.greatest(*(F.abs(F.col(c).cast("long")) for c in ("x", "low", "high"))))
+        rows, nulls, self.distinct, reach = xs.agg(F.sum("n"), F.sum("nulls"), F.count(F.lit(1)), most).first()
+        self.xs, self.rows = xs.select("x"), rows or 0
+        self.own = [r[0] for r in self.xs.collect()] if self.distinct <= SENT_ENTRIES // 8 else []  # a few x
+        self.exact = not nulls and (reach or 0) <= EXACT_COORDINATE
+        cores = base.sparkSession.sparkContext.defaultParallelism
+        self.partitions = max(1, min(math.ceil(self.rows / TASK_POINTS), max(cores, math.ceil(self.rows / MOST_POINTS))))
+        self.points = base.select("x", "y", "w").repartition(self.partitions, "x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self) -> LloydPoints:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.points.unpersist()
+
+    def assigned(self, centres: Sequence[Centre]) -> DataFrame:
+        """``(x, y, w, cluster)``: the points with their nearest centres."""
+        k = len(centres)
+        intervals = self.distinct * envelope_length(k)
+        reach = max((abs(c) for centre in centres for c in centre), default=0)
+        if not self.exact or reach > EXACT_COORDINATE or intervals > ENVELOPE_ENTRIES:
+            return assign_nearest(self.points, centres).drop("dist")
+        if self.own and intervals <= SENT_ENTRIES:
+            table = F.broadcast(local_envelopes(self.points.sparkSession, self.own, centres))
+        else:
+            table = envelopes(self.xs, centres).hint("merge")
+        return envelope_segment(self.points.join(table, "x"), "y", k, "cluster").drop("begin", "centre")
+
+    def step(self, centres: Sequence[Centre]) -> list[Centre]:
+        """One Lloyd step, as :func:`lloyd_step`."""
+        return _new_centres(average_vectors(self.assigned(centres), ["cluster"], weight="w"), centres)
+
+
+# ------------------------------------------------------------------ many centres: cells of a grid
+
+def _grid(centres: DataFrame) -> dict[str, float] | None:
+    """Origin, cell sides and number of cells per axis: about ``CELL_CENTRES`` centres per cell of their bounding box."""
+    n, x0, x1, y0, y1 = centres.agg(F.count(F.lit(1)), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if not n:
+        raise ValueError("at least one centre is needed")
+    wide, high, cells = float(x1) - x0, float(y1) - y0, max(1, n // CELL_CENTRES)
+    if not wide or not high:  # on a line
+        nx, ny = (cells if wide else 1), (cells if high else 1)
+    else:  # square cells as far as that goes
+        nx = min(cells, max(1, round(math.sqrt(cells * wide / high))))
+        ny = max(1, cells // nx)
+    return {"x0": x0, "y0": y0, "nx": nx, "ny": ny, "sx": (wide / nx) or 1.0, "sy": (high / ny) or 1.0}
+
+
+def _cell(grid: dict[str, float], x: str, y: str) -> list:
+    """The grid cell of a point; points outside the box belong to the cells at its edge."""
+    def along(c: str, o: float, side: float, n: int):
+        at = F.floor((F.col(c).cast("double") - F.lit(float(o))) / F.lit(side))
+        return F.least(F.greatest(at, F.lit(0)), F.lit(n - 1)).cast("int")
+    return [along(x, grid["x0"], grid["sx"], grid["nx"]).alias("_gx"), along(y, grid["y0"], grid["sy"], grid["ny"]).alias("_gy")]
+
+
+def _way_out(cell: str, low: str, high: str, origin: float, side: float, cells: int, radius: int) -> Column:
+    """From a cell's box to the edge of its ring along one axis; behind the grid's own edge there is no centre."""
+    at, origin, side = F.col(cell), F.lit(float(origin)), F.lit(side)
+    before = F.when(at - radius <= 0, F.lit(math.inf)).otherwise(F.col(low) - (origin + (at - radius) * side))
+    behind = F.when(at + radius >= cells - 1, F.lit(math.inf)).otherwise(origin + (at + radius + 1) * side - F.col(high))
+    return F.least(before, behind)
+
+
+def cell_candidates(points: DataFrame, centres: DataFrame, grid: dict[str, float]) -> DataFrame:
+    """``(_gx, _gy, near array<struct<i, cx, cy>>)``: per cell that holds points (``_gx, _gy, _x, _y``) the centres that
+    may be the nearest of one of them.
+
+    Of a cell only the box around its points counts.  A centre whose largest distance to the box is u bounds
+    all; the ring of cells up to radius r around the cell is enough once u is smaller than the way out of
+    the ring.  The radius doubles for the cells where it is not yet, and a ring over the whole grid always is.
+    Every round is an equi-join of ring cells with the centres' cells."""
+    box = materialize(points.groupBy("_gx", "_gy").agg(
+        F.min("_x").alias("l"), F.max("_x").alias("r"), F.min("_y").alias("b"), F.max("_y").alias("t")), "cells")
+    own = materialize(centres.select(F.col("cluster").alias("i"), F.col("x").alias("cx"), F.col("y").alias("cy"),
+                                     *_cell(grid, "x", "y")), "centre-cells")
+    own = own.withColumnsRenamed({"_gx": "_hx", "_gy": "_hy"})
+    x, y = F.col("cx").cast("double"), F.col("cy").cast("double")
+    far_x, far_y = F.greatest(F.abs(x - F.col("l")), F.abs(x - F.col("r"))), F.greatest(F.abs(y - F.col("b")), F.abs(y - F.col("t")))
+    near_x, near_y = (F.greatest(F.col(a) - c, c - F.col(z), F.lit(0.0)) for c, a, z in ((x, "l", "r"), (y, "b", "t")))
+    rounding = 1 + 1e-9  # far more than the distances lose: a candidate too many does no harm
+    nx, ny, radius, out = grid["nx"], grid["ny"], 1, None
+    while True:
+        gap = F.least(_way_out("_gx", "l", "r", grid["x0"], grid["sx"], nx, radius),
+                      _way_out("_gy", "b", "t", grid["y0"], grid["sy"], ny, radius))
+        ring = box.withColumn("gap", gap).withColumn("_hx", F.explode(F.sequence(
+            F.greatest(F.col("_gx") - radius, F.lit(0)), F.least(F.col("_gx") + radius, F.lit(nx - 1)))))
+        ring = ring.withColumn("_hy", F.explode(F.sequence(
+            F.greatest(F.col("_gy") - radius, F.lit(0)), F.least(F.col("_gy") + radius, F.lit(ny - 1)))))
+        met = ring.join(own, ["_hx", "_hy"]).withColumn("u", far_x * far_x + far_y * far_y).withColumn(
+            "d", near_x * near_x + near_y * near_y)
+        bound = met.groupBy("_gx", "_gy").agg(F.min("u").alias("least"))
+        safe = F.col("gap") / rounding
+        judged = box.withColumn("gap", gap).join(bound, ["_gx", "_gy"], "left").withColumn(
+            "done", F.coalesce((F.col("gap") > 0) & (F.col("least") < safe * safe), F.lit(False)))
+        judged = materialize(judged, "cell-bounds")
+        done = judged.filter("done").select("_gx", "_gy", "least")
+        near = (met.join(done, ["_gx", "_gy"]).filter(F.col("d") <= F.col("least") * rounding + 1e-9)
+                .groupBy("_gx", "_gy").agg(F.collect_list(F.struct("i", "cx", "cy")).alias("near")))
+        out = near if out is None else out.unionByName(near)
+        if radius >= max(nx, ny):
+            return out
+        box = judged.filter("not done").select("_gx", "_gy", "l", "r", "b", "t")
+        if box.isEmpty():
+            return out
+        radius *= 2
+
+
+def assign_by_cells(vectors: DataFrame, centres: DataFrame, *, x: str = "x", y: str = "y") -> DataFrame:
+    """:func:`assign_nearest` for any number of centres, given as a table ``(cluster, x, y)``.
+
+    Points and candidates meet in an equi-join on the cell, then each point is compared with its cell's few
+    candidates.  No cross join, no collect, and the plan does not grow with the centres."""
+    grid = _grid(centres)
+    keyed = vectors.select("*", *_cell(grid, x, y))
+    spots = keyed.select("_gx", "_gy", F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    near = cell_candidates(spots.filter("_x is not null and _y is not null"), centres, grid)
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    best = F.array_min(F.transform("near", lambda c: F.struct(
+        ((px - c.cx) * (px - c.cx) + (py - c.cy) * (py - c.cy)).alias("d"), c.i.alias("i"))))
+    joined = keyed.join(near, ["_gx", "_gy"], "left").withColumn("_best", best)
+    return joined.select(*vectors.columns, F.coalesce("_best.i", F.lit(0)).cast("int").alias("cluster"),
+                         F.col("_best.d").alias("dist"))
 
 
 def point_distance(a: Centre, b: Centre) -> float:
@@ -118,7 +279,25 @@ class KMeansResult:
     iterations: int
     displacement: float
     converged: bool
-    trace: list[tuple] = field(default_factory=list)
+    #: Per step the old and the new centres (k x 4 integers), the displacement and whether it stops there.
+    steps: list[tuple[np.ndarray, float, bool]] = field(default_factory=list)
+
+    @property
+    def trace(self) -> list[tuple]:
+        """TRACE_SCHEMA rows."""
+        return [tuple(r.values()) for r in self.trace_table().to_pylist()]
+
+    def trace_table(self) -> pa.Table:
+        k = len(self.centres)
+        moves = np.concatenate([m for m, _, _ in self.steps]) if self.steps else np.empty((0, 4), np.int64)
+        ox, oy, nx, ny = moves.T
+        of_step = [np.repeat(np.array(c, dtype=t), k) for c, t in (
+            (range(1, len(self.steps) + 1), np.int32), ([d for _, d, _ in self.steps], np.float64),
+            ([e for _, _, e in self.steps], bool))]
+        dist = (ox - nx).astype(float) ** 2 + (oy - ny).astype(float) ** 2
+        columns = [of_step[0], np.tile(np.arange(k, dtype=np.int32), len(self.steps)), *(c.astype(np.int32) for c in moves.T),
+                   dist, *of_step[1:]]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=TRACE_SCHEMA.names)
 
 
 def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAULT_ETA,
@@ -130,32 +309,27 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     centres = [(int(cx), int(cy)) for cx, cy in centres]
-    scratch = Scratch(vectors.sparkSession)
-    base = scratch.materialize(weighted_points(vectors), "kmeans-points") if weighted is None else weighted
-    base.persist()  # only inside the loop
-    trace: list[tuple] = []
-    try:
-        it = 0
-        while True:
-            it += 1
-            new = lloyd_step(base, centres, weight="w")
-            disp = center_displacement(centres, new)
-            done = converged(disp, eta)
-            trace.extend((it, i, o[0], o[1], n[0], n[1], point_distance(o, n), disp, done)
-                         for i, (o, n) in enumerate(zip(centres, new)))
-            centres = new
-            if done or it >= max_iter:
-                return KMeansResult(centres, it, disp, done, trace)
-    finally:
-        base.unpersist()
-        scratch.close()
+    with Scratch(vectors.sparkSession) as scratch:
+        base = scratch.materialize(weighted_points(vectors), "kmeans-points") if weighted is None else weighted
+        with LloydPoints(base, scratch) as points:  # cached only inside the loop
+            steps: list[tuple[np.ndarray, float, bool]] = []
+            while True:
+                new = points.step(centres)
+                disp = center_displacement(centres, new)
+                done = converged(disp, eta)
+                steps.append((np.array([(*o, *n) for o, n in zip(centres, new)], dtype=np.int64).reshape(-1, 4), disp, done))
+                centres = new
+                if done or len(steps) >= max_iter:
+                    return KMeansResult(centres, len(steps), disp, done, steps)
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:
     """``(cluster, x, y)``: k rows."""
-    return spark.createDataFrame([(i, int(x), int(y)) for i, (x, y) in enumerate(centres)], CENTRE_SCHEMA)
+    x, y = (np.array([c[i] for c in centres], dtype=np.int32) for i in (0, 1))
+    table = pa.Table.from_arrays([pa.array(a) for a in (np.arange(len(x), dtype=np.int32), x, y)], names=CENTRE_SCHEMA.names)
+    return spark.createDataFrame(table, CENTRE_SCHEMA)
 
 
 def trace_frame(spark: SparkSession, result: KMeansResult) -> DataFrame:
     """``(iter, cluster, old_x, old_y, new_x, new_y, dist, displacement, converged)``."""
-    return spark.createDataFrame(result.trace, TRACE_SCHEMA)
+    return spark.createDataFrame(result.trace_table(), TRACE_SCHEMA)

@@ -4,9 +4,9 @@ Every statistic is computed from counts ``(cluster, x, y, cnt)`` -- bounded by
 clusters x categories x distinct scores, not by the number of points.  The
 report takes them from the weighted distinct points (:func:`weighted_points`,
 one map-side-combined pass over the vectors); the standalone operators count a
-membership table the same way.  No cluster is ever gathered into one task: the
-median is a frequency-weighted exact ``percentile``, the dominant category comes
-from per-category counts.
+membership table the same way.  No cluster is ever gathered into one task: the dominant
+category comes from per-category counts, the median from two rounds of range narrowing
+(:func:`_median`), each of which sees at most 65,536 rows per cluster.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from kestrel.constants import REPORT_HEADER, REPORT_ROW_FORMAT
 from kestrel.functions.categories import category_label
-from kestrel.operators.kmeans import Centre, assign_nearest, weighted_points
+from kestrel.operators.kmeans import Centre, LloydPoints, assign_nearest, weighted_points
+from kestrel.session import Scratch
 
 
 def cluster_membership(vectors: DataFrame, centres: Sequence[Centre], *, id_col: str = "question_id") -> DataFrame:
@@ -59,10 +60,34 @@ def cluster_dominant(membership: DataFrame, categories: Sequence[str], spread: i
 
 
 def _median(counts: DataFrame) -> DataFrame:
-    # exact percentile over (value, frequency): even counts average the middle pair,
-    # then truncate to int like the original integer division (scores are >= 0)
-    return counts.groupBy("cluster").agg(
-        F.percentile(F.col("y"), F.lit(0.5), F.col("cnt")).cast("int").alias("median_score"))
+    """``(cluster, median_score)`` of ``(cluster, y int, cnt)``: the middle y, or the mean of the two middle ones
+    truncated toward zero.
+
+    A selection by value ranges: the high 16 bits of y bin the values (at most 65,536 bins per cluster, combined
+    map-side); running sums over the bins say where the middle ranks lie.  Only the values of those one or
+    two bins per cluster (at most 65,536 each) are then counted one by one.  No buffer and no window grows with
+    the distinct values of a cluster."""
+    y = F.col("y").cast("int")
+    # nulls count for nothing, in a bin of their own: a cluster without any value keeps its row
+    rows = counts.select("cluster", y.alias("y"), F.coalesce(F.shiftright(y, 16), F.lit(1 << 16)).alias("bin"),
+                         F.when(F.col("y").isNotNull(), F.col("cnt")).otherwise(0).cast("bigint").alias("cnt"))
+    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
+
+    def holds(rank):
+        return (F.col("upto") - F.col("n") <= rank) & (rank < F.col("upto"))
+
+    bins = rows.groupBy("cluster", "bin").agg(F.sum("cnt").alias("n"))
+    whole = Window.partitionBy("cluster")
+    bins = (bins.withColumn("total", F.sum("n").over(whole)).withColumn("upto", F.sum("n").over(whole.orderBy("bin")))
+            .withColumn("lo", low).withColumn("hi", high))
+    picked = bins.where(holds(F.col("lo")) | holds(F.col("hi")) | (F.col("total") == 0)).select(
+        "cluster", "bin", "lo", "hi", (F.col("upto") - F.col("n")).alias("before"))
+    values = rows.join(picked, ["cluster", "bin"])
+    values = values.groupBy("cluster", "bin", "lo", "hi", "before", "y").agg(F.sum("cnt").alias("n"))
+    values = values.withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy("cluster", "bin").orderBy("y")))
+    middle = values.groupBy("cluster").agg(F.max(F.when(holds(F.col("lo")), F.col("y"))).cast("bigint").alias("lower"),
+                                           F.max(F.when(holds(F.col("hi")), F.col("y"))).cast("bigint").alias("upper"))
+    return middle.select("cluster", F.expr("(lower + upper) div 2").cast("int").alias("median_score"))
 
 
 def cluster_median(membership: DataFrame) -> DataFrame:
@@ -71,14 +96,18 @@ def cluster_median(membership: DataFrame) -> DataFrame:
 
 
 def cluster_results(vectors: DataFrame, centres: Sequence[Centre], categories: Sequence[str],
-                    spread: int, *, weighted: DataFrame | None = None) -> DataFrame:
+                    spread: int, *, weighted: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
     """Per non-empty cluster ``(cluster, label, percent, size, median_score)``, by median.
 
-    ``weighted`` may pass an already materialised :func:`weighted_points` table.
-    """
+    ``weighted`` may pass an already materialised :func:`weighted_points` table.  With a ``scratch`` its points are
+    assigned once, by the search of the k-means steps, and written there for the statistics to read."""
     points = weighted if weighted is not None else weighted_points(vectors)
-    counts = assign_nearest(points.select("x", "y", "w"), centres).select(
-        "cluster", "x", "y", F.col("w").alias("cnt"))
+    if scratch is not None and weighted is not None:
+        with LloydPoints(points, scratch) as ready:
+            assigned = scratch.materialize(ready.assigned(centres), "qa-assigned")
+    else:
+        assigned = assign_nearest(points.select("x", "y", "w"), centres)
+    counts = assigned.select("cluster", "x", "y", F.col("w").alias("cnt"))
     dom = _dominant(counts, categories, spread)
     med = _median(counts)
     # both sides have at most k rows

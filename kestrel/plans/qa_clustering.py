@@ -66,10 +66,10 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
         seeds = initial_centres(vectors, k, categories, spread, seed=seed,
                                 min_stratified_spread=STRATIFIED_MIN_SPREAD)
         result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
+        results = cluster_results(vectors, result.centres, categories, spread, weighted=points, scratch=scratch)
     except BaseException:
         scratch.close()
         raise
-    results = cluster_results(vectors, result.centres, categories, spread, weighted=points)
     return QAClusteringResult(vectors, points, result, results, cluster_report_lines(results), scratch)
 
 

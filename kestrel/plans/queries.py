@@ -19,7 +19,7 @@ from kestrel.plans import fixtures as FX
 from kestrel.plans.oracle_sql import MAX_PAIRS, MAX_POSTINGS
 from kestrel.plans.qa_clustering import cluster_vectors, qa_cluster_pipeline
 from kestrel.plans.term_ranking import term_ranking_pipeline
-from kestrel.session import materialize, scratch_path
+from kestrel.session import Scratch, materialize, scratch_path
 from kestrel.sources.articles import parse_article_lines
 from kestrel.sources.lines import read_lines, write_lines
 from kestrel.sources.postings import parse_postings
@@ -186,18 +186,25 @@ def _clustered(spark, sf, spread: int):
 
 
 def _run(spark, sf, spread: int) -> KM.KMeansResult:
-    return _clustered(spark, sf, spread).kmeans
+    with _clustered(spark, sf, spread) as result:
+        return result.kmeans
+
+
+def _one_step(spark, sf) -> tuple[list, list]:
+    """The seeds and the centres after one step."""
+    with Scratch(spark) as scratch:
+        vectors = scratch.materialize(FX.fx_vectors(spark, sf), "step-vectors")
+        seeds = _seeds(vectors, SPREAD)
+        with KM.LloydPoints(scratch.materialize(KM.weighted_points(vectors), "step-points"), scratch) as points:
+            return seeds, points.step(seeds)
 
 
 def q_kmeans_step(spark, sf):
-    vectors = materialize(FX.fx_vectors(spark, sf), "step-vectors")
-    return KM.centres_frame(spark, KM.lloyd_step(KM.weighted_points(vectors), _seeds(vectors, SPREAD), weight="w"))
+    return KM.centres_frame(spark, _one_step(spark, sf)[1])
 
 
 def q_center_displacement(spark, sf):
-    vectors = materialize(FX.fx_vectors(spark, sf), "step-vectors")
-    seeds = _seeds(vectors, SPREAD)
-    disp = KM.center_displacement(seeds, KM.lloyd_step(KM.weighted_points(vectors), seeds, weight="w"))
+    disp = KM.center_displacement(*_one_step(spark, sf))
     return spark.createDataFrame([(disp,)], "displacement double")
 
 

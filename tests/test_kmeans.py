@@ -165,3 +165,110 @@ def test_pipelines_leave_nothing_behind(spark):
         assert res.results.count() > 0
         assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == held
     assert set(os.listdir(folder)) == before
+
+
+# --- the envelope search and the grid of many centres ---
+
+def slow_nearest(points, centres):
+    return [min(((float(x) - cx) ** 2 + (float(y) - cy) ** 2, i) for i, (cx, cy) in enumerate(centres))[::-1]
+            for x, y in points]
+
+
+def test_envelopes_give_the_nearest_centre():
+    import numpy as np
+    from kestrel.functions.geometry import envelope_arrays
+    rnd = np.random.default_rng(7)
+    for size in (2, 5, 40, 10**6):  # small coordinates: many ties, equal centres and equal cy
+        for k in (1, 2, 3, 8, 33):
+            cx, cy = rnd.integers(-size, size, (2, k))
+            xs, ys = np.unique(rnd.integers(-size, size, 6)), rnd.integers(-2 * size, 2 * size, 40)
+            begin, centre = envelope_arrays(xs, cx, cy)
+            for row, x in enumerate(xs.tolist()):
+                got = centre[row][np.searchsorted(begin[row], ys, "right") - 1]
+                assert got.tolist() == [i for i, _ in slow_nearest([(x, y) for y in ys.tolist()], list(zip(cx.tolist(), cy.tolist())))]
+
+
+def random_points(n, seed, reach=300):
+    import random
+    rnd = random.Random(seed)
+    return [(rnd.choice([0, 50, 100, rnd.randint(-reach, reach)]), rnd.randint(-reach, reach)) for _ in range(n)]
+
+
+def test_prepared_steps_equal_plain_steps_on_all_cores(spark, monkeypatch):
+    from kestrel.session import Scratch
+    monkeypatch.setattr(KM, "TASK_POINTS", 50)
+    points = KM.weighted_points(vec(spark, random_points(3000, 1)))
+    with Scratch(spark) as scratch:
+        base = scratch.materialize(points, "t").coalesce(1)
+        for centres in ([(0, 0)], random_points(7, 2), random_points(45, 3), [(5, 5)] * 3):
+            with KM.LloydPoints(base, scratch) as ready:
+                assert ready.partitions >= 8 and ready.points.rdd.getNumPartitions() == ready.partitions
+                assert "nearest" not in executed_plan(ready.assigned(centres))
+                new = KM.lloyd_step(base, centres, weight="w")
+                assert ready.step(centres) == new
+                monkeypatch.setattr(KM, "SENT_ENTRIES", 0)  # envelopes as a table that meets the points by a join
+                assert "BroadcastHashJoin" not in ready.assigned(centres)._jdf.queryExecution().toString()
+                assert ready.step(centres) == new
+                monkeypatch.setattr(KM, "SENT_ENTRIES", 1 << 20)
+
+
+def test_prepared_steps_of_odd_tables(spark):
+    from kestrel.session import Scratch
+    far = 1 << 30  # squared distances that a double rounds
+    tables = [[], [(None, 3, 2), (5, None, 1), (1, 1, 4)], [(far, 7, 1), (-far, far, 3), (0, 0, 1)]]
+    with Scratch(spark) as scratch:
+        for points in tables:
+            base = spark.createDataFrame(points, "x int, y int, w bigint")
+            with KM.LloydPoints(base, scratch) as ready:
+                assert ready.step([(0, 0), (far - 1, 3)]) == KM.lloyd_step(base, [(0, 0), (far - 1, 3)], weight="w")
+
+
+def test_cells_give_the_nearest_of_many_centres(spark):
+    points = random_points(800, 4) + [(10**6, 10**6), (-10**6, 3), (2, -10**7)]
+    for centres in (random_points(400, 5), random_points(300, 6, 20), [(7, y) for y in range(0, 900, 3)],
+                    [(x, -2) for x in range(300)], [(3, 3)] * 300, [(-5000, -5000)] + random_points(300, 7, 5)):
+        df = KM.assign_nearest(vec(spark, points), centres)
+        got = {r["question_id"]: (r["cluster"], r["dist"]) for r in df.collect()}
+        assert [got[i] for i in range(len(points))] == slow_nearest(points, centres)
+    df = KM.assign_nearest(vec(spark, [(1, 1)]).unionAll(spark.createDataFrame([(9, None, 4)], VSCHEMA)), random_points(300, 8))
+    assert {r["question_id"]: r["dist"] for r in df.collect()}[9] is None
+    with pytest.raises(ValueError):
+        KM.assign_by_cells(df, spark.createDataFrame([], KM.CENTRE_SCHEMA))
+
+
+def test_ten_thousand_centres(spark):
+    import numpy as np
+    rnd = np.random.default_rng(1)
+    centres = [tuple(c) for c in rnd.integers(0, 20_000, (10_000, 2)).tolist()]
+    points = rnd.integers(-100, 20_100, (3_000, 2)).tolist()
+    df = KM.assign_nearest(vec(spark, points), centres)
+    plan = executed_plan(df)
+    assert not re.search("Cartesian|NestedLoop", plan) and len(plan) < 20_000
+    c = np.array(centres, float)
+    got = {r["question_id"]: r["cluster"] for r in df.collect()}
+    for at in range(0, len(points), 500):
+        p = np.array(points[at:at + 500], float)
+        want = ((p[:, None, 0] - c[:, 0]) ** 2 + (p[:, None, 1] - c[:, 1]) ** 2).argmin(1)
+        assert [got[i] for i in range(at, at + len(p))] == want.tolist()
+    res = KM.kmeans(vec(spark, [(x // 2000 * 2000, y) for x, y in points]), centres, max_iter=2)
+    assert len(res.centres) == 10_000 and KM.trace_frame(spark, res).count() == 20_000
+
+
+# --- the median by value ranges ---
+
+def slow_median(values):
+    values = sorted(values)
+    total = values[(len(values) - 1) // 2] + values[len(values) // 2]
+    return int(total / 2)
+
+
+def test_median_of_one_cluster_with_many_values(spark):
+    import random
+    rnd = random.Random(2)
+    ys = [rnd.choice([rnd.randint(-2**31, 2**31 - 1), rnd.randint(-9, 9), 65_536 * rnd.randint(-3, 3)]) for _ in range(4001)]
+    rows_ = [(0, y) for y in ys] + [(1, y) for y in ys[:1000]] + [(2, -7), (2, -8), (3, 65_535), (3, 65_536), (4, None), (5, None), (5, 3)]
+    members = spark.createDataFrame([(i, c, 0, y) for i, (c, y) in enumerate(rows_)], "question_id int, cluster int, x int, y int")
+    median = report.cluster_median(members)
+    assert "percentile" not in executed_plan(median)
+    got = {r["cluster"]: r["median_score"] for r in median.collect()}
+    assert got == {0: slow_median(ys), 1: slow_median(ys[:1000]), 2: -7, 3: 65_535, 4: None, 5: 3}
