@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kestrel.constants import ANSWER_TYPE, QUESTION_TYPE
 from kestrel.functions.categories import category_index, category_x
+from kestrel.functions.parts import dealt_part
 from kestrel.functions.strict import required
 
 ANSWER_WITHOUT_PARENT = "answer posting without a parent id"
@@ -128,8 +129,8 @@ def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: b
 
     ``(question_id, part, n_parts, q_accepted_answer, q_score, q_tags, answers)`` where
     ``answers`` is ``array<struct<answer_id, answer_score>>`` sorted by id.  A question's
-    answers are dealt by ``answer_id mod n_parts`` into ``n_parts = ceil(n_answers / max_list)``
-    parts (every pair kept).  Sizes come from the map-side-combined co-group.  Only questions
+    answers are dealt by id (:func:`kestrel.functions.parts.dealt_part`) into
+    ``n_parts = ceil(n_answers / max_list)`` parts (every pair kept).  Sizes come from the map-side-combined co-group.  Only questions
     of more than one part are looked up; their question rows are repeated once per part
     *before* the pairs are made, so the pairs are joined and grouped on (question_id, part)
     and a question owning a third of all answers is spread over its parts.
@@ -147,8 +148,7 @@ def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: b
     q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
     a = answer_keys(postings, strict=strict).withColumnRenamed("question_id", "_key")
     a = a.join(hot, a["_key"].eqNullSafe(hot["_qid"]), "left").select("*", n_parts).drop("_qid", "_n")
-    a = a.select("_key", "answer_id", "answer_score",
-                 F.pmod(F.col("answer_id"), F.col("n_parts")).cast("int").alias("_part"))
+    a = a.select("_key", "answer_id", "answer_score", dealt_part("answer_id", "n_parts").alias("_part"))
     # null-safe key equality: no inferred isnotnull filter pushed below the parser
     pairs = q.join(a, q["question_id"].eqNullSafe(a["_key"]) & q["part"].eqNullSafe(a["_part"])).drop("_key", "_part")
     # a repeated question id has several question records: each gets its own lists

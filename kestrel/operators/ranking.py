@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.functions.parts import dealt_part
 from kestrel.functions.text import check_terms, mentions, present_terms, term_position, terms_array
 from kestrel.session import materialize
 
@@ -183,24 +184,31 @@ def save_inverted_index(index: DataFrame, path: str, *, id_col: str = "title", m
     return path
 
 
-def inverted_index_lists(index: DataFrame, *, id_col: str = "title", max_list: int = 10_000) -> DataFrame:
-    """Posting lists as records: ``(term, part, n_parts, ids array)``, ids sorted.
+def inverted_index_lists(index: DataFrame, *, id_col: str = "title", max_list: int = 10_000,
+                         text_col: str | None = None, max_bytes: int = 64 << 20) -> DataFrame:
+    """Posting lists as records: ``(term, part, n_parts, ids array)``, ids sorted; with ``text_col`` (an index made with
+    ``keep_text``) ``(term, part, n_parts, articles array<struct<id, text>>)``, sorted by id.
 
-    The nested "term -> its articles" form, in bounded pieces: a term's postings are
-    split by the id (a numeric id mod the parts, else its hash) into ``ceil(n / max_list)``
-    parts, so each record holds about ``max_list`` ids however frequent the term (nothing
-    is dropped; the parts together are the whole list).  The postings are written once to
-    the shared checkpoint folder and counted from there, so the text is tokenised once.
+    The nested "term -> its articles" form, in bounded pieces: a term's postings are dealt by id
+    (:func:`kestrel.functions.parts.dealt_part` of a numeric id, else of its hash) into ``ceil(n / max_list)``
+    parts, with bodies at least ``ceil(bytes / max_bytes)``, so each record holds about ``max_list`` articles and
+    ``max_bytes`` of text at most however frequent the term (nothing is dropped; the parts together are the
+    whole list).  The postings are written once to the shared checkpoint folder and counted from there, so the
+    text is tokenised once.
     """
-    if max_list < 1:
-        raise ValueError("max_list must be >= 1")
-    index = materialize(index.select("term", id_col), "postings")
-    sizes = index.groupBy("term").agg(F.count(F.lit(1)).alias("_n")).select(
-        "term", F.ceil(F.col("_n") / F.lit(max_list)).cast("int").alias("n_parts"))
-    number = F.col(id_col) if dict(index.dtypes)[id_col] in ("int", "bigint") else F.xxhash64(id_col)
-    keyed = index.join(sizes, "term").withColumn(
-        "part", F.pmod(number, F.col("n_parts").cast("bigint")).cast("int"))
-    return keyed.groupBy("term", "part", "n_parts").agg(F.array_sort(F.collect_list(id_col)).alias("ids"))
+    if max_list < 1 or max_bytes < 1:
+        raise ValueError("max_list and max_bytes must be >= 1")
+    index = materialize(index.select("term", id_col, *([text_col] if text_col else [])), "postings")
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(max_list))
+    if text_col:
+        parts = F.greatest(parts, F.ceil(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)) / F.lit(max_bytes)))
+    sizes = index.groupBy("term").agg(parts.cast("int").alias("n_parts"))
+    numeric = dict(index.dtypes)[id_col] in ("int", "bigint")
+    keyed = index.join(sizes, "term").withColumn("_number", F.col(id_col) if numeric else F.xxhash64(id_col))
+    keyed = keyed.withColumn("part", dealt_part("_number", "n_parts"))
+    own = F.struct(F.col(id_col), F.col(text_col)) if text_col else F.col(id_col)
+    return keyed.groupBy("term", "part", "n_parts").agg(
+        F.array_sort(F.collect_list(own)).alias("articles" if text_col else "ids"))
 
 
 def rank_terms_from_index(index: DataFrame, terms: Sequence[str]) -> DataFrame:

@@ -26,6 +26,12 @@ QA_SIDES = [
 ]
 
 
+def dealt(number: str, n_parts: str) -> str:
+    """The part of an id: its place in its block of ``n_parts`` ids, turned by the block number's md5."""
+    turn = f"CAST('0x' || substr(md5(CAST({number} // {n_parts} AS VARCHAR)), 1, 8) AS BIGINT)"
+    return f"CAST(({number} % {n_parts} + {turn}) % {n_parts} AS INTEGER)"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -258,7 +264,7 @@ def oracle_queries() -> dict[str, str]:
         "inverted_index_parts": (
             f"WITH p AS ({present_pairs(T, **docs_rank)}), s AS (SELECT term, CAST(ceil(count(*) / "
             f"CAST({MAX_POSTINGS} AS DOUBLE)) AS INTEGER) AS n_parts FROM p GROUP BY term) "
-            "SELECT term, CAST(id % n_parts AS INTEGER) AS part, n_parts, string_agg(id, ',' ORDER BY id) AS doc_ids "
+            f"SELECT term, {dealt('id', 'n_parts')} AS part, n_parts, string_agg(id, ',' ORDER BY id) AS doc_ids "
             "FROM p JOIN s USING (term) GROUP BY ALL"),
         "rank_terms_from_index": rank_from_index(T, **docs_rank),
         "rank_terms_single_pass": rank_single_pass(T, **docs_rank),
@@ -284,7 +290,7 @@ def oracle_queries() -> dict[str, str]:
         "grouped_pair_parts": W(["fx_postings"], QA_SIDES + [
             ("sizes", "SELECT question_id, CAST(ceil(count(*) / CAST(" + str(MAX_PAIRS) + " AS DOUBLE)) AS INTEGER) AS n_parts "
                       "FROM ans GROUP BY question_id")], (
-            "SELECT question_id, CAST(answer_id % n_parts AS INTEGER) AS part, n_parts, q_accepted_answer, q_score, q_tags, "
+            f"SELECT question_id, {dealt('answer_id', 'n_parts')} AS part, n_parts, q_accepted_answer, q_score, q_tags, "
             "string_agg(concat_ws(':', answer_id, answer_score), ',' ORDER BY answer_id, answer_score) AS answers "
             "FROM qs JOIN ans USING (question_id) JOIN sizes USING (question_id) GROUP BY ALL")),
         "grouped_postings": W(["fx_postings"], [], (

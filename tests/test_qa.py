@@ -1,6 +1,7 @@
 """Questions/answers: two answered questions, one without answers, and strictness edges."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import raises_spark, rows
 from kestrel.constants import DEFAULT_SPREAD, DEFAULT_TERMS
@@ -141,3 +142,20 @@ def test_strict_counts_run_the_checks(spark, postings):
     assert rows(expect_row_count(scored.limit(0), 0), "n", "ok") == [(0, True)]
     unknown = qa.vector_postings(scored, ["Fortran"], 500)
     raises_spark(lambda: expect_row_count(unknown, 2).collect(), "")
+
+
+def test_stepped_answer_ids_fill_all_parts(spark):
+    """A hot question whose answers' ids share their remainder still has bounded parts."""
+    for step, per_part in ((1, 0), (7, 60), (20, 60), (1000, 60), (2**40, 60)):
+        q = spark.createDataFrame([(1, 0, None, None, 3, "Java")], POSTING_SCHEMA)
+        a = spark.range(2000).select(F.lit(2).alias("posting_type"), (F.col("id") * step).alias("id"), F.lit(None).cast("bigint"),
+                                     F.lit(0).cast("bigint").alias("parent_id"), F.lit(1).alias("score"), F.lit(None).cast("string"))
+        parts = qa.grouped_pair_lists(q.union(a), max_list=100).collect()
+        assert sorted(r["part"] for r in parts) == list(range(20)), step
+        assert sum(len(r["answers"]) for r in parts) == 2000 and max(len(r["answers"]) for r in parts) <= 100 + per_part
+
+
+def test_answers_without_an_id_are_kept(spark):
+    p = spark.createDataFrame([(1, 5, None, None, 3, "Java")] + [(2, i, None, 5, 1, None) for i in [None, None, -3, 8, 9]], POSTING_SCHEMA)
+    parts = qa.grouped_pair_lists(p, max_list=2).collect()
+    assert sum(len(r["answers"]) for r in parts) == 5
