@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+from itertools import groupby
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,7 @@ from kestrel.constants import DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_
 from kestrel.operators.ranking import inverted_index, rank_terms, rank_terms_from_index, rank_terms_single_pass
 from kestrel.plans.qa_clustering import qa_cluster_pipeline
 from kestrel.plans.term_ranking import term_ranking_pipeline
+from kestrel.session import scratch_scope
 from kestrel.sources.articles import parse_article_lines
 from kestrel.sources.lines import read_lines
 
@@ -54,8 +56,8 @@ def _cluster(spark: SparkSession, args) -> None:
 
 def _report(res, args, t0: float) -> None:
     if args.debug:
-        for it in range(1, res.kmeans.iterations + 1):
-            steps = [t for t in res.kmeans.trace if t[0] == it]
+        for it, group in groupby(res.kmeans.trace, lambda t: t[0]):
+            steps = list(group)
             print(f"Iteration {it}: displacement {steps[0][7]:g} (target < {args.eta:g})")
             for _, i, ox, oy, nx, ny, d, _, _ in steps:
                 print(f"  centre {i:3d}  ({ox}, {oy}) -> ({nx}, {ny})  moved {d:.0f}")
@@ -86,7 +88,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--debug", action="store_true", help="print every k-means iteration")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"kestrel-{args.cmd}").getOrCreate()
-    (_rank if args.cmd == "rank-terms" else _cluster)(spark, args)
+    with scratch_scope(spark):
+        (_rank if args.cmd == "rank-terms" else _cluster)(spark, args)
     return 0
 
 

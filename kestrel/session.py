@@ -6,9 +6,13 @@ only for tests and the bench.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,16 +75,60 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+# Scratch folders live as long as the innermost open scope of their thread, else as long as the session's process.
+_open = threading.local()
+_of_session: dict[str, tuple] = {}  # path -> (jvm, Hadoop configuration)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder below the shared checkpoint folder.
+
+    Results are read lazily, so it stays until the surrounding :func:`scratch_scope` closes; without one until
+    :func:`release_scratch` or the end of the driver's process."""
+    path = f"{checkpoint_root(spark)}/kestrel/{name}-{uuid.uuid4().hex}"
+    if scopes := getattr(_open, "scopes", []):
+        scopes[-1].append(path)
+    else:
+        _of_session[path] = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    return path
+
+
+def _delete(jvm, conf, path: str) -> None:
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it lives in (nothing happens if it is gone)."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    _of_session.pop(path, None)
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving whatever scratch folders are made inside: read or write the results of queries before."""
+    scopes = _open.scopes = getattr(_open, "scopes", [])
+    own: list[str] = []
+    scopes.append(own)
+    try:
+        yield
+    finally:
+        scopes.pop()
+        for path in own:
+            delete_path(spark, path)
+
+
+def release_scratch() -> None:
+    """Delete the scratch folders that belong to no scope; runs by itself when the driver's process ends."""
+    while _of_session:
+        path, (jvm, conf) = _of_session.popitem()
+        try:
+            _delete(jvm, conf, path)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already
+            return
+
+
+atexit.register(release_scratch)
 
 
 def materialize(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
