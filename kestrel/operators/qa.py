@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.constants import ANSWER_TYPE, QUESTION_TYPE
-from kestrel.functions.categories import category_index, category_x
+from kestrel.functions.categories import category_index, category_x, category_x_of_code, check_reach, tag_code
 from kestrel.functions.parts import dealt_part
 from kestrel.functions.strict import required
 
@@ -75,7 +75,7 @@ def join_questions_answers(postings: DataFrame, *, strict: bool = True) -> DataF
     return q.join(a, q["question_id"].eqNullSafe(a["_key"]), "inner").drop("_key")
 
 
-def _cogrouped(postings: DataFrame, *, strict: bool) -> DataFrame:
+def _cogrouped(postings: DataFrame, *, strict: bool, record: Column | None = None) -> DataFrame:
     """One row per question id that has both a question and an answer.
 
     A single aggregation over all postings, keyed by ``id`` for questions and by
@@ -83,8 +83,9 @@ def _cogrouped(postings: DataFrame, *, strict: bool) -> DataFrame:
     partial aggregates, no pre-filter on the type -- Catalyst would push such a
     filter below the parser and re-run it.  Other posting types fall into a null
     key whose group is dropped.  Columns: ``question_id, n_questions, n_answers,
-    max_answer_score, q`` (the smallest question record among equal ids).
+    max_answer_score, q`` (the smallest question ``record`` among equal ids).
     """
+    record = F.struct("accepted_answer", "score", "tags") if record is None else record
     is_q = F.col("posting_type") == QUESTION_TYPE
     is_a = F.col("posting_type") == ANSWER_TYPE
     keyed = postings.select(
@@ -92,7 +93,7 @@ def _cogrouped(postings: DataFrame, *, strict: bool) -> DataFrame:
         is_q.alias("_is_q"),
         (is_a & (F.col("parent_id").isNotNull() if not strict else F.lit(True))).alias("_is_a"),
         F.when(is_a, F.col("score")).alias("_a_score"),
-        F.when(is_q, F.struct("accepted_answer", "score", "tags")).alias("_q"))
+        F.when(is_q, record).alias("_q"))
     return (keyed.groupBy("question_id")
             .agg(F.count_if("_is_q").alias("n_questions"), F.count_if("_is_a").alias("n_answers"),
                  F.max("_a_score").alias("max_answer_score"), F.min("_q").alias("q"))
@@ -124,6 +125,34 @@ def scored_postings(postings: DataFrame, *, strict: bool = True) -> DataFrame:
         F.greatest(F.col("max_answer_score"), F.lit(0)).cast("int").alias("high_score"))
 
 
+def _record_number(categories: Sequence[str]) -> Column:
+    """A question's (accepted_answer, score, tag) as one decimal in the order of these records, nulls first.
+
+    65 bits of the answer id, 33 of the score and 16 of the tag's code: 35 digits at most."""
+    def digits(c: Column) -> Column:
+        return c.cast("decimal(38,0)")
+
+    accepted = F.coalesce(digits(F.col("accepted_answer")) + F.expr(f"cast({2**63 + 1}BD as decimal(38,0))"), digits(F.lit(0)))
+    score = F.coalesce(F.col("score").cast("bigint") + F.lit(2**31 + 1), F.lit(0).cast("bigint"))
+    low = score * F.lit(1 << 16) + tag_code("tags", categories)
+    return digits(accepted * F.lit(1 << 49).cast("decimal(16,0)")) + digits(low)
+
+
+def scored_vectors(postings: DataFrame, categories: Sequence[str], spread: int, *, strict: bool = True) -> DataFrame:
+    """``vector_postings(scored_postings(...))`` in one hash aggregation.
+
+    A vector needs of its question only the tag's category.  The question record, whose smallest counts where an id
+    is repeated, is packed into one decimal in the order of the records, so every aggregation buffer has a
+    fixed width: nothing is sorted, before or after the shuffle."""
+    check_reach(categories, spread)
+    if len(categories) >= 1 << 15:
+        return vector_postings(scored_postings(postings, strict=strict), categories, spread, strict=strict)
+    best = _cogrouped(postings, strict=strict, record=_record_number(categories))
+    x = category_x_of_code((F.col("q") % F.lit(1 << 16)).cast("int"), categories, spread, strict=strict)
+    out = best.select("question_id", x.alias("x"), F.greatest(F.col("max_answer_score"), F.lit(0)).cast("int").alias("y"))
+    return out if strict else out.where(F.col("x").isNotNull())
+
+
 def grouped_pair_lists(postings: DataFrame, *, max_list: int = 10_000, strict: bool = True) -> DataFrame:
     """Q&A grouped by question as bounded records.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.operators.qa import scored_postings, vector_postings
+from kestrel.operators.qa import scored_vectors
 
 # --- fixed values: fixture parameters ---
 FIXTURE_TERMS = ["the", "of", "and", "la", "der", "und", "que", "el", "is", "zzz"]
@@ -73,7 +73,7 @@ def fx_posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_vectors(spark: SparkSession, sf_dir: str, spread: int = FIXTURE_SPREAD) -> DataFrame:
-    return vector_postings(scored_postings(fx_postings(spark, sf_dir)), ORDER_PRIORITIES, spread)
+    return scored_vectors(fx_postings(spark, sf_dir), ORDER_PRIORITIES, spread)
 
 
 def fx_vectors_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from kestrel.constants import (DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT
                                SAMPLE_SEED, STRATIFIED_MIN_SPREAD)
 from kestrel.operators.checks import expect_row_count
 from kestrel.operators.kmeans import KMeansResult, kmeans, weighted_points
-from kestrel.operators.qa import scored_postings, vector_postings
+from kestrel.operators.qa import scored_vectors
 from kestrel.operators.report import cluster_report_lines, cluster_results
 from kestrel.operators.sampling import initial_centres
 from kestrel.session import Scratch
@@ -43,7 +43,7 @@ def qa_vectors(lines: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, spre
                *, line_col: str = "value", strict: bool = True) -> DataFrame:
     """Parse -> group/score -> ``(question_id, x, y)``; lazy."""
     postings = parse_postings(lines, line_col)
-    return vector_postings(scored_postings(postings, strict=strict), categories, spread, strict=strict)
+    return scored_vectors(postings, categories, spread, strict=strict)
 
 
 def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERMS, *,

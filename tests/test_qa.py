@@ -159,3 +159,24 @@ def test_answers_without_an_id_are_kept(spark):
     p = spark.createDataFrame([(1, 5, None, None, 3, "Java")] + [(2, i, None, 5, 1, None) for i in [None, None, -3, 8, 9]], POSTING_SCHEMA)
     parts = qa.grouped_pair_lists(p, max_list=2).collect()
     assert sum(len(r["answers"]) for r in parts) == 5
+
+
+def test_vectors_are_made_without_sorting_and_equal_the_two_steps(spark):
+    import random
+    from conftest import executed_plan
+    rnd = random.Random(9)
+    tags = ["Java", "C#", "Zig", "", None, "Ada", "Scala", "Jav", "JavaScript"]
+    cats = ["Scala", "Java", "C#", "JavaScript"]
+    big = [None, 0, -1, 2**63 - 1, -2**63, 5]
+    rows_ = [(1, rnd.randint(0, 60), rnd.choice(big), None, rnd.choice([-2**31, 2**31 - 1, 0, 3]), rnd.choice(tags)) for _ in range(250)]
+    rows_ += [(2, 1000 + i, None, rnd.randint(0, 60), rnd.randint(-9, 9), None) for i in range(300)] + [(3, 1, None, None, 1, "Java")]
+    p = spark.createDataFrame(rows_, POSTING_SCHEMA)
+    got = qa.scored_vectors(p, cats, 500, strict=False)
+    want = qa.vector_postings(qa.scored_postings(p), cats, 500, strict=False)
+    assert sorted(rows(got)) == sorted(rows(want)) and want.count() > 5
+    plan = executed_plan(got)
+    assert "Sort" not in plan and plan.count("Exchange hashpartitioning") == 1
+    raises_spark(lambda: qa.scored_vectors(p, cats, 500).collect(), "not in the category list")
+    fine = p.where("posting_type <> 1 or tags in ('Scala', 'Java', 'C#')")
+    assert sorted(rows(qa.scored_vectors(fine, cats, 500))) == sorted(
+        rows(qa.vector_postings(qa.scored_postings(fine), cats, 500)))
