@@ -251,7 +251,9 @@ def training_lines(n: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
-    """The model of a bounded sample; executors compute the bins, the driver gets at most TRAIN_DOCS * TRAIN_LINES lines."""
+    """The model of a bounded sample; executors compute the bins, the driver gets at most TRAIN_DOCS * TRAIN_LINES lines.
+
+    Of rows with one doc_id a single one trains: the one whose line features come first."""
     bounded_batches(docs.sparkSession)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,9 +271,11 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
                         [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
                         names=["doc_id", "good", "bins", "chars"])
 
+    # one row per document, whatever repeats: the sample has TRAIN_DOCS rows at most
     sample = (training_sample(docs, labels, text).select("doc_id", "good", "text")
               .mapInArrow(binned, "doc_id long, good int, bins binary, chars binary")
-              .orderBy("doc_id", "bins").limit(2 * TRAIN_DOCS).collect())
+              .groupBy("doc_id").agg(F.min(F.struct("good", "bins", "chars")).alias("own")).select("doc_id", "own.*")
+              .orderBy("doc_id").collect())
     bins = [np.frombuffer(r["bins"], dtype=np.int16).reshape(-1, N_FEATURES) for r in sample]
     return fit(np.concatenate(bins).astype(np.int32) if bins else np.empty((0, N_FEATURES), np.int32),
                np.concatenate([np.frombuffer(r["chars"]) for r in sample]) if bins else np.empty(0),
