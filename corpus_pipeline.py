@@ -42,7 +42,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _file_order(docs: DataFrame) -> list[Column] | None:
     """The order of rows in the files that ``docs`` reads; None (ascending doc_id) if it does not read files."""
-    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    order = [*token_records.file_order(F.col("_metadata.file_name")), F.col("_metadata.row_index")]
     try:
         docs.select(*order)
     except AnalysisException:

@@ -15,9 +15,9 @@ length, n_tokens, start, ids_crc32; ``read_records_at`` fetches records in any o
 
 Tokens: a space between two non-space characters always starts a new piece of the byte-level
 vocabulary, so texts are cut there and each distinct piece is encoded once per worker
-process by the tokenizers library.  The ids are those of encoding the whole text with the library's
-``encode_special_tokens`` set: the string of a special token in a text is ordinary text.  An untouched
-Tokenizer would give the special token's id there, and so other counts, checksums and later starts.
+process by the tokenizers library.  The ids are those of encoding the whole text with the library and
+``add_special_tokens=False``; a text that holds the string of an added token (whose id the library puts there) goes
+through the library whole, and so does every text if the tokenizer normalises texts first.
 
 Defined cases: null and empty texts have the end id only; null doc_ids come first; rows with equal
 doc_ids stand in the order of a hash of their texts; other columns are ignored; an empty table
@@ -98,8 +98,10 @@ class PieceEncoder:
     def __init__(self, tokenizer_path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        self.plain = Tokenizer.from_file(tokenizer_path)
+        self.added = [t.content.encode() for t in self.plain.get_added_tokens_decoder().values() if t.content]
         self.tok = Tokenizer.from_file(tokenizer_path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = True  # joined pieces never stand for an added token
         vocab = self.tok.get_vocab()
         self.dtype = np.dtype("<u2" if len(vocab) <= 1 << 16 else "<u4")
         self.sizes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
@@ -147,8 +149,28 @@ class PieceEncoder:
         self.count = np.insert(self.count, at, counts[order])
         self.ids = np.concatenate([self.ids, *ids, *alone])
 
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """Texts that cannot be cut: those that hold the string of an added token."""
+        if self.plain.normalizer is not None:
+            return list(range(len(offsets) - 1))
+        raw, hits = data.tobytes(), []
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                hits.append(at)
+                at = raw.find(token, at + 1)
+        return np.unique(np.searchsorted(offsets, hits, "right") - 1).tolist()
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         """Packed ids of each text, with the end id."""
+        out = self._by_pieces(data, offsets)
+        for i in self._whole(data, offsets):
+            text = data[offsets[i]:offsets[i + 1]].tobytes().decode()
+            ids = self.plain.encode(text, add_special_tokens=False).ids
+            out[i] = np.array(ids, dtype=self.dtype).tobytes() + self.end.tobytes()
+        return out
+
+    def _by_pieces(self, data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         n = len(offsets) - 1
         if not len(data):
             return [self.end.tobytes()] * n
@@ -218,6 +240,12 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, *, order: lis
     ranged.mapInArrow(encode, "value binary").select(F.col("value").cast("string")).write.text(f"{path}/data")
 
 
+def file_order(name: Column) -> list[Column]:
+    """Sort keys of the file names of Spark's writers, ``part-<task>-<id>-c<file of the task>``: by their numbers, since
+    as text ``part-100000`` comes before ``part-99999``."""
+    return [F.regexp_extract(name, p, 1).try_cast("long") for p in (r"part-(\d+)", r"-c(\d+)")] + [name]
+
+
 def _parsed(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
             .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content"))
@@ -254,10 +282,10 @@ def build_index(spark: SparkSession, path: str, width: int) -> DataFrame:
         scan, "file string, doc_id long, offset long, length long, n_tokens long, in_file long, ids_crc32 long"
     ).write.parquet(f"{path}/offsets")
     found = spark.read.parquet(f"{path}/offsets")
-    # one row per file: file names are in the order of the documents
+    # one row per file: the numbers in the file names are in the order of the documents
     per_file = found.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = per_file.select("file", F.coalesce(F.sum("n").over(
-        W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        W.orderBy(*file_order(F.col("file"))).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     found.join(before, "file").select("doc_id", "file", "offset", "length", "n_tokens",
                                       (F.col("before") + F.col("in_file")).alias("start"),
                                       "ids_crc32").write.parquet(f"{path}/index")

@@ -39,7 +39,6 @@ def test_token_records_hold_the_library_ids(spark):
     got = token_records.token_records(docs).orderBy("start").collect()
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(token_records.default_tokenizer())
-    tok.encode_special_tokens = True
     want = Counter()
     for r in docs.collect():
         ids = [*tok.encode(r.text or "", add_special_tokens=False).ids, 0]
@@ -50,16 +49,28 @@ def test_token_records_hold_the_library_ids(spark):
     assert ids[0] is None and ids[1:] == sorted(ids[1:])
 
 
-def test_ids_are_an_untouched_tokenizers_but_for_special_strings():
+def test_ids_are_an_untouched_tokenizers():
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(token_records.default_tokenizer())
     encoder = token_records.PieceEncoder(token_records.default_tokenizer(), 0)
-    texts = [t or "" for t in ODD] + ["stop <|endoftext|> go"]
+    texts = [t or "" for t in ODD] + ["stop <|endoftext|> go", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n<|endoftext|", "<|endof",
+                                      "text|>", "x " * 9000 + "<|endoftext|> " + "y " * 9000]
     data, offsets = utf8_of(pa.array(texts))
     for t, packed in zip(texts, encoder.encode(data, offsets)):
         ids = np.frombuffer(packed, encoder.dtype)[:-1].tolist()
-        assert (ids == plain.encode(t, add_special_tokens=False).ids) == ("<|endoftext|>" not in t)
-        assert plain.token_to_id("<|endoftext|>") not in ids and plain.decode(ids, skip_special_tokens=False) == t
+        assert ids == plain.encode(t, add_special_tokens=False).ids
+        assert ids.count(plain.token_to_id("<|endoftext|>")) == t.count("<|endoftext|>")
+        assert plain.decode(ids, skip_special_tokens=False) == t
+
+
+def test_files_count_in_the_order_of_their_numbers(spark, tmp_path):
+    (tmp_path / "data").mkdir()
+    numbers = [9, 10001, 99999, 100000, 100001, 1000000]
+    for n in numbers:
+        payload = n.to_bytes(8, "little") + np.array([n % 7, 0], "<u2").tobytes()
+        (tmp_path / "data" / f"part-{n:05d}-x-c000.txt").write_bytes(token_records.frame(payload) + b"\n")
+    index = token_records.build_index(spark, f"file://{tmp_path}", 2).orderBy("start").collect()
+    assert [r.doc_id for r in index] == numbers and [r.start for r in index] == [0, 2, 4, 6, 8, 10]
 
 
 def test_records_can_be_read_in_any_order_and_damage_is_seen(spark, tmp_path):
@@ -87,7 +98,7 @@ def test_pieces_give_the_ids_of_the_whole_text(texts):
     if "ENCODER" not in globals():
         ENCODER = token_records.PieceEncoder(token_records.default_tokenizer(), 0)
     data, offsets = utf8_of(pa.array(texts, pa.string()))
-    want = [np.array([*ENCODER.tok.encode(t, add_special_tokens=False).ids, 0], "<u2").tobytes() for t in texts]
+    want = [np.array([*ENCODER.plain.encode(t, add_special_tokens=False).ids, 0], "<u2").tobytes() for t in texts]
     assert ENCODER.encode(data, offsets) == want
 
 
@@ -565,3 +576,32 @@ def test_native_operators_run_no_python(spark):
     for op in (chat_format.op6_chat_format, rule_ledger.op10_rule_ledger):
         plan = op(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian", plan)
+
+
+def test_repeated_rows_do_not_fill_the_training_sample(spark):
+    """Thousands of rows of one document leave room for the other label."""
+    good, bad = "The river ran past the old mill and the children played until evening.\n" * 3, "| # | $ |\n" * 20
+    docs = spark.range(8000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(good).alias("text"))
+    for doc_id, n, text in ((2, 50, bad), (3, 50, good)):
+        docs = docs.unionAll(spark.range(n).select(F.lit(doc_id).cast("long"), F.lit(text)))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    kept = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5]
+    assert {2} < set(kept)  # both labels train
+    model = line_crf.train(docs, labels)
+    assert {r.doc_id for r in line_crf.keep_good(docs, model).select("doc_id").distinct().collect()} == {1, 3}
+    seen = line_crf.score_documents(docs, model).groupBy("doc_id").agg(F.count_distinct("score"), F.max("score")).collect()
+    assert all(r[1] == 1 for r in seen) and {r.doc_id: r[2] for r in seen}[2] < 0.3
+
+
+def test_registered_queries_leave_no_scratch_folder(spark):
+    import os
+
+    from kestrel.llm.queries import LLM_QUERIES
+    from kestrel.session import checkpoint_root, scratch_scope
+    root = f"{checkpoint_root(spark)}/kestrel".removeprefix("file:")
+    listed = lambda: set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = listed()
+    for name, query in LLM_QUERIES.items():
+        with scratch_scope(spark):
+            query(spark, SF_SMALL).count()
+        assert listed() == before, name
