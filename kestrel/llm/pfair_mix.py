@@ -4,8 +4,8 @@ Each source's documents, in a reproducible order, are cut into blocks of ``block
 slots of one block.  In a period a source with weight k (a whole number of parts) owns k of the D slots, D
 being the parts of all sources that still have blocks; its block j is released at floor(j D / k) and due
 at ceil((j + 1) D / k), and the slots go to the released block with the earliest deadline.  With whole
-windows and full use, earliest deadline first meets every deadline, so after any number of slots no
-source is a whole block away from its share.  A period ends with all sources exactly on target; a source
+windows and full use, earliest deadline first meets every deadline, so while all its sources are alive no
+source is a whole block away from its share after any number of slots.  A period ends with all sources exactly on target; a source
 that runs dry leaves, and the others go on with their own weights, so every document gets a place.
 
 Only one schedule per set of remaining sources is computed: sources leave one after the other, so there are
@@ -22,7 +22,9 @@ kept; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 from heapq import heappop, heappush
 
 import pyarrow as pa
@@ -34,8 +36,9 @@ from kestrel.llm.common import shuffle_partitions
 from kestrel.session import materialize
 
 BLOCK_DOCS = 16
-#: Parts that the target weights are rounded to.
-PARTS = 100
+#: Most parts in a period.  Weights whose ratios are whole numbers up to this total are taken as they are; others (and the
+#: roots that are the default) are rounded to 1 / PARTS, so a share is off by at most half of that.
+PARTS = 10_000
 #: Target weight of a source is its share of documents to this power, unless weights are given.
 TEMPERATURE = 0.5
 BUCKET_DOCS = 10_000
@@ -45,9 +48,16 @@ RUN_SLOTS = 10_000
 
 
 def parts_of(weights: Mapping[str | None, float], parts: int = PARTS) -> dict[str | None, int]:
-    """Whole parts of about ``parts`` in all; a positive weight gets one part at least."""
-    total = sum(w for w in weights.values() if w > 0)
-    return {s: max(1, round(parts * w / total)) if w > 0 else 0 for s, w in weights.items()}
+    """Whole parts: the exact ratio of the weights (as written in decimals) if it has ``parts`` in all at most, else about
+    ``parts``, where a positive weight gets one part at least."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items() if w > 0}
+    scale = math.lcm(*(f.denominator for f in exact.values()))
+    whole = {s: int(f * scale) for s, f in exact.items()}
+    unit = math.gcd(*whole.values())
+    if sum(whole.values()) > parts * unit:
+        total = sum(exact.values())
+        whole, unit = {s: max(1, round(parts * f / total)) for s, f in exact.items()}, 1
+    return {s: whole.get(s, 0) // (unit or 1) for s in weights}
 
 
 def windows(k: int, slots: int) -> list[tuple[int, int]]:

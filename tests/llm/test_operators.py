@@ -528,6 +528,48 @@ def slow_mixture(blocks, parts):
     return [(s, b, at) for at, (s, b) in enumerate(out)]
 
 
+def plain_edf(weights, slots):
+    """Earliest deadline first on exact weights, slot by slot: blocks j are released at floor(j / w) and due at ceil((j + 1) / w)."""
+    from fractions import Fraction
+    share = {s: Fraction(w) / sum(map(Fraction, weights.values())) for s, w in weights.items()}
+    done, out = dict.fromkeys(weights, 0), []
+    for t in range(slots):
+        waiting = [(-(-(done[s] + 1) // w), s) for s, w in share.items() if done[s] // w <= t]
+        due, s = min(waiting)
+        assert due > t
+        done[s] += 1
+        out.append(s)
+    return out, share
+
+
+@pytest.mark.parametrize("weights", [{"a": "0.999", "b": "0.001"}, {"a": "0.25", "b": "0.7", "c": "0.05"},
+                                     {f"s{i:03d}": 1 + i % 13 for i in range(300)}])
+def test_mixture_keeps_the_given_weights(spark, weights):
+    slots = 2500
+    docs = spark.createDataFrame([(s, slots) for s in weights], "source string, n int").select(
+        "source", F.explode(F.sequence(F.lit(1), "n")).alias("i")).select(
+        "source", F.concat_ws("-", "source", "i").alias("doc_id"))
+    got = pfair_mix.mix(docs, {s: float(w) for s, w in weights.items()}, block_docs=1).filter(f"place < {slots}").orderBy("place")
+    want, share = plain_edf(weights, slots)
+    names = [r.source for r in got.collect()]
+    assert names == want
+    count = dict.fromkeys(weights, 0)
+    for t, s in enumerate(names, 1):
+        count[s] += 1
+        if t % 50 == 0:
+            assert all(abs(count[x] - share[x] * t) < 1 for x in share)
+
+
+def test_many_uneven_weights_stay_near_their_shares():
+    """500 Zipf weights are no whole ratio: shares are off by half a part of 10,000 at most."""
+    weights = {f"z{i}": 1 / i for i in range(1, 501)}
+    parts, total = pfair_mix.parts_of(weights), sum(weights.values())
+    for s, w in weights.items():
+        assert abs(parts[s] / sum(parts.values()) - w / total) < 1e-4
+    assert pfair_mix.parts_of({"a": 0.999, "b": 0.001, "c": 0}) == {"a": 999, "b": 1, "c": 0}
+    assert pfair_mix.parts_of({"a": 30, "b": 20}) == {"a": 3, "b": 2} and pfair_mix.parts_of({"a": 0}) == {"a": 0}
+
+
 def test_mixture_of_many_sources_of_different_sizes(spark):
     sizes = {f"s{i:03d}": i for i in range(1, 481)}  # a schedule for each set of sources left: 115,440 rows
     docs = (spark.createDataFrame(list(sizes.items()), "source string, n long")
