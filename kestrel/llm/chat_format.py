@@ -11,7 +11,8 @@ loss.  Control strings inside a text or role are escaped with a backslash code e
 conversation always splits back into exactly its turns (``read_back``).
 
 Defined cases: rows are ordered by turn, then role, then text, nulls first, so ties have one result
-and repeated rows stay repeated turns; null text or role counts as empty; an unknown role is kept
+and repeated rows stay repeated turns; null text or role counts as empty; rows of a null conv_id are one
+conversation; texts of any length are kept whole; an unknown role is kept
 under its own name without loss and makes the conversation invalid; other columns are ignored; an
 empty table gives an empty result.  A formatted conversation is one record by definition, so a
 conversation is gathered into one row, as its digest needs; ``segments`` is the flat form.
@@ -35,20 +36,41 @@ TRANSITIONS: dict[str, tuple[str, ...]] = {
 ACCEPT = ("assistant",)
 
 
+Codes = tuple[tuple[str, str], ...]
+
+
 @dataclass(frozen=True)
 class Template:
-    """``open`` + role + ``after_role`` + text + ``close`` per turn; ``loss`` lists the roles trained on."""
+    """``open`` + role + ``after_role`` + text + ``close`` per turn; ``loss`` lists the roles trained on.
+
+    ``codes`` (control string -> code, a backslash itself first) are escaped in texts and roles, ``role_codes`` in roles
+    as well.  Unless given they are derived: the first characters of ``close``, ``open`` and, in roles, of
+    ``after_role`` become codes, so none of these strings can begin inside an escaped text or role."""
 
     open: str = "### "
     after_role: str = ":\n"
     close: str = "</turn>\n"
     loss: tuple[str, ...] = ("assistant",)
-    #: control string -> code; a backslash itself comes first
-    codes: tuple[tuple[str, str], ...] = (("\\", "\\e"), ("</turn>", "\\c"), ("###", "\\h"))
-    role_codes: tuple[tuple[str, str], ...] = (("\n", "\\n"),)
+    codes: Codes = ()
+    role_codes: Codes = ()
+
+    def __post_init__(self) -> None:
+        if not self.close or not self.after_role or any(s.startswith("\\") for s in (self.open, self.after_role, self.close)):
+            raise ValueError("a template needs a close and an after_role, and none of its strings may begin with a backslash")
+        ends = [s[i:] for s in (self.open, self.after_role) for i in range(len(s))]
+        if any(e.startswith(self.close) or self.close.startswith(e) for e in ends):
+            raise ValueError("a close may not begin inside an open or after_role")
+        if not self.codes:
+            controls = dict.fromkeys([self.close[0], *self.open[:1]])
+            of_roles = [c for c in [self.after_role[0]] if c not in controls]
+            # a code's letter is no control character itself
+            letters = (c for c in "echnabdfgijklm" if c not in controls and c not in of_roles)
+            coded = [(c, "\\" + letter) for c, letter in zip(["\\", *controls, *of_roles], letters)]
+            object.__setattr__(self, "codes", tuple(coded[:1 + len(controls)]))
+            object.__setattr__(self, "role_codes", tuple(coded[1 + len(controls):]))
 
 
-TEMPLATE = Template()
+TEMPLATE = Template(codes=(("\\", "\\e"), ("</turn>", "\\c"), ("###", "\\h")), role_codes=(("\n", "\\n"),))
 
 
 def escape(text: Column, codes) -> Column:
@@ -118,7 +140,7 @@ def segments(formatted: DataFrame) -> DataFrame:
 def read_back(formatted: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     """conv_id, turns (array of role, text), loss_texts (array), read from formatted text and loss flags only."""
     codes = template.codes
-    pieces = F.split(F.col("formatted"), template.close, -1)
+    pieces = F.split(F.col("formatted"), "\\Q" + template.close.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)  # no pattern
     body = lambda p: F.substring(p, F.lit(len(template.open) + 1), F.length(p))
     head = lambda p: F.substring_index(body(p), template.after_role, 1)
     turns = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.struct(

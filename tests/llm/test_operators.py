@@ -303,6 +303,33 @@ def test_chat_round_trip_and_machine(spark):
     assert len(flat) == 3
 
 
+TEMPLATES = [chat_format.TEMPLATE, chat_format.Template(),
+             chat_format.Template("<|im_start|>", "\n", "<|im_end|>\n", ("assistant", "tool")),
+             chat_format.Template("<|start_header_id|>", "<|end_header_id|>\n\n", "<|eot_id|>"),
+             chat_format.Template("[", "](", ").*"), chat_format.Template("", "a:", "bb"), chat_format.Template("e", "c", "h\\E|x")]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_any_template_reads_back(spark, template):
+    rng = random.Random(1)
+    bits = [template.open, template.after_role, template.close, template.close[:-1], template.close[1:], "\\", "\\e", "\\c", "a", "e",
+            "h", "\n", " é", "|", "<", "x" * 40_000]
+    rows = [(i // 6, i % 6, "".join(rng.choices(bits[:-1], k=rng.randint(0, 4))), "".join(rng.choices(bits, k=rng.randint(0, 7))))
+            for i in range(240)]
+    rows += [(None, 0, "user", template.close), (None, 1, "assistant", "x"), (90, 0, "assistant", "</turn>\n### a"), (90, 1, "tool", "t")]
+    turns = spark.createDataFrame([(*r, "clash") for r in rows], TURNS)
+    for r in chat_format.read_back(chat_format.format_conversations(turns, template), template).collect():
+        want = [(x[2], x[3]) for x in rows if x[0] == r.conv_id]
+        assert [tuple(t) for t in r.turns] == want
+        assert r.loss_texts == [t for role, t in want if role in template.loss]
+
+
+def test_templates_that_cannot_be_read_back_are_refused():
+    for strings in (("a", "", "b"), ("a", "b", ""), ("\\", "b", "c"), ("a", "b", "\\c"), ("", "aa", "aa"), ("x)", "b", ").")):
+        with pytest.raises(ValueError):
+            chat_format.Template(*strings)
+
+
 # --- 7: URLs ----------------------------------------------------------------------------------------------------
 
 def test_urls(spark):
