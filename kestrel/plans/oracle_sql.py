@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from kestrel.constants import REPORT_HEADER, REPORT_ROW_FORMAT
 from kestrel.plans.fixtures import with_fixtures
 
 ORACLE_STEPS = 10
@@ -227,12 +228,11 @@ def oracle_queries() -> dict[str, str]:
                     f"m.median_score FROM dom d JOIN med m USING (cluster)"),
         ]
 
+    header = ", ".join(f"({i}, {q(h)})" for i, h in enumerate(REPORT_HEADER))
     report_sql = (
-        "SELECT * FROM (VALUES (0, 'Resulting clusters:'), "
-        "(1, '  Score  Dominant language (%percent)  Questions'), "
-        "(2, '================================================')) h(line_no, line) UNION ALL "
-        "SELECT CAST(row_number() OVER (ORDER BY median_score, label, cluster) + 2 AS INTEGER) AS line_no, "
-        "printf('%7d  %-17s (%-5.1f%%)      %7d', median_score, label, percent, size) AS line FROM res")
+        f"SELECT * FROM (VALUES {header}) h(line_no, line) UNION ALL "
+        f"SELECT CAST(row_number() OVER (ORDER BY median_score, label, cluster) + {len(REPORT_HEADER) - 1} AS INTEGER) AS line_no, "
+        f"printf({q(REPORT_ROW_FORMAT)}, median_score, label, percent, size) AS line FROM res")
 
     pipeline_ctes = [
         ("pp", parse_postings("fx_posting_lines")),

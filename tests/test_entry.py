@@ -39,3 +39,16 @@ def test_oracle_sql_runs_in_duckdb_for_a_sample():
     sql = E.oracle_sql()
     assert con.sql(sql["rank_terms"]).fetchall()[0][0] == 1
     assert len(con.sql(sql["kmeans_centers"]).fetchall()) == 15
+
+
+def test_the_other_queries_stay_when_the_training_data_queries_cannot_be_imported():
+    """Neither their modules nor a library that only they need has to be there."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for absent in ("corpus_pipeline", "kestrel.llm", "xxhash"):
+        code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+        done = subprocess.run([sys.executable, "-W", "error::SyntaxWarning", "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+        assert done.stdout.split() == ["48", "48"], (absent, done)
+        assert "left out" in done.stderr
