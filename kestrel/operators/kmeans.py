@@ -68,6 +68,8 @@ LITERAL_CENTRES = 256
 TASK_POINTS, MOST_POINTS = 8_192, 1_000_000
 #: Most intervals (of all distinct x) that a step makes, and that it broadcasts (8 bytes each).
 ENVELOPE_ENTRIES, SENT_ENTRIES = 1 << 27, 1 << 20
+#: Up to so many distinct x the driver makes their intervals, else the tasks that hold them do.
+FEW_X = 1_000
 #: Centres per cell of the grid, on the average over all cells.
 CELL_CENTRES = 2
 
@@ -129,14 +131,19 @@ class LloydPoints:
     ``base`` should be a written table: a lost executor's cached partitions are computed from it again."""
 
     def __init__(self, base: DataFrame, scratch: Scratch):
-        xs = scratch.materialize(base.groupBy("x").agg(
+        reach = F.greatest(*(F.abs(F.col(c).cast("long")) for c in ("x", "low", "high")))
+        xs = base.groupBy("x").agg(
             F.count(F.lit(1)).alias("n"), F.count_if(F.col("x").isNull() | F.col("y").isNull()).alias("nulls"),
-            F.min("y").alias("low"), F.max("y").alias("high")), "kmeans-xs")
-        most = F.max(F.greatest(*(F.abs(F.col(c).cast("long")) for c in ("x", "low", "high"))))
-        rows, nulls, self.distinct, reach = xs.agg(F.sum("n"), F.sum("nulls"), F.count(F.lit(1)), most).first()
-        self.xs, self.rows = xs.select("x"), rows or 0
-        self.own = [r[0] for r in self.xs.collect()] if self.distinct <= SENT_ENTRIES // 8 else []  # a few x
-        self.exact = not nulls and (reach or 0) <= EXACT_COORDINATE
+            F.min("y").alias("low"), F.max("y").alias("high")).select("x", "n", "nulls", reach.alias("reach"))
+        few = xs.limit(FEW_X + 1).collect()  # FEW_X + 1 rows at most
+        if len(few) <= FEW_X:
+            self.own, self.xs, self.distinct = [r["x"] for r in few], None, len(few)
+            rows, nulls, most = sum(r["n"] for r in few), sum(r["nulls"] for r in few), max((r["reach"] or 0 for r in few), default=0)
+        else:
+            xs = scratch.materialize(xs, "kmeans-xs")
+            rows, nulls, self.distinct, most = xs.agg(F.sum("n"), F.sum("nulls"), F.count(F.lit(1)), F.max("reach")).first()
+            self.own, self.xs = None, xs.select("x")
+        self.rows, self.exact = rows, not nulls and (most or 0) <= EXACT_COORDINATE
         cores = base.sparkSession.sparkContext.defaultParallelism
         self.partitions = max(1, min(math.ceil(self.rows / TASK_POINTS), max(cores, math.ceil(self.rows / MOST_POINTS))))
         self.points = base.select("x", "y", "w").repartition(self.partitions, "x", "y").persist(StorageLevel.MEMORY_AND_DISK)
@@ -152,12 +159,14 @@ class LloydPoints:
         k = len(centres)
         intervals = self.distinct * envelope_length(k)
         reach = max((abs(c) for centre in centres for c in centre), default=0)
-        if not self.exact or reach > EXACT_COORDINATE or intervals > ENVELOPE_ENTRIES:
+        if not self.rows or not self.exact or reach > EXACT_COORDINATE or intervals > ENVELOPE_ENTRIES:
             return assign_nearest(self.points, centres).drop("dist")
-        if self.own and intervals <= SENT_ENTRIES:
-            table = F.broadcast(local_envelopes(self.points.sparkSession, self.own, centres))
+        if self.own is None:
+            table = envelopes(self.xs, centres)
         else:
-            table = envelopes(self.xs, centres).hint("merge")
+            table = local_envelopes(self.points.sparkSession, self.own, centres)
+        # at most SENT_ENTRIES * 8 bytes are broadcast
+        table = F.broadcast(table) if intervals <= SENT_ENTRIES else table.hint("merge")
         return envelope_segment(self.points.join(table, "x"), "y", k, "cluster").drop("begin", "centre")
 
     def step(self, centres: Sequence[Centre]) -> list[Centre]:
@@ -306,21 +315,27 @@ def kmeans(vectors: DataFrame, centres: Sequence[Centre], *, eta: float = DEFAUL
 
     ``weighted`` may pass an already materialised :func:`weighted_points` table.
     """
-    if max_iter < 1:
-        raise ValueError("max_iter must be >= 1")
-    centres = [(int(cx), int(cy)) for cx, cy in centres]
     with Scratch(vectors.sparkSession) as scratch:
         base = scratch.materialize(weighted_points(vectors), "kmeans-points") if weighted is None else weighted
         with LloydPoints(base, scratch) as points:  # cached only inside the loop
-            steps: list[tuple[np.ndarray, float, bool]] = []
-            while True:
-                new = points.step(centres)
-                disp = center_displacement(centres, new)
-                done = converged(disp, eta)
-                steps.append((np.array([(*o, *n) for o, n in zip(centres, new)], dtype=np.int64).reshape(-1, 4), disp, done))
-                centres = new
-                if done or len(steps) >= max_iter:
-                    return KMeansResult(centres, len(steps), disp, done, steps)
+            return kmeans_of(points, centres, eta=eta, max_iter=max_iter)
+
+
+def kmeans_of(points: LloydPoints, centres: Sequence[Centre], *, eta: float = DEFAULT_ETA,
+              max_iter: int = DEFAULT_MAX_ITER) -> KMeansResult:
+    """:func:`kmeans` over points that are ready for the steps."""
+    if max_iter < 1:
+        raise ValueError("max_iter must be >= 1")
+    centres = [(int(cx), int(cy)) for cx, cy in centres]
+    steps: list[tuple[np.ndarray, float, bool]] = []
+    while True:
+        new = points.step(centres)
+        disp = center_displacement(centres, new)
+        done = converged(disp, eta)
+        steps.append((np.array([(*o, *n) for o, n in zip(centres, new)], dtype=np.int64).reshape(-1, 4), disp, done))
+        centres = new
+        if done or len(steps) >= max_iter:
+            return KMeansResult(centres, len(steps), disp, done, steps)
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[Centre]) -> DataFrame:

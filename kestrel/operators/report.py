@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from kestrel.constants import REPORT_HEADER, REPORT_ROW_FORMAT
 from kestrel.functions.categories import category_label
-from kestrel.operators.kmeans import Centre, LloydPoints, assign_nearest, weighted_points
-from kestrel.session import Scratch
+from kestrel.operators.kmeans import Centre, assign_nearest, weighted_points
 
 
 def cluster_membership(vectors: DataFrame, centres: Sequence[Centre], *, id_col: str = "question_id") -> DataFrame:
@@ -96,16 +95,13 @@ def cluster_median(membership: DataFrame) -> DataFrame:
 
 
 def cluster_results(vectors: DataFrame, centres: Sequence[Centre], categories: Sequence[str],
-                    spread: int, *, weighted: DataFrame | None = None, scratch: Scratch | None = None) -> DataFrame:
+                    spread: int, *, weighted: DataFrame | None = None, assigned: DataFrame | None = None) -> DataFrame:
     """Per non-empty cluster ``(cluster, label, percent, size, median_score)``, by median.
 
-    ``weighted`` may pass an already materialised :func:`weighted_points` table.  With a ``scratch`` its points are
-    assigned once, by the search of the k-means steps, and written there for the statistics to read."""
-    points = weighted if weighted is not None else weighted_points(vectors)
-    if scratch is not None and weighted is not None:
-        with LloydPoints(points, scratch) as ready:
-            assigned = scratch.materialize(ready.assigned(centres), "qa-assigned")
-    else:
+    ``weighted`` may pass an already materialised :func:`weighted_points` table, ``assigned`` one of these points
+    with their clusters ``(x, y, w, cluster)``."""
+    if assigned is None:
+        points = weighted if weighted is not None else weighted_points(vectors)
         assigned = assign_nearest(points.select("x", "y", "w"), centres)
     counts = assigned.select("cluster", "x", "y", F.col("w").alias("cnt"))
     dom = _dominant(counts, categories, spread)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from kestrel.constants import (DEFAULT_ETA, DEFAULT_K, DEFAULT_MAX_ITER, DEFAULT_SPREAD, DEFAULT_TERMS,
                                SAMPLE_SEED, STRATIFIED_MIN_SPREAD)
 from kestrel.operators.checks import expect_row_count
-from kestrel.operators.kmeans import KMeansResult, kmeans, weighted_points
+from kestrel.operators.kmeans import KMeansResult, LloydPoints, kmeans_of, weighted_points
 from kestrel.operators.qa import scored_vectors
 from kestrel.operators.report import cluster_report_lines, cluster_results
 from kestrel.operators.sampling import initial_centres
@@ -65,8 +65,10 @@ def cluster_vectors(vectors: DataFrame, categories: Sequence[str] = DEFAULT_TERM
         points = scratch.materialize(weighted_points(vectors), "qa-points")
         seeds = initial_centres(vectors, k, categories, spread, seed=seed,
                                 min_stratified_spread=STRATIFIED_MIN_SPREAD)
-        result = kmeans(vectors, seeds, eta=eta, max_iter=max_iter, weighted=points)
-        results = cluster_results(vectors, result.centres, categories, spread, weighted=points, scratch=scratch)
+        with LloydPoints(points, scratch) as ready:  # cached only here; the report's points are assigned once
+            result = kmeans_of(ready, seeds, eta=eta, max_iter=max_iter)
+            assigned = scratch.materialize(ready.assigned(result.centres), "qa-assigned")
+        results = cluster_results(vectors, result.centres, categories, spread, assigned=assigned)
     except BaseException:
         scratch.close()
         raise

@@ -206,10 +206,12 @@ def test_prepared_steps_equal_plain_steps_on_all_cores(spark, monkeypatch):
                 assert "nearest" not in executed_plan(ready.assigned(centres))
                 new = KM.lloyd_step(base, centres, weight="w")
                 assert ready.step(centres) == new
-                monkeypatch.setattr(KM, "SENT_ENTRIES", 0)  # envelopes as a table that meets the points by a join
-                assert "BroadcastHashJoin" not in ready.assigned(centres)._jdf.queryExecution().toString()
-                assert ready.step(centres) == new
-                monkeypatch.setattr(KM, "SENT_ENTRIES", 1 << 20)
+            with monkeypatch.context() as m:  # intervals as a table that meets the points by a sort-merge join
+                m.setattr(KM, "SENT_ENTRIES", 0)
+                m.setattr(KM, "FEW_X", 3)
+                with KM.LloydPoints(base, scratch) as ready:
+                    assert "BroadcastHashJoin" not in ready.assigned(centres)._jdf.queryExecution().toString()
+                    assert ready.step(centres) == new
 
 
 def test_prepared_steps_of_odd_tables(spark):
