@@ -40,11 +40,13 @@ def cluster_size(membership: DataFrame) -> DataFrame:
 
 def _dominant(counts: DataFrame, categories: Sequence[str], spread: int) -> DataFrame:
     per_x = counts.groupBy("cluster", "x").agg(F.sum("cnt").alias("n"))
-    agg = per_x.groupBy("cluster").agg(
-        # most frequent x; among equally frequent ones the lowest x
-        F.max_by("x", F.struct(F.col("n"), -F.col("x"))).alias("dominant_x"),
-        F.max("n").alias("dominant_n"),
-        F.sum("n").alias("size"))
+    # most frequent x, among equally frequent ones the lowest x (a null one last): the largest of one number per x, so
+    # that the buffer has a fixed width and nothing is sorted
+    turn = F.coalesce(F.lit(1 << 31) - F.col("x").cast("bigint"), F.lit(0).cast("bigint"))
+    number = F.col("n").cast("decimal(19,0)") * F.lit(1 << 33).cast("decimal(10,0)") + turn.cast("decimal(19,0)")
+    agg = per_x.groupBy("cluster").agg(F.max(number).alias("best"), F.max("n").alias("dominant_n"), F.sum("n").alias("size"))
+    turned = (F.col("best") % F.lit(1 << 33)).cast("bigint")
+    agg = agg.withColumn("dominant_x", F.when(turned > 0, F.lit(1 << 31) - turned).cast("int"))
     return agg.select(
         "cluster", "dominant_x", category_label("dominant_x", categories, spread).alias("label"),
         F.col("dominant_n").cast("bigint").alias("dominant_n"), F.col("size").cast("bigint").alias("size"),

@@ -274,3 +274,12 @@ def test_median_of_one_cluster_with_many_values(spark):
     assert "percentile" not in executed_plan(median)
     got = {r["cluster"]: r["median_score"] for r in median.collect()}
     assert got == {0: slow_median(ys), 1: slow_median(ys[:1000]), 2: -7, 3: 65_535, 4: None, 5: 3}
+
+
+def test_dominant_category_of_any_coordinates(spark):
+    members = [(0, -2**31), (0, -2**31), (0, 2**31 - 1), (0, 2**31 - 1), (1, None), (1, None), (1, 7), (2, None), (2, 7), (3, None)]
+    df = spark.createDataFrame([(i, c, x, 0) for i, (c, x) in enumerate(members)], "question_id int, cluster int, x int, y int")
+    dom = report._dominant(report._point_counts(df), ["a"], 1)
+    assert sorted(rows(dom, "cluster", "dominant_x", "dominant_n", "size")) == [
+        (0, -2**31, 2, 4), (1, None, 2, 3), (2, 7, 1, 2), (3, None, 1, 1)]
+    assert "SortAggregate" not in executed_plan(dom)
