@@ -139,7 +139,7 @@ def test_periodic_runs_equal_brute_force(spark, tmp_path):
         base = [rnd.choice("abcdefgh"[:rnd.randint(1, 8)]) for _ in range(rnd.randint(1, 60))]
         cut, p = rnd.randrange(len(base)), rnd.randint(1, 6)
         texts.append(" ".join(base[:cut] + base[cut:cut + p] * rnd.randint(0, 9) + base[cut:]))
-    texts.append(" ".join(f"w{i % 7001}" for i in range(40_000)))
+    texts.append(" ".join(f"w{i % 1601}" for i in range(8_000)))
     rows = [(i, t, 5, "r") for i, t in enumerate(texts)] + [(None, "a b " * 9, 5, "r"), (3, "a b " * 9, 5, "r"), (3, "a b " * 9, 5, "r")]
     spark.createDataFrame(rows, "doc_id long, text string, length int, runs string").repartition(3).write.parquet(
         f"{tmp_path}/documents.parquet")
@@ -156,6 +156,12 @@ def test_runs_of_any_words(texts, exponent, least):
     assert [[(s, q, e) for s, e, q in runs] for _, runs, _ in got] == [slow_runs(t, exponent, least) for t in texts]
 
 
+def test_a_very_long_text_is_one_run():
+    text = " ".join(f"w{i % 7001}" for i in range(200_000)).encode()
+    (n, runs, kept), = periodic_runs._search(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 4, 6)
+    assert (n, runs, kept) == (200_000, [(0, 200_000, 7001)], b" ".join(text.split()[:7001]))
+
+
 def test_words_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(periodic_runs, "HASHER", lambda data, starts, lengths: np.zeros(len(starts), np.uint64))
     texts = [b"a b c d e f g h", b"a b a b a b a b a b"]
