@@ -15,9 +15,10 @@ Spark rounds:
    has it; this covers every repeated window, since equal windows choose the same symbol (or stand for themselves);
 4. repeated windows go back to their documents, which drop the words these cover.
 
-Before the shuffles of rounds 2 and 3 every task keeps, of a symbol or window, the rows of its smallest doc_id under
-the key; later documents of the same task are known to repeat and travel under keys of their own, so a symbol or
-window in a third of all documents is one document per task.  Texts are shuffled once, by doc_id, and that
+Before the shuffles of rounds 2 and 3 every task packs the places of one document that share a symbol or window into one
+row, and keeps, of a symbol or window, the row of its smallest doc_id under the key; later documents of the same task are
+known to repeat and travel under keys of their own.  So a symbol or window in a third of all documents, or thousands of
+times in one, is one row per task.  Texts are shuffled once, by doc_id, and that
 exchange serves all three joins.
 
 Defined cases: a null text has no words; null doc_ids come before all others (as the smallest); rows with the
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -40,9 +41,8 @@ from kestrel.llm.bytesvec import IS_SPACE, SegmentHasher, chunks, lean, mix, rag
 from kestrel.llm.common import bounded_batches, shuffle_partitions
 
 WINDOW = 50
-#: Rounds of pair naming; runs are named before those in RUN_ROUNDS.
+#: Rounds of naming: runs first, then pairs.
 ROUNDS = 6
-RUN_ROUNDS = (0,)
 #: Symbols are considered from this round on; windows without any stand for themselves.
 FIRST_LEVEL = 3
 FIRST = SegmentHasher(4, IS_SPACE)
@@ -105,9 +105,7 @@ def symbols(names: np.ndarray, row: np.ndarray, window: int = WINDOW,
     state = (names, place + 1, place, place + 1, row)
     out, far = [], 1 << 60
     for level in range(rounds):
-        if level in RUN_ROUNDS:
-            state = _runs(*state, far)
-        state = _pairs(*state, far, level)
+        state = _pairs(*_runs(*state, far), far, level)
         if level + 1 >= FIRST_LEVEL:
             fits = np.flatnonzero(state[3] - state[2] <= window)
             out.append((level + 1, state[0][fits], state[2][fits], state[3][fits]))
@@ -179,9 +177,27 @@ def _local(keys: np.ndarray, ids: np.ndarray, spread: np.ndarray) -> tuple[np.nd
     return np.where(later, spread, keys), later, shared
 
 
-def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns],
-                                      names=names)
+def _packed(keys: np.ndarray, ids: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.ListArray]:
+    """One row per key and id: (the index of its first place, its other places; null for a single place), in the order of
+    these indices: neighbours of one document stay together, so that shuffled rows compress."""
+    order = np.lexsort((places, ids, keys))
+    head = np.r_[True, (np.diff(keys[order]) != 0) | (np.diff(ids[order]) != 0)]
+    at = np.flatnonzero(head)
+    others = np.diff(np.r_[at, len(order)]) - 1
+    more = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(others)].astype(np.int32)),
+                                    pa.array(places[order][~head]), mask=pa.array(others == 0))
+    back = np.argsort(order[at])
+    return order[at][back], more.take(pa.array(back))
+
+
+def _batch(columns: list[np.ndarray | pa.Array], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns],
+        names=names)
+
+
+def _all_places(first: str) -> Column:
+    return F.flatten(F.collect_list(F.concat(F.array(first), F.coalesce("more", F.array().cast("array<long>")))))
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -197,15 +213,18 @@ def _copied(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def symbol_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iterator[pa.RecordBatch]:
-    """(key, id, run, shared): per text the runs of windows that choose one symbol; run packs first start and length."""
+    """(key, id, run, more, shared): per doc_id the runs of windows that choose one symbol, the first and the others; a run
+    packs first start and length."""
     held: list[list[np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
             keys, ids, runs = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            key, _, shared = _local(keys, ids, mix(runs.astype(np.uint64) * _U(3) + ids.astype(np.uint64)))
-            yield _batch([key, ids, runs, shared], ["key", "id", "run", "shared"])
+            at, more = _packed(keys, ids, runs)
+            keys, ids = keys[at], ids[at]
+            key, _, shared = _local(keys, ids, mix(keys * _U(3) + ids.astype(np.uint64)))
+            yield _batch([key, ids, runs[at], more, shared], ["key", "id", "run", "more", "shared"])
 
     for batch in lean(batches):
         ids, copied = batch.column(0).to_numpy(zero_copy_only=False), _copied(batch)
@@ -233,15 +252,20 @@ def symbol_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iter
 
 
 def window_rows(batches: Iterator[pa.RecordBatch], window: int = WINDOW) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, id, spot, later): the windows of the runs in column 3, by content; spot packs start and row tag."""
+    """(h1, h2, id, spot, more, later): the windows of the runs in column 3, by content, with the first and the other
+    places of a doc_id; a spot packs start and row tag."""
     held: list[list[np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
         if held:
             h1, h2, ids, spots = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            both, later, _ = _local(h1 ^ mix(h2), ids, mix(spots.astype(np.uint64) * _U(3) + ids.astype(np.uint64)))
-            yield _batch([np.where(later, both, h1), h2 >> _U(32), ids, spots, later], ["h1", "h2", "id", "spot", "later"])
+            at, more = _packed(h1 ^ mix(h2), ids, spots)
+            h1, h2, ids = h1[at], h2[at], ids[at]
+            both = h1 ^ mix(h2)
+            own, later, _ = _local(both, ids, mix(both * _U(3) + ids.astype(np.uint64)))
+            yield _batch([np.where(later, own, h1), h2 >> _U(32), ids, spots[at], more, later],
+                         ["h1", "h2", "id", "spot", "more", "later"])
 
     for batch in lean(batches):
         ids, tags = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
@@ -310,15 +334,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, wi
 
     # 2. symbols of several documents
     named = beside(texts, copies, "left").mapInArrow(
-        lambda it: symbol_rows(it, window), "key long, id long, run long, shared boolean")
+        lambda it: symbol_rows(it, window), "key long, id long, run long, more array<long>, shared boolean")
     over = W.partitionBy("key")
     runs = (named.withColumn("low", F.min("id").over(over)).withColumn("high", F.max("id").over(over))
-            .filter("shared or low < high").groupBy("id").agg(F.collect_list("run").alias("runs")))
+            .filter("shared or low < high").groupBy("id").agg(_all_places("run").alias("runs")))
     # 3. windows that choose them, verified by content
     seen = beside(texts, runs, "inner").mapInArrow(
-        lambda it: window_rows(it, window), "h1 long, h2 long, id long, spot long, later boolean")
+        lambda it: window_rows(it, window), "h1 long, h2 long, id long, spot long, more array<long>, later boolean")
     repeated = (seen.withColumn("low", F.min("id").over(W.partitionBy("h1", "h2"))).filter("later or low < id")
-                .groupBy("id").agg(F.collect_list("spot").alias("spots")))
+                .groupBy("id").agg(_all_places("spot").alias("spots")))
     # 4. what remains of each text
     joined = beside(beside(texts, copies, "left"), repeated, "left").select("id", "tag", "text", "copies", "spots")
     out = joined.mapInArrow(lambda it: cleaned_rows(it, window, with_text),

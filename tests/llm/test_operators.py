@@ -219,6 +219,32 @@ def test_kept_text_is_the_digest(spark):
     assert {r.doc_id: r.kept_text for r in rows}[1] == "tail"
 
 
+def test_a_window_repeated_in_one_document_is_one_row():
+    text = " ".join(f"w{i % 7}" for i in range(5000))
+    ids, texts, no_copies = pa.array([4, 9]), pa.array([text, "x " + text]), pa.array([None, None], pa.list_(pa.int64()))
+    symbol_batches = list(substring_dedup.symbol_rows(iter([pa.record_batch([ids, pa.array([1, 2]), texts, no_copies],
+                                                                            names=["id", "tag", "text", "copies"])])))
+    assert sum(b.num_rows for b in symbol_batches) <= 2 * 7 + 60
+    runs = [[(i << 6) | 63 for i in range(0, 5000, 64)]] * 2
+    batch = pa.record_batch([ids, pa.array([1, 2]), texts, pa.array(runs, pa.list_(pa.int64()))], names=["id", "tag", "text", "runs"])
+    rows = pa.Table.from_batches(substring_dedup.window_rows(iter([batch]))).to_pylist()
+    assert len(rows) == 7 + 8
+    places = {(r["id"], spot >> substring_dedup.TAG_BITS) for r in rows for spot in [r["spot"], *(r["more"] or [])]}
+    assert places == {(4, i) for i in range(4951)} | {(9, i) for i in range(4952)}
+
+
+def test_runs_are_named_in_every_round():
+    """Two words in turn become one symbol that repeats: the round after names their run, so runs of other lengths differ."""
+    def top(n):
+        names = np.array([3, 5] * n, dtype=np.uint64)
+        state = (names, np.arange(2 * n) + 1, np.arange(2 * n), np.arange(2 * n) + 1, np.zeros(2 * n, np.int64))
+        for level in range(substring_dedup.ROUNDS):
+            state = substring_dedup._pairs(*substring_dedup._runs(*state, 1 << 60), 1 << 60, level)
+        return state[0]
+    assert len(top(40)) <= 3 and len(top(41)) <= 3
+    assert set(top(40).tolist()) != set(top(41).tolist())
+
+
 # --- 5: secrets -------------------------------------------------------------------------------------------------
 
 def test_secret_spans(spark):
