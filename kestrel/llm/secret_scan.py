@@ -1,14 +1,18 @@
 """Secret scan: fixed patterns, and guess-cost dynamic programming on credential-context values.
 
 The method judges every value that stands after a credential word and ``:`` or ``=``: the cheapest
-segmentation of the value into words, dates, repeats, keyboard walks and brute-force spans gives the
-number of guesses (in bits) that it resists; from ``MIN_BITS`` on it is reported as a ``credential``
-span, unless a base span already covers part of it.  Placeholders such as ``changeme`` or
-``password123`` are cheap to guess and left alone.
+segmentation of the value into words, dates, repeats, keyboard walks, placeholders and brute-force spans
+gives the number of guesses (in bits) that it resists; from ``MIN_BITS`` on it is reported as a
+``credential`` span, unless a base span already covers part of it.  ``changeme``, ``password123`` or
+``${DB_PASSWORD}`` are cheap to guess and left alone.
+
+A word takes as many guesses as its place in a ranked dictionary: a short list of password and placeholder
+words, or the ``DICTIONARY`` most frequent words of the scanned texts themselves, whichever place is lower.
+Spark counts all words of all texts; the driver gets the dictionary's rows only, and they travel with the tasks.
 
 Defined cases: null and empty texts have no spans (hash of the empty string); spans are code points,
-end exclusive, in order of start, then kind as listed; repeated rows are scanned one by one; other
-columns are ignored; an empty table gives an empty result.  The scan is a narrow projection over
+end exclusive, in order of start, then kind as listed; repeated rows are scanned one by one; words of
+equal count rank by spelling; other columns are ignored; an empty table gives an empty result.  The scan is a narrow projection over
 whole texts; time and memory per value are linear in its length.
 """
 
@@ -21,6 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kestrel.llm.bytesvec import lean
 from kestrel.llm.common import bounded_batches
@@ -56,15 +61,32 @@ office company server database private public local host production staging dev
 the and for with this that from have not you are was all can but one two three new old big small red blue green
 black white gold silver star moon sun fire water earth cat dog horse tiger lion eagle bear wolf fox bird fish
 apple orange banana cherry coffee cookie cheese pepper ginger hunter soccer hockey killer ninja pirate robot
-computer internet google windows linux abc xyz foo bar baz""".split()
+computer internet google windows linux abc xyz foo bar baz redacted required optional masked hidden removed
+replace replaced variable environment documentation undefined unknown missing invalid expired enabled disabled
+empty number boolean integer config settings provided specified generated encrypted""".split()
 RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
-LONGEST_WORD = max(map(len, RANK))
+#: Words that the dictionary takes from the texts, the most frequent ones; it bounds what the driver and a task hold.
+DICTIONARY = 20_000
+#: Times that a word must occur.
+LEAST = 3
+#: Letters of a word of the dictionary.
+WORD_LENGTHS = range(3, 25)
 LEET = str.maketrans("013457@$!", "oieastasi")
 
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 PLACE = {c: (r, k) for r, row in enumerate(ROWS) for k, c in enumerate(row)}
-DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01]))?"
-                  r"|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:(?:19|20)\d\d)")
+SEP = "[-/._]?"
+DAY, MONTH, YEAR = "(?:0[1-9]|[12][0-9]|3[01])", "(?:0[1-9]|1[0-2])", "(?:19|20)[0-9][0-9]"
+#: Dates by form, with the bits of their guesses.
+DATES = ((re.compile(YEAR), math.log2(130)), (re.compile(YEAR + SEP + MONTH + SEP + DAY), math.log2(130 * 366)),
+         (re.compile(DAY + SEP + MONTH + SEP + YEAR), math.log2(130 * 366)))
+#: What stands for a value that is elsewhere: references to variables, settings and stores.
+PLACEHOLDER = re.compile(
+    r"""\$\{[^}]{0,64}\}|\$\([^)]{0,64}\)|\{\{[^}]{0,64}\}\}|\[[A-Za-z_-]{1,64}\]|%[A-Za-z_]{3,64}%|\$[A-Z][A-Z_]{2,64}"""
+    r"""|(?:your|insert|replace|enter)(?:[_-][A-Za-z]{1,32}){1,8}"""
+    r"""|(?:process\.env|os\.environ|os\.getenv|System\.getenv|getenv|env|secrets|vault|config|settings)"""
+    r"""(?:\.[A-Za-z_]{1,64}|\[[A-Za-z_]{1,64}\]|\([A-Za-z_]{0,64}\)?){1,8}""", re.A)
+PLACEHOLDER_BITS = 6.0
 
 
 def adjacent(a: str, b: str) -> bool:
@@ -94,7 +116,20 @@ def lengths(first: int, whole: int, inside: int) -> list[int]:
     return [*range(first, MAX_SEGMENT + 1), whole]
 
 
-def guess_bits(value: str) -> float:
+def word_ranks(docs: DataFrame, text: str = "text", size: int = DICTIONARY, least: int = LEAST) -> dict[str, int]:
+    """The dictionary: place by word of the ``size`` most frequent words of all texts, and of ``WORDS``.
+
+    Values behind credential words do not count, so that no secret vouches for itself, however often it was copied."""
+    prose = F.regexp_replace(F.col(text), "(?i)" + CONTEXT.pattern, " ")
+    word = F.explode(F.split(F.lower(prose), "[^a-z]+")).alias("word")
+    counts = (docs.select(word).filter(F.length("word").between(WORD_LENGTHS[0], WORD_LENGTHS[-1]))
+              .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    ranks = {r.word: i + 1 for i, r in enumerate(top)}
+    return {w: min(ranks.get(w, i), RANK.get(w, i)) for w, i in (ranks | RANK).items()}
+
+
+def guess_bits(value: str, ranks: dict[str, int] = RANK) -> float:
     """log2 of the guesses of the cheapest segmentation; every segment costs one more bit for its kind."""
     n, low = len(value), value.lower()
     if len(low) != n:  # a few capitals change length when lowered
@@ -117,17 +152,19 @@ def guess_bits(value: str) -> float:
     for i in range(n):
         at = best[i] + 1
         offer(i + 1, best[i] + char_bits(value[i]))
-        for length in range(3, min(LONGEST_WORD, n - i) + 1):
+        for length in WORD_LENGTHS[:max(0, n - i - WORD_LENGTHS[0] + 1)]:
             piece = low[i:i + length]
-            rank = RANK.get(piece)
+            rank = ranks.get(piece)
             extra = 0.0 if value[i:i + length] == piece else 1.0
             if rank is None:
-                rank, extra = RANK.get(plain[i:i + length]), extra + 1.0
+                rank, extra = ranks.get(plain[i:i + length]), extra + 1.0
             if rank is not None:
                 offer(i + length, at + math.log2(rank + 1) + extra)
-        if m := DATE.match(value, i):
-            offer(m.end(), at + (math.log2(130) if m.end() - i == 4 else math.log2(130 * 366)))
-            offer(i + 4, at + math.log2(130)) if value[i:i + 2] in ("19", "20") and value[i:i + 4].isdigit() else None
+        for form, bits in DATES:
+            if m := form.match(value, i):
+                offer(m.end(), at + bits)
+        if m := PLACEHOLDER.match(value, i):
+            offer(m.end(), at + PLACEHOLDER_BITS)
         walked = walked + 1 if i and runs[i - 1] > 1 else 0
         for length in lengths(3, runs[i], walked):
             offer(i + length, at + math.log2(len(PLACE)) + 1.5 * math.log2(length))
@@ -152,7 +189,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], ORDER[s[2]]))
 
 
-def credential_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def credential_spans(text: str, base: list[tuple[int, int, str]],
+                     ranks: dict[str, int] = RANK) -> list[tuple[int, int, str]]:
     if ":" not in text and "=" not in text:
         return []
     low = text.lower()
@@ -161,7 +199,7 @@ def credential_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[
     out = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
-        if not any(s < end and start < e for s, e, _ in base) and guess_bits(m[1]) >= MIN_BITS:
+        if not any(s < end and start < e for s, e, _ in base) and guess_bits(m[1], ranks) >= MIN_BITS:
             out.append((start, end, "credential"))
     return out
 
@@ -170,9 +208,10 @@ def spelled(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, text: str = "text", dictionary: int = DICTIONARY) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_credential, base_sha256, spans."""
     bounded_batches(docs.sparkSession)
+    ranks = word_ranks(docs, text, dictionary)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
@@ -180,7 +219,7 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
             shas, spans = [], []
             for t in batch.column(1).to_pylist():
                 base = base_spans(t or "")
-                more = credential_spans(t or "", base)
+                more = credential_spans(t or "", base, ranks)
                 for kind, out in zip(KINDS, counts):
                     out.append(sum(s[2] == kind for s in base + more))
                 shas.append(hashlib.sha256(spelled(base).encode()).hexdigest())

@@ -269,14 +269,21 @@ def test_guess_cost_is_the_minimum_over_segmentations():
     assert secret_scan.guess_bits("z" * 5000) < 2000
 
 
-def slow_bits(value):
-    """Words and dates aside, which these values do not hold: the best over all segments."""
+def slow_bits(value, ranks=secret_scan.RANK):
+    """The best over all segments of all kinds, each segment looked at by itself."""
     best = [0.0] + [float("inf")] * len(value)
     for e in range(1, len(value) + 1):
         for b in range(e):
             piece, at = value[b:e], best[b]
             costs = [secret_scan.char_bits(piece) - 1] if e - b == 1 else []
-            if e - b >= 3 and all(secret_scan.adjacent(x, y) for x, y in zip(piece, piece[1:])):
+            for said, extra in ((piece, 0), (piece.lower(), 1), (piece.lower().translate(secret_scan.LEET), 1 + (piece != piece.lower()))):
+                if 3 <= len(piece) <= 24 and said in ranks:
+                    costs.append(np.log2(ranks[said] + 1) + extra)
+                    break
+            costs += [bits for form, bits in secret_scan.DATES if form.fullmatch(piece)]
+            if (m := secret_scan.PLACEHOLDER.match(value, b)) and m.end() == e:
+                costs.append(secret_scan.PLACEHOLDER_BITS)
+            if e - b >= 3 and all(secret_scan.adjacent(x, y) for x, y in zip(piece.lower(), piece.lower()[1:])):
                 costs.append(np.log2(len(secret_scan.PLACE)) + 1.5 * np.log2(e - b))
             for unit in (1, 2, 3, 4):
                 k, rest = divmod(e - b, unit)
@@ -286,6 +293,50 @@ def slow_bits(value):
     return best[-1]
 
 
+PIECES = ["admin", "P4ssword", "2021-03-04", "19122011", "1999", "${KEY}", "process.env.TOKEN", "qwer", "zzzz", "abab", "Xk9", "!", "REDACTED"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PIECES) | st.text(alphabet="abqw019-._$", max_size=4), max_size=5).map("".join))
+def test_guess_cost_against_all_segmentations(value):
+    assert secret_scan.guess_bits(value) == pytest.approx(slow_bits(value))
+
+
+def test_placeholders_are_cheap():
+    values = ["documentation", "required", "environment", "REDACTED", "${DB_PASSWORD}", "process.env.SECRET", "{{ vault_key }}", "%API_TOKEN%",
+              "$GITHUB_TOKEN", "your-api-key-here", "config.password", "secrets.TOKEN", "[redacted]", "os.environ[TOKEN]", "<hidden>"]
+    assert max(map(secret_scan.guess_bits, values)) < secret_scan.MIN_BITS
+
+
+def test_dictionary_is_counted_from_all_texts(spark):
+    docs = docs_of(spark, ["Zebu gnu zebu", "gnu GNU okapi", None, "", "ab " + "x" * 25, "zebu2okapi-quagga", "pwd: lemurlemur " * 9])
+    assert not set(secret_scan.word_ranks(docs, least=4)) - set(secret_scan.RANK)
+    ranks = secret_scan.word_ranks(docs, size=3, least=1)
+    assert {w: ranks[w] for w in ("gnu", "zebu", "okapi")} == {"gnu": 1, "zebu": 2, "okapi": 3}
+    assert "quagga" not in ranks and "lemurlemur" not in secret_scan.word_ranks(docs, least=1) and ranks["password"] == 1 and len(ranks) == 3 + len(secret_scan.RANK)
+
+
+def test_planted_credentials(spark):
+    """Random values behind credential words are found, names made of the corpus's own words and stand-ins are not."""
+    rng = random.Random(5)
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    vocabulary = ["".join(rng.choices("bdfgklmnprstvz", k=1) + rng.choices("aeiou", k=1) + rng.choices("lmnrst", k=1)) + s
+                  for s in ("ova", "inde", "atu", "erim") for _ in range(60)]
+    prose = [" ".join(rng.choices(vocabulary, k=200)) for _ in range(60)]
+    secret = ["".join(rng.choices(letters, k=rng.randint(10, 20))) for _ in range(120)]
+    harmless = [f"{rng.choice(vocabulary)}{rng.choice(['', '1', '_', '-2020'])}{rng.choice(vocabulary)}" for _ in range(100)]
+    harmless += [f"${{{rng.choice(vocabulary).upper()}}}" for _ in range(20)]
+    texts = [f"{rng.choice(prose)} {rng.choice(['pwd', 'auth', 'private_key', 'passphrase'])}: {v} {rng.choice(prose)}" for v in secret + harmless]
+    rows = secret_scan.scan_secrets(docs_of(spark, texts + prose)).orderBy("doc_id").collect()
+    found = {t for t, r in zip(texts, rows) if r.n_credential}
+    recall = np.mean([t in found for t in texts[:120]])
+    precision = sum(t in found for t in texts[:120]) / max(1, len(found))
+    without = sum(bool(secret_scan.credential_spans(t, [])) for t in texts[120:])
+    print("recall", recall, "precision", precision, "false without the counted dictionary", without)
+    assert recall >= 0.98 and precision >= 0.95 and without > 50
+    assert all(r.n_credential == 0 for r in rows[len(texts):])
+
+
 def test_long_runs_are_cheap():
     for unit in ("*", "-", "x", "*-", "x1", "ab;"):
         for n in (68, 200, 1000, 5000):
