@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from kestrel.llm.bytesvec import lean
 from kestrel.llm.common import bounded_batches
+from kestrel.session import Scratch
 
 KINDS = ("assign", "access", "hex", "credential")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -119,12 +120,25 @@ def lengths(first: int, whole: int, inside: int) -> list[int]:
 def word_ranks(docs: DataFrame, text: str = "text", size: int = DICTIONARY, least: int = LEAST) -> dict[str, int]:
     """The dictionary: place by word of the ``size`` most frequent words of all texts, and of ``WORDS``.
 
+    Words go in by classes of equal count (within 1/16 from 32 on), most frequent first, as far as whole classes fit: the
+    driver reads one row per class and then the words themselves, never more than ``size`` and none per task or partition.
     Values behind credential words do not count, so that no secret vouches for itself, however often it was copied."""
     prose = F.regexp_replace(F.col(text), "(?i)" + CONTEXT.pattern, " ")
     word = F.explode(F.split(F.lower(prose), "[^a-z]+")).alias("word")
     counts = (docs.select(word).filter(F.length("word").between(WORD_LENGTHS[0], WORD_LENGTHS[-1]))
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    with Scratch(docs.sparkSession) as scratch:
+        counts = scratch.materialize(counts, "secret-words")
+        size_class = F.expr("length(bin(n)) * 32 + (n >> greatest(length(bin(n)) - 5, 0))").alias("class")
+        classes = counts.groupBy(size_class).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("low")).collect()
+        held, cut = 0, None
+        for c in sorted(classes, key=lambda c: -c.low):
+            held += c.words
+            if held > size:
+                break
+            cut = c.low
+        top = counts.filter(F.col("n") >= cut).collect() if cut is not None else []
+    top.sort(key=lambda r: (-r.n, r.word))
     ranks = {r.word: i + 1 for i, r in enumerate(top)}
     return {w: min(ranks.get(w, i), RANK.get(w, i)) for w, i in (ranks | RANK).items()}
 

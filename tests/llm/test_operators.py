@@ -313,6 +313,10 @@ def test_dictionary_is_counted_from_all_texts(spark):
     assert not set(secret_scan.word_ranks(docs, least=4)) - set(secret_scan.RANK)
     ranks = secret_scan.word_ranks(docs, size=3, least=1)
     assert {w: ranks[w] for w in ("gnu", "zebu", "okapi")} == {"gnu": 1, "zebu": 2, "okapi": 3}
+    assert set(secret_scan.word_ranks(docs, size=2, least=1)) - set(secret_scan.RANK) == {"gnu", "zebu"}
+    assert set(secret_scan.word_ranks(docs, size=1, least=1)) == set(secret_scan.RANK)  # the first class has two words
+    many = docs_of(spark, [f"{'gnu ' * 1000}{'yak ' * 990}{'emu ' * 940}"])
+    assert list(secret_scan.word_ranks(many, size=2))[:2] == ["gnu", "yak"]
     assert "quagga" not in ranks and "lemurlemur" not in secret_scan.word_ranks(docs, least=1) and ranks["password"] == 1 and len(ranks) == 3 + len(secret_scan.RANK)
 
 
