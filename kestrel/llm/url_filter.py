@@ -60,7 +60,7 @@ RULES: tuple[UrlRule, ...] = (
     UrlRule("block", "com/de/"),
 )
 
-#: The small labelled URL table, a line of label (1: block), tab, URL each: made-up addresses, written without a look at any table.
+#: The small labelled URL table, a line of label (1: block), tab, URL each: made-up hosts, none from a given table.
 LABELLED = "labelled_urls.tsv"
 
 
