@@ -16,8 +16,9 @@ documents.  The driver only sees sums, so neither the sources nor the rows of th
 
 Defined cases: a null source is a source of its own; sources without a target weight get
 ``default_parts``; a weight of 0 puts a source's documents after all others; null and empty texts are
-documents like others; repeated rows have places of their own, next to each other; other columns are
-kept; an empty table gives an empty result.
+documents like others; repeated rows have places of their own, next to each other; null doc_ids of a source
+count as equal, and rows of equal doc_id are numbered in one task (a bucket is chosen by the doc_id); other
+columns are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations

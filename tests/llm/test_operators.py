@@ -793,6 +793,17 @@ def test_empty_tables(spark):
     assert decontam.find_leaks(docs_of(spark, ODD), bench).count() == 0
 
 
+@pytest.mark.parametrize("op", [
+    secret_scan.scan_secrets, substring_dedup.remove_repeats, lambda d: rule_ledger.apply_policy(rule_ledger.ledger(d)),
+    lambda d: url_filter.judge_urls(d.selectExpr("*", "doc_id page_id", "concat('http://', text) url"))])
+def test_extra_columns_change_nothing(spark, op):
+    docs = docs_of(spark, [*ODD, "pwd: x7Kq9ZbTw2"], ids=[None, None, 3, 3, *range(5, 4 + len(ODD) - 2), 99, 100])
+    names = ("word", "n", "class", "id", "key", "tag", "rank", "spans", "spot", "more", "host", "path", "rule", "verdict", "mask", "bits")
+    wide = docs.withColumns({c: F.lit("clash") for c in names})
+    plain, other = (sorted(map(str, op(d).collect())) for d in (docs, wide))
+    assert plain == other and len(plain) == len(ODD) + 1
+
+
 def test_native_operators_run_no_python(spark):
     for op in (chat_format.op6_chat_format, rule_ledger.op10_rule_ledger):
         plan = op(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
